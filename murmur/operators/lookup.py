@@ -1,0 +1,30 @@
+"""Joins against a table that is usually, but not surely, small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 200_000
+SALTS = 32
+
+
+def fits(df: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
+    """Whether `df` has at most `rows` rows; reads no more than one row beyond that."""
+    return df.limit(rows + 1).count() <= rows
+
+
+def lookup_join(left: DataFrame, right: DataFrame, on: str, how: str = "inner",
+                rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Join `left` to a lookup of narrow rows, one row per `on`.
+
+    Up to `rows` rows the lookup is broadcast. A larger one is shuffled with every
+    key spread over SALTS tasks, since keys such as words are never even.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("a lookup join is inner or left")
+    if fits(right, rows):
+        return left.join(F.broadcast(right), on, how)
+    salted = left.withColumn("_salt", (F.rand() * SALTS).cast("int"))
+    copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return salted.join(copies, [on, "_salt"], how).drop("_salt")
