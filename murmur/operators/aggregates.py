@@ -162,7 +162,7 @@ def report_summary(df: DataFrame) -> DataFrame:
         for i, (name, value) in enumerate((
             ("Mentions", F.col("n").cast("string")), ("Positive", F.col("positive").cast("string")),
             ("Neutral", F.col("neutral").cast("string")), ("Negative", F.col("negative").cast("string")),
-            ("Average polarity", plain(F.col("polarity"), 3))))])))
+            ("Average polarity", plain(F.col("polarity"), 3))), 1)])))
 
 
 def _newest(df: DataFrame, span: str) -> DataFrame:

@@ -61,12 +61,13 @@ def _stretches(seen: DataFrame, limit: int, span: int) -> DataFrame:
         F.col("contested").isNotNull() & F.col("before").isNull(), F.col("second")))
     ahead = look_back(starts.withColumn("back", FAR - F.col("second")), ["key"], "back", span,
                       {"next_start": F.min("start")})
-    walked = ahead.filter("contested IS NOT NULL OR next_start IS NOT NULL")
+    # A second that is not contested itself warms up the stretch that opens within a
+    # span after it, or else still counts towards the one it follows.
+    walked = ahead.filter("contested IS NOT NULL OR before IS NOT NULL OR next_start IS NOT NULL")
     so_far = W.partitionBy("key").orderBy("second").rowsBetween(W.unboundedPreceding, 0)
-    stretch = F.when(F.col("contested").isNull(), F.col("next_start")) \
+    stretch = F.when(F.col("contested").isNull() & F.col("next_start").isNotNull(), F.col("next_start")) \
                .otherwise(F.max("start").over(so_far))
-    return walked.select("key", "second", "attempts", F.col("contested").isNull().alias("warm_up"),
-                         stretch.alias("stretch"))
+    return walked.select("key", "second", "attempts", stretch.alias("stretch"))
 
 
 def sliding_window_refusals(log: DataFrame, key: str, limit: int = S.SIGNUP_LIMIT[0],

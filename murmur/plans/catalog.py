@@ -18,7 +18,7 @@ from murmur.operators.scoring import LiteralLexicon, score_text, token_rows
 from murmur.plans import dashboard as D
 from murmur.plans.mentions import (documents, events, few_with_tweet, lexicon, mentions, scored_documents,
                                    table, with_document, with_tweet)
-from murmur.session import scratch_folder, spread
+from murmur.session import scratch_folder, settle, spread
 from murmur.sources import files, history, normalise
 from murmur.streaming import ingest, jobs, sinks
 
@@ -306,7 +306,8 @@ def a17_score_trend(spark, sf):
 
 
 def facts(spark, sf, seconds=HOUR):
-    return windows.window_facts(mentions(spark, sf), seconds)
+    """Window facts, settled: the detector reads them several times, the mentions once."""
+    return settle(windows.window_facts(mentions(spark, sf), seconds))
 
 
 @query
@@ -553,7 +554,7 @@ def r3_loose_statuses(spark, sf):
 def current_and_stored(spark, sf):
     """Alerts of the hourly back-test, stored ones of which half the ids differ, session ones."""
     base = windows.all_window_alerts(facts(spark, sf), HOUR)
-    current = alert_ops.as_alerts(base).drop("time")
+    current = settle(alert_ops.as_alerts(base).drop("time"))
     stored = current.withColumn("id", F.when(F.col("severity") == "High", F.col("id"))
                                 .otherwise(F.concat(F.lit("old-"), F.col("id"))))
     session = current.withColumn("id", F.when(F.col("title") == "Tweet volume spike", F.col("id"))
@@ -585,8 +586,8 @@ def u1_alerts_union(spark, sf):
 
 @query
 def j3_timeline_anomaly_marks(spark, sf):
-    rows = mentions(spark, sf)
-    alerts = windows.all_window_alerts(windows.window_facts(rows, HOUR), HOUR)
+    rows = settle(mentions(spark, sf))
+    alerts = windows.all_window_alerts(settle(windows.window_facts(rows, HOUR)), HOUR)
     return alert_ops.timeline_marks(A.timeline_minute_of_day(rows), alerts)
 
 
@@ -828,7 +829,7 @@ def t6_replay_cyclic(spark, sf):
 
 
 def spiked(spark, sf):
-    rows = mentions(spark, sf)
+    rows = settle(mentions(spark, sf))
     at = F.lit("2024-01-31 00:00:00").cast("timestamp")
     return rows, replay.spike_rows(rows, 60, at)
 
@@ -837,7 +838,8 @@ def spiked(spark, sf):
 def t7_inject_spike(spark, sf):
     """Alerts of the window a spike of 60 rows was put in."""
     rows, spike = spiked(spark, sf)
-    return windows.latest_window_alerts(windows.window_facts(rows.unionByName(spike.drop("value")), HOUR), HOUR)
+    both = rows.unionByName(spike.drop("value"))
+    return windows.latest_window_alerts(settle(windows.window_facts(both, HOUR)), HOUR)
 
 
 @query
@@ -973,7 +975,7 @@ def k5_export_csv(spark, sf):
 def k6_chart_datasets(spark, sf):
     words = token_rows(spread(documents(spark, sf)), "doc_id", "tweet").select("word")
     folder = scratch_folder(spark, "k6")
-    D.write_charts(D.chart_datasets(mentions(spark, sf), words), folder)
+    D.write_charts(D.chart_datasets(settle(mentions(spark, sf)), words), folder)
     names = ("sentiment_distribution", "word_frequency", "time_series")
     shown = [spark.read.parquet(f"{folder}/{n}") for n in names]
     return (shown[0].select(F.lit(names[0]).alias("chart"), F.col("sentiment").alias("item"), "n")
@@ -991,7 +993,7 @@ def k7_report_rows(spark, sf):
 
 @query
 def k8_dashboard_bundle(spark, sf):
-    parts = D.dashboard(mentions(spark, sf), alert_state(spark, sf), seconds=HOUR)
+    parts = D.dashboard(settle(mentions(spark, sf)), alert_state(spark, sf), seconds=HOUR)
     return D.dashboard_rows(parts)
 
 

@@ -29,11 +29,11 @@ def stripped(value: str) -> str:
 
 
 def tokens(value: str) -> str:
-    return f"list_filter(regexp_split_to_array({stripped(value)}, {BLANKS}), x -> x <> '')"
+    return f"list_filter(regexp_split_to_array({stripped(value)}, {BLANKS}), lambda x: x <> '')"
 
 
 def kept(value: str) -> str:
-    return f"list_filter({tokens(value)}, x -> length(x) > 1 AND x NOT IN ({STOP}))"
+    return f"list_filter({tokens(value)}, lambda x: length(x) > 1 AND x NOT IN ({STOP}))"
 
 
 def mean(micro: str, n: str, places: int) -> str:
@@ -141,11 +141,11 @@ WINDOWS = MENTIONS + window_ctes()
 ALERT_LOG = """
 log AS (SELECT 'user-' || user_id AS alert_id, event_type AS title, props AS detail,
   CASE WHEN value >= 20 THEN 'High' ELSE 'Medium' END AS severity,
-  CASE WHEN value >= 40 THEN 'Acknowledged' ELSE 'Open' END AS status, ts AS at FROM events),
-state AS (SELECT alert_id, max_by(title, at) AS title, max_by(detail, at) AS detail, max_by(severity, at) AS severity,
-  min_by(status, at) AS status, min(at) AS created_at, max(at) AS updated_at FROM log GROUP BY ALL),
-moves AS (SELECT alert_id, max_by(CASE title WHEN 'click' THEN 'Acknowledged' ELSE 'Resolved' END, at) AS status,
-  max(at) AS at FROM log WHERE title IN ('click', 'purchase') GROUP BY ALL)"""
+  CASE WHEN value >= 40 THEN 'Acknowledged' ELSE 'Open' END AS status, ts AS seen_at FROM events),
+state AS (SELECT alert_id, max_by(title, seen_at) AS title, max_by(detail, seen_at) AS detail, max_by(severity, seen_at) AS severity,
+  min_by(status, seen_at) AS status, min(seen_at) AS created_at, max(seen_at) AS updated_at FROM log GROUP BY ALL),
+moves AS (SELECT alert_id, max_by(CASE title WHEN 'click' THEN 'Acknowledged' ELSE 'Resolved' END, seen_at) AS status,
+  max(seen_at) AS seen_at FROM log WHERE title IN ('click', 'purchase') GROUP BY ALL)"""
 STATE_COLUMNS = (f"alert_id, title, detail, severity, status, strftime(created_at, {MICROS}) AS created_at, "
                  f"strftime(updated_at, {MICROS}) AS updated_at")
 LABELS = ("count(*) FILTER (sentiment = 'Positive') AS positive, count(*) FILTER (sentiment = 'Neutral') AS neutral, "
@@ -181,10 +181,10 @@ walk(key, i, second, held, refused) AS (
   SELECT key, i, second, [second], 0 FROM a WHERE i = 1
   UNION ALL
   SELECT a.key, a.i, a.second,
-    CASE WHEN len(list_filter(walk.held, x -> a.second - x < {seconds})) >= {limit}
-      THEN list_filter(walk.held, x -> a.second - x < {seconds})
-      ELSE list_append(list_filter(walk.held, x -> a.second - x < {seconds}), a.second) END,
-    CASE WHEN len(list_filter(walk.held, x -> a.second - x < {seconds})) >= {limit} THEN 1 ELSE 0 END
+    CASE WHEN len(list_filter(walk.held, lambda x: a.second - x < {seconds})) >= {limit}
+      THEN list_filter(walk.held, lambda x: a.second - x < {seconds})
+      ELSE list_append(list_filter(walk.held, lambda x: a.second - x < {seconds}), a.second) END,
+    CASE WHEN len(list_filter(walk.held, lambda x: a.second - x < {seconds})) >= {limit} THEN 1 ELSE 0 END
   FROM walk JOIN a ON a.key = walk.key AND a.i = walk.i + 1)
 SELECT key, second, count(*) AS attempts, sum(refused)::bigint AS refused FROM walk
 GROUP BY ALL HAVING sum(refused) > 0"""
@@ -224,7 +224,7 @@ LATEST = with_(WINDOWS, "SELECT * FROM alerts WHERE \"window\" = (SELECT strftim
 SPIKED = MENTIONS + """,
 seeds AS (SELECT *, row_number() OVER (ORDER BY mention_id) - 1 AS row_id FROM m WHERE sentiment = 'Negative' ORDER BY mention_id LIMIT 60),
 spike AS (SELECT t.i, s.* FROM range(60) t(i) JOIN seeds s ON t.i % (SELECT count(*) FROM seeds) = s.row_id),
-both AS (SELECT timestamp, brand, sentiment, pm FROM m UNION ALL
+with_spike AS (SELECT timestamp, brand, sentiment, pm FROM m UNION ALL
   SELECT TIMESTAMP '2024-01-31 00:00:00', brand, sentiment, pm FROM spike)"""
 TOKENS = f"words AS (SELECT doc_id, unnest({kept('text')}) AS word FROM documents)"
 MINUTES = f"""minutes AS (SELECT unnest(generate_series(date_trunc('minute', min(timestamp)), date_trunc('minute', max(timestamp)), INTERVAL 1 MINUTE)) AS minute FROM m),
@@ -352,9 +352,9 @@ SQL = {
     "r2_alert_fold": with_(ALERT_LOG, f"SELECT {STATE_COLUMNS} FROM state"),
     "r2_alert_upsert": with_(ALERT_LOG, f"SELECT {STATE_COLUMNS} FROM state"),
     "r3_alert_transition": with_(ALERT_LOG + """, moved AS (SELECT s.* REPLACE (coalesce(v.status, s.status) AS status,
-      coalesce(v.at, s.updated_at) AS updated_at) FROM state s LEFT JOIN moves v USING (alert_id))""", f"SELECT {STATE_COLUMNS} FROM moved"),
-    "r3_loose_statuses": with_(ALERT_LOG, f"""SELECT alert_id, status, strftime(at, {MICROS}) AS at FROM moves
-      WHERE alert_id NOT IN (SELECT alert_id FROM log WHERE at < TIMESTAMP '2024-01-02')"""),
+      coalesce(v.seen_at, s.updated_at) AS updated_at) FROM state s LEFT JOIN moves v USING (alert_id))""", f"SELECT {STATE_COLUMNS} FROM moved"),
+    "r3_loose_statuses": with_(ALERT_LOG, f"""SELECT alert_id, status, strftime(seen_at, {MICROS}) AS at FROM moves
+      WHERE alert_id NOT IN (SELECT alert_id FROM log WHERE seen_at < TIMESTAMP '2024-01-02')"""),
     "j1_u3_alert_status_overlay": with_(WINDOWS + LISTS, """SELECT cur.*, CASE WHEN id IN (SELECT id FROM ses) THEN 'Resolved'
       WHEN id IN (SELECT id FROM sto) THEN 'Acknowledged' WHEN title = 'Negative sentiment surge' THEN 'Resolved' ELSE 'Open' END AS status FROM cur"""),
     "j2_alert_anti": with_(WINDOWS + LISTS, "SELECT * FROM sto WHERE id NOT IN (SELECT id FROM cur)"),
@@ -406,7 +406,7 @@ SQL = {
     "t5_limit_rows": """SELECT doc_id, length(t)::integer AS chars FROM (SELECT doc_id, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS t
       FROM documents ORDER BY doc_id LIMIT 50) WHERE t <> ''""",
     "t6_replay_cyclic": with_(EVENTS, "SELECT lang, source, count(*) AS n, max(mention_id) AS last FROM ev JOIN documents USING (doc_id) GROUP BY ALL"),
-    "t7_inject_spike": with_(SPIKED + window_ctes(HOUR, "both"), f"SELECT * FROM alerts WHERE \"window\" = (SELECT strftime(max(window_start), {ISO}) FROM win)"),
+    "t7_inject_spike": with_(SPIKED + window_ctes(HOUR, "with_spike"), f"SELECT * FROM alerts WHERE \"window\" = (SELECT strftime(max(window_start), {ISO}) FROM win)"),
     "t7_spike_alerts": with_(SPIKED, """SELECT 'demo-' || (i + 1) AS id, 'Negative sentiment spike - ' || brand AS title,
       'Demo anomaly injected into the local stream for dashboard review.' AS detail, 'High' AS severity, 'Open' AS status FROM spike"""),
     "t8_retain_latest_n": """SELECT event_id AS mention_id, event_type AS brand FROM events QUALIFY row_number() OVER (ORDER BY event_id DESC) <=

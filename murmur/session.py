@@ -39,6 +39,16 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def settle(df: DataFrame) -> DataFrame:
+    """`df` as a table in the shared folder: computed once however often it is read.
+
+    For results that later steps read several times and that are costly to redo.
+    """
+    path = scratch_folder(df.sparkSession, "settled")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Use every core when the input has fewer splits than there are cores.
 
