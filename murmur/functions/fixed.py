@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from murmur.functions.text import bind
+
 MICRO = 1_000_000
 
 
@@ -40,10 +42,23 @@ def percent(part: Column, whole: Column, places: int = 1) -> Column:
     return ratio(part * 100, whole, places)
 
 
-def half_even(value: Column, places: int) -> Column:
-    """Half-even rounding of a number of at most six decimals, free of binary noise."""
-    step = float(MICRO // 10 ** places)
-    return F.bround(to_micro(value) / step) / float(10 ** places)
+def round_binary(value: Column, places: int) -> Column:
+    """Half-even rounding of the exact binary value of a double.
+
+    Spark's rounding goes by the shortest decimal that prints; 0.12625 is a tie there,
+    but as a double it lies above the middle. The scaled product's rounding error,
+    found by splitting the double in two exact halves, says on which side.
+    """
+    scale = float(10 ** places)
+
+    def rounded(x: Column) -> Column:
+        product = x * scale
+        high = x * 134217729.0 - (x * 134217729.0 - x)
+        error = (high * scale - product) + (x - high) * scale
+        whole = F.floor(product)
+        side = F.when(error > 0, whole + 1).otherwise(whole).cast("double")
+        return F.when((product - whole == 0.5) & (error != 0), side).otherwise(F.bround(product)) / scale
+    return bind(value, rounded)
 
 
 def plain(value: Column, places: int) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from murmur import settings as S
-from murmur.functions.fixed import half_even, mean_of_micro
+from murmur.functions.fixed import mean_of_micro, round_binary
 from murmur.functions.text import bind
 
 
@@ -20,7 +20,7 @@ def label(polarity: Column, positive: float = S.POSITIVE_THRESHOLD,
 
 def confidence(polarity: Column, subjectivity: Column) -> Column:
     boosted = F.abs(polarity) + S.SUBJECTIVITY_WEIGHT * subjectivity
-    return F.least(F.lit(1.0), half_even(boosted, 4))
+    return F.least(F.lit(1.0), round_binary(boosted, 4))
 
 
 def score_struct(total_polarity: Column, total_subjectivity: Column, hits: Column) -> Column:

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from murmur import settings as S
 
+# The spans of the day filter, the characters that count as blank.
 DAY_SPANS = (7, 30, 90)
+WHITE_SPACE = ("\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+               "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 
 def _same_text(column: str, wanted: str) -> Column:
@@ -59,8 +62,7 @@ def drop_bad_timestamp(df: DataFrame) -> DataFrame:
 
 def drop_blank_text(df: DataFrame, column: str = "tweet") -> DataFrame:
     """Trimmed text; rows where nothing is left go."""
-    trimmed = F.trim(F.regexp_replace(column, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", ""))
-    return df.withColumn(column, trimmed).filter(F.length(column) > 0)
+    return df.withColumn(column, F.btrim(column, F.lit(WHITE_SPACE))).filter(F.col(column) != "")
 
 
 def slicer(df: DataFrame, sentiments: list[str] | None = None, brands: list[str] | None = None,

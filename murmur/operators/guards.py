@@ -8,6 +8,7 @@ second of the log's span, and only within stretches whose start state is known.
 from __future__ import annotations
 
 from collections import deque
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -70,29 +71,53 @@ def _stretches(seen: DataFrame, limit: int, span: int) -> DataFrame:
     return walked.select("key", "second", "attempts", stretch.alias("stretch"))
 
 
+def _walk(stretches: DataFrame, walker: Callable, schema: str) -> DataFrame:
+    """Feed each stretch's rows in order of time to a fresh `walker()`; yield what it returns.
+
+    Sorted partitions are read batch by batch, so a stretch is never held whole, and
+    many short ones cost no more than one long one.
+    """
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, step = None, None
+        for pdf in batches:
+            rows = []
+            for row in pdf.itertuples(index=False):
+                if (row.key, row.stretch) != current:
+                    current, step = (row.key, row.stretch), walker()
+                found = step(row)
+                if found is not None:
+                    rows.append((row.key, row.second, *found))
+            yield pd.DataFrame(rows, columns=names)
+
+    ordered = stretches.repartition("key", "stretch").sortWithinPartitions("key", "stretch", "second")
+    return ordered.mapInPandas(run, schema)
+
+
 def sliding_window_refusals(log: DataFrame, key: str, limit: int = S.SIGNUP_LIMIT[0],
                             seconds: int = S.SIGNUP_LIMIT[1]) -> DataFrame:
     """Refusals per key and second of a limiter that does not record refused attempts.
 
     For sign-in bursts pass the log of failed attempts: only those are recorded.
     """
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
+    def limiter():
         recent: deque[tuple[int, int]] = deque()
-        held, rows = 0, []
-        for row in pdf.sort_values("second").itertuples(index=False):
+        held = 0
+
+        def step(row):
+            nonlocal held
             while recent and row.second - recent[0][0] >= seconds:
                 held -= recent.popleft()[1]
             admitted = min(row.attempts, limit - held)
             if admitted:
                 recent.append((row.second, admitted))
                 held += admitted
-            if row.attempts > admitted:
-                rows.append((str(row.key), row.second, row.attempts, row.attempts - admitted))
-        return pd.DataFrame(rows, columns=["key", "second", "attempts", "refused"])
+            return (row.attempts, row.attempts - admitted) if row.attempts > admitted else None
+        return step
 
-    stretches = _stretches(per_second(log, key), limit, seconds - 1)
-    return stretches.groupBy("key", "stretch").applyInPandas(
-        walk, "key STRING, second BIGINT, attempts BIGINT, refused BIGINT")
+    return _walk(_stretches(per_second(log, key), limit, seconds - 1), limiter,
+                 "key STRING, second BIGINT, attempts BIGINT, refused BIGINT")
 
 
 def outcome_seconds(log: DataFrame, key: str, order: str, failed: Column) -> DataFrame:
@@ -122,27 +147,28 @@ def lockouts(log: DataFrame, key: str, order: str, failed: Column,
     the next failure locks again; a success resets it. A success with no failure in
     the span before it is surely let through, which makes it a safe cut.
     """
-    def walk(pdf: pd.DataFrame) -> pd.DataFrame:
-        counter, until, rows = 0, -1, []
-        for row in pdf.sort_values("second").itertuples(index=False):
+    def account():
+        counter, until = 0, -1
+
+        def step(row):
+            nonlocal counter, until
             if row.second < until:
-                continue
-            locks = True
+                return None
             if row.lead and counter + row.lead >= failures:
                 counter = max(counter + 1, failures)
             elif row.lead < row.attempts and row.longest >= failures:
                 counter = failures
             else:
-                counter, locks = row.tail + (counter if row.lead == row.attempts else 0), False
-            if locks:
-                until = row.second + seconds
-                rows.append((str(row.key), row.second, until, counter))
-        return pd.DataFrame(rows, columns=["key", "locked_at", "locked_until", "failures"])
+                counter = row.tail + (counter if row.lead == row.attempts else 0)
+                return None
+            until = row.second + seconds
+            return until, counter
+        return step
 
     seen = outcome_seconds(log, key, order, failed)
     recent = look_back(seen, ["key"], "second", seconds - 1, {"before": F.sum("failures")})
     cut = F.when((F.col("lead") == 0) & (F.coalesce("before", F.lit(0)) == 0), F.col("second"))
     so_far = W.partitionBy("key").orderBy("second").rowsBetween(W.unboundedPreceding, 0)
     stretches = recent.withColumn("stretch", F.coalesce(F.max(cut).over(so_far), F.lit(-1)))
-    return stretches.groupBy("key", "stretch").applyInPandas(
-        walk, "key STRING, locked_at BIGINT, locked_until BIGINT, failures BIGINT")
+    return _walk(stretches, account,
+                 "key STRING, locked_at BIGINT, locked_until BIGINT, failures BIGINT")

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from murmur import settings as S
 from murmur.functions.display import iso_utc
 from murmur.operators.spans import dense_rank
+from murmur.session import settle
 
 FEATURES = ["volume", "mean_polarity", "negative_ratio"]
 NODE = "tree INT, node INT, feature INT, cut DOUBLE, depth INT, size INT"
@@ -119,8 +120,8 @@ def latest_isolation(metrics: DataFrame, seconds: int = S.WINDOW_SECONDS, trees:
     With fewer than FOREST_MIN_WINDOWS windows the score is 0.
     """
     metrics = metrics.select("window_start", *FEATURES)
-    ranked = dense_rank(metrics.withColumn("_pos", F.floor(F.unix_timestamp("window_start") / seconds)),
-                        "_pos").drop("_pos")
+    position = F.floor(F.unix_timestamp("window_start") / seconds)
+    ranked = settle(dense_rank(metrics.withColumn("_pos", position), "_pos").drop("_pos"))
     n = ranked.count()
     last = ranked.filter(F.col("rank") == n)
     if n < S.FOREST_MIN_WINDOWS:

@@ -9,6 +9,7 @@ from murmur import settings as S
 from murmur.functions.display import iso_utc
 from murmur.functions.fixed import mean_of_micro, plain, to_micro
 from murmur.operators.spans import dense_rank, look_back
+from murmur.session import settle
 
 ALERT_COLUMNS = ("id", "title", "severity", "reason", "score", "metric", "brand", "window")
 
@@ -194,6 +195,6 @@ def latest_window_alerts(facts: DataFrame, seconds: int = S.WINDOW_SECONDS,
     by a top-k, and the facts that fall in them.
     """
     newest = facts.select("window_start").distinct().orderBy(F.desc("window_start")).limit(history + 1)
-    near = facts.join(F.broadcast(newest), "window_start", "left_semi")
+    near = settle(facts.join(F.broadcast(newest), "window_start", "left_semi"))
     latest = near.select(iso_utc(F.max("window_start"))).scalar()
     return all_window_alerts(near, seconds).filter(F.col("window") == latest)

@@ -24,7 +24,7 @@ from murmur.streaming import ingest, jobs, sinks
 
 # The driver's events are sparse: an hour holds about as many as a live minute does.
 HOUR = 3600
-NEEDLE = "www."
+NEEDLE = "#"
 MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 QUERIES = {}
 
@@ -892,7 +892,7 @@ def k1_sink_csv_append(spark, sf):
 def k3_sink_history(spark, sf):
     """Two loads of the same rows leave one copy of each."""
     path = scratch_folder(spark, "k3") + "/history"
-    rows = with_document(mentions(spark, sf), sf, tweet=F.substring("tweet", 1, 1 << 30))
+    rows = settle(with_tweet(mentions(spark, sf), sf))
     for _ in range(2):
         history.insert_unseen(rows, path, "mention_id")
     return history.read_history(spark, path).groupBy("brand").agg(

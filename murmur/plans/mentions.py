@@ -55,7 +55,7 @@ def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def with_document(rows: DataFrame, sf_dir: str, **columns: Column) -> DataFrame:
     """`rows` with columns computed from the text of their document, once per document."""
-    docs = documents(rows.sparkSession, sf_dir)
+    docs = spread(documents(rows.sparkSession, sf_dir))
     return rows.join(docs.select("doc_id", *[c.alias(n) for n, c in columns.items()]), "doc_id")
 
 

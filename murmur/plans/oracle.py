@@ -54,8 +54,14 @@ def label(p: str) -> str:
 
 
 def confidence(p: str, s: str) -> str:
-    return (f"least(1.0::double, round_even(round((abs({p}) + 0.15::double * {s}) * 1000000::double) "
-            f"/ 100::double, 0) / 10000::double)")
+    """Half-even at four places of the exact binary value."""
+    x = f"(abs({p}) + 0.15::double * {s})"
+    product, split = f"({x} * 10000::double)", f"({x} * 134217729::double)"
+    high = f"({split} - ({split} - {x}))"
+    error = f"(({high} * 10000::double - {product}) + ({x} - {high}) * 10000::double)"
+    side = f"CASE WHEN {error} > 0 THEN floor({product}) + 1 ELSE floor({product}) END"
+    return (f"least(1.0::double, CASE WHEN {product} - floor({product}) = 0.5 AND {error} <> 0 THEN {side} "
+            f"ELSE round_even({product}, 0) END / 10000::double)")
 
 
 def scores(source: str, key: str, value: str, name: str) -> str:
@@ -262,10 +268,10 @@ SQL = {
     "f1_filter_brand": "SELECT event_id AS mention_id, event_type AS brand FROM events WHERE lower(event_type) = 'click'",
     "f2_filter_sentiment": with_(MENTIONS, "SELECT mention_id, sentiment FROM m WHERE sentiment = 'Negative'"),
     "f3_filter_search": with_(EVENTS, """SELECT mention_id, brand FROM ev JOIN documents USING (doc_id)
-      WHERE contains(lower(text), 'www.') OR contains(lower(brand), 'www.')"""),
+      WHERE contains(lower(text), '#') OR contains(lower(brand), '#')"""),
     "f4_filter_days": with_(EVENTS, f"SELECT mention_id, strftime(timestamp, {MICROS}) AS timestamp FROM ev WHERE timestamp >= {RECENT.format('ev', '7 DAYS')}"),
     "f5_filtered": with_(MENTIONS + """, hit AS (SELECT m.* FROM m JOIN documents USING (doc_id)
-      WHERE sentiment = 'Negative' AND (contains(lower(text), 'www.') OR contains(lower(brand), 'www.')))""",
+      WHERE sentiment = 'Negative' AND (contains(lower(text), '#') OR contains(lower(brand), '#')))""",
                          f"SELECT mention_id, brand, sentiment, polarity FROM hit WHERE timestamp >= {RECENT.format('hit', '7 DAYS')}"),
     "f6_drop_bad_timestamp": f"""SELECT event_id, strftime(t, {MICROS}) AS timestamp FROM (
       SELECT event_id, try_cast(unnest([ts::varchar, props]) AS timestamp) AS t FROM events) WHERE t IS NOT NULL""",

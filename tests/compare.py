@@ -45,20 +45,20 @@ def sql_rows(db, sql: str):
 SAME_TYPE = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
-def differences(df, db, sql: str) -> str:
-    """Empty when both give the same columns, types and rows."""
+def differences(df, db, sql: str) -> tuple[str, int]:
+    """What differs in columns, types or rows, empty if nothing does; and the number of rows."""
     names, types, rows = spark_rows(df)
     sql_names, sql_types, expected = sql_rows(db, sql)
     if names != sql_names:
-        return f"columns {names} != {sql_names}"
+        return f"columns {names} != {sql_names}", 0
     kinds = [SAME_TYPE.get(t, t) for t in types]
     if kinds != sql_types:
-        return f"types {dict(zip(names, kinds))} != {sql_types}"
+        return f"types {dict(zip(names, kinds))} != {sql_types}", 0
     if rows != expected:
         only = [r for r in rows if r not in set(expected)][:2]
         missing = [r for r in expected if r not in set(rows)][:2]
-        return f"rows {len(rows)} / {len(expected)}; only spark {str(only)[:600]}; only sql {str(missing)[:600]}"
-    return ""
+        return f"rows {len(rows)} / {len(expected)}; only spark {str(only)[:600]}; only sql {str(missing)[:600]}", len(rows)
+    return "", len(rows)
 
 
 def main(sf_dir: str, names: list[str]) -> None:
@@ -77,14 +77,13 @@ def main(sf_dir: str, names: list[str]) -> None:
         try:
             if name in sql:
                 df = run(spark, sf_dir)
-                problem = differences(df, db, sql[name])
-                rows = df.count() if False else ""
+                problem, rows = differences(df, db, sql[name])
             else:
-                problem, rows = "", f"rows only: {run(spark, sf_dir).count()}"
+                problem, rows = "", run(spark, sf_dir).count()
         except Exception as error:
             problem, rows = f"{type(error).__name__}: {str(error)[:700]}", ""
         bad += bool(problem)
-        print(f"\n{'BAD' if problem else 'ok '} {name} {time.time() - start:.1f}s {rows} {problem}", flush=True)
+        print(f"\n{'BAD' if problem else 'ok '} {name} {time.time() - start:.1f}s rows={rows} {problem}", flush=True)
     print("\nfailures", bad, "of", len(entry.queries()), "orphan sql", set(sql) - set(entry.queries()))
 
 
