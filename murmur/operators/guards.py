@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from murmur import settings as S
-from murmur.operators.spans import look_back
+from murmur.operators.spans import look_back, running_max
 
 FAR = 1 << 40
 
@@ -65,10 +65,10 @@ def _stretches(seen: DataFrame, limit: int, span: int) -> DataFrame:
     # A second that is not contested itself warms up the stretch that opens within a
     # span after it, or else still counts towards the one it follows.
     walked = ahead.filter("contested IS NOT NULL OR before IS NOT NULL OR next_start IS NOT NULL")
-    so_far = W.partitionBy("key").orderBy("second").rowsBetween(W.unboundedPreceding, 0)
+    opened = running_max(walked, ["key"], "second", F.col("start"), "last_start")
     stretch = F.when(F.col("contested").isNull() & F.col("next_start").isNotNull(), F.col("next_start")) \
-               .otherwise(F.max("start").over(so_far))
-    return walked.select("key", "second", "attempts", stretch.alias("stretch"))
+               .otherwise(F.col("last_start"))
+    return opened.select("key", "second", "attempts", stretch.alias("stretch"))
 
 
 def _walk(stretches: DataFrame, walker: Callable, schema: str) -> DataFrame:
@@ -168,7 +168,6 @@ def lockouts(log: DataFrame, key: str, order: str, failed: Column,
     seen = outcome_seconds(log, key, order, failed)
     recent = look_back(seen, ["key"], "second", seconds - 1, {"before": F.sum("failures")})
     cut = F.when((F.col("lead") == 0) & (F.coalesce("before", F.lit(0)) == 0), F.col("second"))
-    so_far = W.partitionBy("key").orderBy("second").rowsBetween(W.unboundedPreceding, 0)
-    stretches = recent.withColumn("stretch", F.coalesce(F.max(cut).over(so_far), F.lit(-1)))
+    stretches = running_max(recent, ["key"], "second", cut, "stretch").fillna(-1, ["stretch"])
     return _walk(stretches, account,
                  "key STRING, locked_at BIGINT, locked_until BIGINT, failures BIGINT")

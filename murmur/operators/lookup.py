@@ -25,6 +25,7 @@ def lookup_join(left: DataFrame, right: DataFrame, on: str, how: str = "inner",
         raise ValueError("a lookup join is inner or left")
     if fits(right, rows):
         return left.join(F.broadcast(right), on, how)
-    salted = left.withColumn("_salt", (F.rand() * SALTS).cast("int"))
+    # A digest of the row, not a random number: a task that is run again salts as before.
+    salted = left.withColumn("_salt", F.pmod(F.xxhash64(*left.columns), F.lit(SALTS)).cast("int"))
     copies = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return salted.join(copies, [on, "_salt"], how).drop("_salt")

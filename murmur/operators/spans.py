@@ -45,3 +45,20 @@ def dense_rank(df: DataFrame, pos: str, rank: str = "rank", block: int = 3600) -
     within = F.row_number().over(W.partitionBy("_block").orderBy(pos))
     return (blocks.join(offsets, "_block").withColumn(rank, F.col("_before") + within)
             .drop("_block", "_before"))
+
+
+def running_max(df: DataFrame, keys: list[str], pos: str, value: Column, name: str,
+                block: int = 3600) -> DataFrame:
+    """Add the largest `value` at or before each position of the same keys.
+
+    Each block runs alone on top of the maximum of the blocks before it; only the
+    block maxima of a key, one row per block, pass through a task together.
+    """
+    rows = df.withColumn("_block", F.floor(F.col(pos) / block)).withColumn("_value", value)
+    before = W.partitionBy(*keys).orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    carried = (rows.groupBy(*keys, "_block").agg(F.max("_value").alias("_top"))
+               .withColumn("_carried", F.max("_top").over(before)).drop("_top"))
+    within = W.partitionBy(*keys, "_block").orderBy(pos).rowsBetween(W.unboundedPreceding, 0)
+    return (rows.join(carried, [*keys, "_block"])
+            .withColumn(name, F.coalesce(F.max("_value").over(within), F.col("_carried")))
+            .drop("_block", "_value", "_carried"))

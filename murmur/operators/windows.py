@@ -11,9 +11,6 @@ from murmur.functions.fixed import mean_of_micro, plain, to_micro
 from murmur.operators.spans import dense_rank, look_back
 from murmur.session import settle
 
-ALERT_COLUMNS = ("id", "title", "severity", "reason", "score", "metric", "brand", "window")
-
-
 def window_facts(mentions: DataFrame, seconds: int = S.WINDOW_SECONDS) -> DataFrame:
     """Per window and brand: mentions, negatives and the polarity sum in millionths.
 
@@ -148,24 +145,29 @@ def _alert(prefix: Column, title: Column, severity: Column, reason: Column, scor
             start.alias("window")]
 
 
+def window_rules(windows: DataFrame) -> DataFrame:
+    """Volume spikes and negative surges in one pass over the scored windows."""
+    volume, z = F.col("volume"), F.col("volume_z")
+    spike = F.struct(*_alert(
+        F.lit("window-volume-"), F.lit("Tweet volume spike"), _severity(z),
+        F.concat(F.lit("Current window has "), volume.cast("string"), F.lit(" mentions ("), plain(z, 1),
+                 F.lit(" standard deviations above baseline).")), _score(z), "volume"))
+    share, nz = F.col("negative_ratio"), F.col("negative_z")
+    surge = F.struct(*_alert(
+        F.lit("window-negative-"), F.lit("Negative sentiment surge"), _severity(nz),
+        F.concat(F.lit("Negative share is "), _whole(share * 100), F.lit("% ("), plain(nz, 1),
+                 F.lit(" standard deviations above baseline).")), _score(nz), "negative_ratio"))
+    raised = F.array(F.when((z >= S.ALERT_Z) & (volume >= S.MIN_SPIKE_VOLUME), spike),
+                     F.when((nz >= S.ALERT_Z) & (share >= S.MIN_NEGATIVE_RATIO), surge))
+    return windows.filter(enough_history(F.col("rank"))).select(F.inline(F.array_compact(raised)))
+
+
 def volume_spikes(windows: DataFrame) -> DataFrame:
-    z = F.col("volume_z")
-    reason = F.concat(F.lit("Current window has "), F.col("volume").cast("string"),
-                      F.lit(" mentions ("), plain(z, 1), F.lit(" standard deviations above baseline)."))
-    return windows.filter(enough_history(F.col("rank")) & (z >= S.ALERT_Z)
-                          & (F.col("volume") >= S.MIN_SPIKE_VOLUME)) \
-        .select(*_alert(F.lit("window-volume-"), F.lit("Tweet volume spike"), _severity(z),
-                        reason, _score(z), "volume"))
+    return window_rules(windows).filter(F.col("metric") == "volume")
 
 
 def negative_surges(windows: DataFrame) -> DataFrame:
-    z, share = F.col("negative_z"), F.col("negative_ratio")
-    reason = F.concat(F.lit("Negative share is "), _whole(share * 100), F.lit("% ("), plain(z, 1),
-                      F.lit(" standard deviations above baseline)."))
-    return windows.filter(enough_history(F.col("rank")) & (z >= S.ALERT_Z)
-                          & (share >= S.MIN_NEGATIVE_RATIO)) \
-        .select(*_alert(F.lit("window-negative-"), F.lit("Negative sentiment surge"), _severity(z),
-                        reason, _score(z), "negative_ratio"))
+    return window_rules(windows).filter(F.col("metric") == "negative_ratio")
 
 
 def brand_spikes(brands: DataFrame) -> DataFrame:
@@ -183,8 +185,7 @@ def brand_spikes(brands: DataFrame) -> DataFrame:
 def all_window_alerts(facts: DataFrame, seconds: int = S.WINDOW_SECONDS) -> DataFrame:
     """The three z-score rules on every window, a back-test of the whole history."""
     windows = scored_windows(window_metrics(facts), seconds)
-    return (volume_spikes(windows).unionByName(negative_surges(windows))
-            .unionByName(brand_spikes(scored_brands(facts, windows))))
+    return window_rules(windows).unionByName(brand_spikes(scored_brands(facts, windows)))
 
 
 def latest_window_alerts(facts: DataFrame, seconds: int = S.WINDOW_SECONDS,

@@ -269,17 +269,16 @@ def a13_scatter_points(spark, sf):
     return A.scatter_points(mentions(spark, sf))
 
 
-def all_words(spark, sf):
-    """One row per cleaned token of a document, with the number of mentions of that document."""
-    per_document = events(spark, sf).groupBy("doc_id").agg(F.count("*").alias("times"))
-    tokens = token_rows(spread(documents(spark, sf)), "doc_id", "tweet")
-    return tokens.groupBy("doc_id", "word").agg(F.count("*").alias("n")).join(per_document, "doc_id")
-
-
 @query
 def a14_word_frequency(spark, sf):
-    """Words over all mentions: a document counts as often as it is mentioned."""
-    rows = all_words(spark, sf).groupBy("word").agg(F.sum(F.col("n") * F.col("times")).alias("n"))
+    """Words over all mentions: a document counts as often as it is mentioned.
+
+    The number of mentions joins the documents, not their many more words.
+    """
+    times = events(spark, sf).groupBy("doc_id").agg(F.count("*").alias("times"))
+    docs = spread(documents(spark, sf).join(times, "doc_id"))
+    words = docs.select("times", F.explode(text.clean_tokens(F.col("tweet"))).alias("word"))
+    rows = words.groupBy("word").agg(F.sum("times").alias("n"))
     return rows.orderBy(F.desc("n"), "word").limit(S.TOP_WORDS)
 
 
@@ -605,9 +604,9 @@ def j4_zero_fill(spark, sf):
 @query
 def t4_j5_meta_lookup(spark, sf):
     """Brand and user of each turn by its text, from the documents; most have none."""
-    source = documents(spark, sf).join(table(spark, sf, "documents").select(
-        "doc_id", F.col("lang").alias("brand"), F.col("source").alias("username")), "doc_id") \
-        .withColumnRenamed("tweet", "tweet_text")
+    source = table(spark, sf, "documents").select(
+        "doc_id", F.col("text").alias("tweet_text"), F.col("lang").alias("brand"),
+        F.col("source").alias("username"))
     messages = table(spark, sf, "documents").select(F.col("doc_id").alias("tweet_id"),
                                                     F.col("text").alias("tweet_text")).unionByName(
         table(spark, sf, "conversations").select((-F.col("conv_id") * 1000 - F.col("turn")).alias("tweet_id"),
