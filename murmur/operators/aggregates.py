@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from murmur import settings as S
 from murmur.functions.fixed import mean, mean_of_micro, percent, plain, ratio, to_micro
 from murmur.functions.sentiment import bucket_order, polarity_bucket, score_0_100
-from murmur.operators.spans import look_back
+from murmur.operators.spans import sliding_sum
 from murmur.operators.windows import minute_grid
 
 
@@ -186,8 +186,8 @@ def rolling_avg_polarity(df: DataFrame, seconds: int = 300) -> DataFrame:
     """
     per_second = (df.filter("timestamp IS NOT NULL").groupBy(F.unix_timestamp("timestamp").alias("second"))
                   .agg(F.sum(to_micro(F.col("polarity"))).alias("micro"), F.count("*").alias("n")))
-    rolled = look_back(per_second, [], "second", seconds,
-                       {"_micro": F.sum("micro"), "_n": F.sum("n")}, include_self=True, block=14_400)
+    rolled = sliding_sum(per_second, [], "second", seconds, {"_micro": F.col("micro"), "_n": F.col("n")},
+                         block=14_400)
     return rolled.select(F.timestamp_seconds("second").alias("second"), F.col("_n").alias("n"),
                          mean_of_micro(F.col("_micro"), F.col("_n"), 6).alias("rolling_avg_polarity"))
 

@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from murmur import settings as S
-from murmur.operators.spans import look_back, running_max
+from murmur.operators.spans import last_seen, running_max, sliding_sum
 
 FAR = 1 << 40
 
@@ -41,8 +41,7 @@ def busy_seconds(log: DataFrame, key: str, limit: int = S.API_LIMIT[0],
 
     The screening form: it counts every attempt, refused or not.
     """
-    rolled = look_back(per_second(log, key), ["key"], "second", seconds - 1,
-                       {"in_span": F.sum("attempts")}, include_self=True)
+    rolled = sliding_sum(per_second(log, key), ["key"], "second", seconds - 1, {"in_span": F.col("attempts")})
     return rolled.filter(F.col("in_span") > limit)
 
 
@@ -53,22 +52,19 @@ def _stretches(seen: DataFrame, limit: int, span: int) -> DataFrame:
     refused. Once that has held for a whole span, the limiter's memory is just the
     attempts of that span: a stretch starts there, from its warm-up rows.
     """
-    rolled = look_back(seen, ["key"], "second", span, {"in_span": F.sum("attempts")}, include_self=True)
-    over = rolled.withColumn("over", F.when(F.col("in_span") > limit, F.col("second")))
-    near = look_back(over, ["key"], "second", span, {"last_over": F.max("over")}, include_self=True)
-    marked = near.withColumn("contested", F.when(F.col("last_over").isNotNull(), F.col("second")))
-    opened = look_back(marked, ["key"], "second", span, {"before": F.max("contested")})
-    starts = opened.withColumn("start", F.when(
-        F.col("contested").isNotNull() & F.col("before").isNull(), F.col("second")))
-    ahead = look_back(starts.withColumn("back", FAR - F.col("second")), ["key"], "back", span,
-                      {"next_start": F.min("start")})
+    key, second = ["key"], F.col("second")
+    rolled = sliding_sum(seen, key, "second", span, {"in_span": F.col("attempts")})
+    near = last_seen(rolled, key, "second", span, F.col("in_span") > limit, "last_over")
+    contested = F.col("last_over").isNotNull()
+    opened = last_seen(near, key, "second", span, contested, "before", strict=True)
+    starts = contested & F.col("before").isNull()
+    ahead = last_seen(opened.withColumn("back", FAR - second), key, "back", span, starts, "ahead", strict=True)
     # A second that is not contested itself warms up the stretch that opens within a
     # span after it, or else still counts towards the one it follows.
-    walked = ahead.filter("contested IS NOT NULL OR before IS NOT NULL OR next_start IS NOT NULL")
-    opened = running_max(walked, ["key"], "second", F.col("start"), "last_start")
-    stretch = F.when(F.col("contested").isNull() & F.col("next_start").isNotNull(), F.col("next_start")) \
-               .otherwise(F.col("last_start"))
-    return opened.select("key", "second", "attempts", stretch.alias("stretch"))
+    walked = ahead.filter(contested | F.col("before").isNotNull() | F.col("ahead").isNotNull())
+    marked = running_max(walked, key, "second", F.when(starts, second), "last_start")
+    stretch = F.when(~contested & F.col("ahead").isNotNull(), FAR - F.col("ahead")).otherwise(F.col("last_start"))
+    return marked.select("key", "second", "attempts", stretch.alias("stretch"))
 
 
 def _walk(stretches: DataFrame, walker: Callable, schema: str) -> DataFrame:
@@ -166,8 +162,8 @@ def lockouts(log: DataFrame, key: str, order: str, failed: Column,
         return step
 
     seen = outcome_seconds(log, key, order, failed)
-    recent = look_back(seen, ["key"], "second", seconds - 1, {"before": F.sum("failures")})
-    cut = F.when((F.col("lead") == 0) & (F.coalesce("before", F.lit(0)) == 0), F.col("second"))
+    recent = last_seen(seen, ["key"], "second", seconds - 1, F.col("failures") > 0, "before", strict=True)
+    cut = F.when((F.col("lead") == 0) & F.col("before").isNull(), F.col("second"))
     stretches = running_max(recent, ["key"], "second", cut, "stretch").fillna(-1, ["stretch"])
     return _walk(stretches, account,
                  "key STRING, locked_at BIGINT, locked_until BIGINT, failures BIGINT")

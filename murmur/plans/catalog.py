@@ -419,8 +419,8 @@ def w7_isolation_forest(spark, sf):
 
 @query
 def w8_score_windows(spark, sf):
-    """The latest window under all rules, the forest included."""
-    base = facts(spark, sf)
+    """The latest window, the one with the spike, under all rules, the forest included."""
+    base = spiked_facts(spark, sf)
     latest = windows.latest_window_alerts(base, HOUR)
     forest = isolation.latest_isolation(windows.window_metrics(base), HOUR)
     return latest.unionByName(isolation.isolation_alerts(forest))
@@ -833,12 +833,19 @@ def spiked(spark, sf):
     return rows, replay.spike_rows(rows, 60, at)
 
 
+def with_spike(spark, sf):
+    rows, spike = spiked(spark, sf)
+    return rows.unionByName(spike.drop("value"))
+
+
+def spiked_facts(spark, sf):
+    return settle(windows.window_facts(with_spike(spark, sf), HOUR))
+
+
 @query
 def t7_inject_spike(spark, sf):
     """Alerts of the window a spike of 60 rows was put in."""
-    rows, spike = spiked(spark, sf)
-    both = rows.unionByName(spike.drop("value"))
-    return windows.latest_window_alerts(settle(windows.window_facts(both, HOUR)), HOUR)
+    return windows.latest_window_alerts(spiked_facts(spark, sf), HOUR)
 
 
 @query
@@ -921,10 +928,10 @@ def st4_one_query_all_sinks(spark, sf):
     return counts[0].unionByName(counts[1]).unionByName(counts[2])
 
 
-def mention_stream(spark, sf):
+def mention_stream(spark, sf, rows=None):
     """Scored mentions as a stream, from the table the first query of the chain wrote."""
     path = scratch_folder(spark, "scored") + "/mentions"
-    scored_rows(spark, sf).write.parquet(path)
+    (scored_rows(spark, sf) if rows is None else rows).write.parquet(path)
     return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
 
 
@@ -954,8 +961,9 @@ def st2_watermark_dedup(spark, sf):
 
 @query
 def st3_stream_alerts(spark, sf):
+    """Alerts the stream logs for a window with an injected spike."""
     base = scratch_folder(spark, "st3")
-    stream = jobs.window_fact_stream(mention_stream(spark, sf), HOUR)
+    stream = jobs.window_fact_stream(mention_stream(spark, sf, with_spike(spark, sf)), HOUR)
     jobs.alert_job(stream, f"{base}/facts", f"{base}/alerts", f"{base}/checkpoint", HOUR, **ONCE).awaitTermination()
     log = spark.read.schema(schemas.ALERT_LOG).parquet(f"{base}/alerts")
     return alert_ops.fold_alert_log(log).select("alert_id", "title", "detail", "severity", "status")

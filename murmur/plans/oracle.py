@@ -226,7 +226,6 @@ EVENT_SUBJECTIVITY = ("CASE event_type WHEN 'error' THEN 0.5 WHEN 'purchase' THE
 STREAM = f"""
 st AS (SELECT event_id, ts AS timestamp, event_type AS brand, {EVENT_SCORE} AS polarity, {EVENT_SUBJECTIVITY} AS subjectivity FROM events),
 stream AS (SELECT *, {label('polarity')} AS sentiment, {confidence('polarity', 'subjectivity')} AS confidence FROM st)"""
-LATEST = with_(WINDOWS, "SELECT * FROM alerts WHERE \"window\" = (SELECT strftime(max(window_start), " + ISO + ") FROM win)")
 SPIKED = MENTIONS + """,
 seeds AS (SELECT *, row_number() OVER (ORDER BY mention_id) - 1 AS row_id FROM m WHERE sentiment = 'Negative' ORDER BY mention_id LIMIT 60),
 spike AS (SELECT t.i, s.* FROM range(60) t(i) JOIN seeds s ON t.i % (SELECT count(*) FROM seeds) = s.row_id),
@@ -423,7 +422,7 @@ SQL = {
     "st4_one_query_all_sinks": "SELECT unnest(['mentions', 'csv', 'history']) AS sink, count(*) AS n FROM events",
     "st1_stream_tumbling": with_(WINDOWS, f"SELECT strftime(window_start, {SECONDS}) AS window_start, volume, mean_polarity, round(negative_ratio, 6) AS negative_ratio FROM metrics"),
     "st2_watermark_dedup": "SELECT event_type AS brand, count(*) AS n FROM events GROUP BY ALL",
-    "st3_stream_alerts": with_(WINDOWS, f"SELECT id AS alert_id, title, reason AS detail, severity, 'Open' AS status FROM alerts WHERE \"window\" = (SELECT strftime(max(window_start), {ISO}) FROM win)"),
+    "st3_stream_alerts": with_(SPIKED + window_ctes(HOUR, "with_spike"), f"SELECT id AS alert_id, title, reason AS detail, severity, 'Open' AS status FROM alerts WHERE \"window\" = (SELECT strftime(max(window_start), {ISO}) FROM win)"),
     "k5_export_csv": with_(MENTIONS + ", k AS (SELECT m.*, text FROM m JOIN documents USING (doc_id) WHERE brand = 'click' AND sentiment = 'Negative')",
                            f"""SELECT CASE WHEN regexp_matches(text, '^[ \\t\\r\\n]*[=+\\-@]') THEN '''' || text ELSE text END AS tweet, brand, username, sentiment,
       polarity::varchar AS polarity, confidence::varchar AS confidence FROM k WHERE timestamp >= {RECENT.format('k', '30 DAYS')}"""),

@@ -110,9 +110,17 @@ def test_look_back_and_rank_across_blocks(spark):
     positions = sorted(rng.sample(range(1000), 300))
     data = [("a" if p % 3 else "b", p, rng.randrange(100)) for p in positions]
     df = spark.createDataFrame(data, "k STRING, pos BIGINT, v BIGINT")
-    got = {r["pos"]: r["s"] for r in spans.look_back(df, ["k"], "pos", 7, {"s": F.sum("v")}, True, block=10).collect()}
-    for k, p, _ in data:
-        assert got[p] == sum(v for kk, q, v in data if kk == k and p - 7 <= q <= p)
+    back = {r["pos"]: r["s"] for r in spans.look_back(df, ["k"], "pos", 7, {"s": F.sum("v")}, block=10).collect()}
+    slid = {r["pos"]: r["s"] for r in spans.sliding_sum(df, ["k"], "pos", 7, {"s": F.col("v")}, block=10).collect()}
+    seen = {r["pos"]: r["s"] for r in spans.last_seen(df, ["k"], "pos", 7, F.col("v") > 50, "s", True, block=10).collect()}
+    top = {r["pos"]: r["s"] for r in spans.running_max(df, ["k"], "pos", F.col("v"), "s", block=10).collect()}
+    assert len(back) == len(slid) == len(seen) == len(top) == 300
+    for k, p, v in data:
+        near = [(q, w) for kk, q, w in data if kk == k and p - 7 <= q < p]
+        assert back[p] == (sum(w for _, w in near) if near else None)
+        assert slid[p] == sum(w for _, w in near) + v
+        assert seen[p] == max((q for q, w in near if w > 50), default=None)
+        assert top[p] == max(w for kk, q, w in data if kk == k and q <= p)
     ranks = {r["pos"]: r["rank"] for r in spans.dense_rank(df, "pos", block=16).collect()}
     assert [ranks[p] for p in positions] == list(range(1, 301))
 
