@@ -61,6 +61,9 @@ def round_binary(value: Column, places: int) -> Column:
     return bind(value, rounded)
 
 
-def plain(value: Column, places: int) -> Column:
-    """Fixed-decimal text of an already rounded number."""
-    return F.format_string(f"%.{places}f", F.bround(value, places))
+def plain(value: Column, places: int, sign_of: Column | None = None) -> Column:
+    """Fixed-decimal text, half-even; a negative number that rounds to zero keeps its sign."""
+    rounded = F.bround(value, places)
+    text = F.format_string(f"%.{places}f", rounded)
+    negative = (value if sign_of is None else sign_of) < 0
+    return F.when(negative & (rounded == 0), F.concat(F.lit("-"), text)).otherwise(text)

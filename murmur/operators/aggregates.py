@@ -156,13 +156,14 @@ def score_trend(df: DataFrame) -> DataFrame:
 def report_summary(df: DataFrame) -> DataFrame:
     """Metric and value rows of the report; the value is text."""
     figures = df.agg(F.count("*").alias("n"), *label_counts(),
-                     F.coalesce(mean(F.col("polarity"), 3), F.lit(0.0)).alias("polarity"))
+                     F.coalesce(mean(F.col("polarity"), 3), F.lit(0.0)).alias("polarity"),
+                     F.coalesce(F.sum(to_micro(F.col("polarity"))), F.lit(0)).alias("micro"))
     return figures.select(F.inline(F.array(*[
         F.struct(F.lit(i).alias("position"), F.lit(name).alias("metric"), value.alias("value"))
         for i, (name, value) in enumerate((
             ("Mentions", F.col("n").cast("string")), ("Positive", F.col("positive").cast("string")),
             ("Neutral", F.col("neutral").cast("string")), ("Negative", F.col("negative").cast("string")),
-            ("Average polarity", plain(F.col("polarity"), 3))), 1)])))
+            ("Average polarity", plain(F.col("polarity"), 3, F.col("micro")))), 1)])))
 
 
 def _newest(df: DataFrame, span: str) -> DataFrame:

@@ -40,13 +40,13 @@ def mean(micro: str, n: str, places: int) -> str:
     """Half-even mean of a sum in millionths."""
     step = 10 ** (6 - places)
     return (f"(round_even(({micro})::double / (nullif({n}, 0)::double * {step}::double), 0) "
-            f"/ {10 ** places}::double)")
+            f"/ {10 ** places}::double + 0.0::double)")
 
 
 def ratio(top: str, bottom: str, places: int) -> str:
     scale = 10 ** places
     return (f"coalesce(round_even(({top})::double * {scale}::double / nullif({bottom}, 0)::double, 0) "
-            f"/ {scale}::double, 0.0::double)")
+            f"/ {scale}::double + 0.0::double, 0.0::double)")
 
 
 def label(p: str) -> str:
@@ -321,22 +321,22 @@ SQL = {
     "a19_gauges": with_(ALERT_LOG, "SELECT (SELECT count(*) FROM events) AS records_loaded, count(*) FILTER (status = 'Open') AS open_alerts FROM state"),
     "a20_report_summary": with_(MENTIONS + "," + KPI, f"""SELECT 1 AS position, 'Mentions' AS metric, total::varchar AS value FROM kpi
       UNION ALL SELECT 2, 'Positive', positive::varchar FROM kpi UNION ALL SELECT 3, 'Neutral', neutral::varchar FROM kpi
-      UNION ALL SELECT 4, 'Negative', negative::varchar FROM kpi UNION ALL SELECT 5, 'Average polarity', printf('%.3f', {P_MEAN}) FROM m"""),
+      UNION ALL SELECT 4, 'Negative', negative::varchar FROM kpi UNION ALL SELECT 5, 'Average polarity', CASE WHEN sum(pm) < 0 AND {P_MEAN} = 0 THEN '-' ELSE '' END || printf('%.3f', {P_MEAN}) FROM m"""),
     "a21_latest_window_count": with_(EVENTS, f"SELECT count(*) AS n FROM ev WHERE timestamp > {RECENT.format('ev', '3600 SECONDS')}"),
     "a22_latest_avg_polarity": with_(MENTIONS, f"SELECT {mean('sum(pm)', 'count(*)', 6)} AS rolling_avg_polarity FROM m WHERE timestamp > {RECENT.format('m', '60 MINUTES')}"),
     "a22_rolling_avg_polarity": with_(MENTIONS, f"""SELECT strftime(to_timestamp(second) AT TIME ZONE 'UTC', {SECONDS}) AS second, n, {mean('p', 'n', 6)} AS rolling_avg_polarity FROM (
       SELECT DISTINCT second, count(*) OVER w AS n, sum(pm) OVER w AS p FROM (SELECT floor(epoch(timestamp))::bigint AS second, pm FROM m)
       WINDOW w AS (ORDER BY second RANGE BETWEEN 300 PRECEDING AND CURRENT ROW))"""),
     "w1_trailing_baseline": with_(WINDOWS, f"SELECT strftime(window_start, {SECONDS}) AS window_start, rank, n FROM win"),
-    "w2_zscore": with_(WINDOWS, f"SELECT strftime(window_start, {SECONDS}) AS window_start, round(volume_z, 6) AS volume_z, round(negative_z, 6) AS negative_z FROM win"),
-    "w2_zscore_gap_filled": with_(MENTIONS + window_ctes(300), f"""SELECT strftime(window_start, {SECONDS}) AS window_start, volume, round({z('volume', 'n', 's', 'q')}, 6) AS volume_z
+    "w2_zscore": with_(WINDOWS, f"SELECT strftime(window_start, {SECONDS}) AS window_start, round(volume_z, 6) + 0.0::double AS volume_z, round(negative_z, 6) + 0.0::double AS negative_z FROM win"),
+    "w2_zscore_gap_filled": with_(MENTIONS + window_ctes(300), f"""SELECT strftime(window_start, {SECONDS}) AS window_start, volume, round({z('volume', 'n', 's', 'q')}, 6) + 0.0::double AS volume_z
       FROM (SELECT *, count(*) OVER h AS n, sum(volume) OVER h AS s, sum(volume * volume) OVER h AS q FROM (
         SELECT g.window_start, coalesce(volume, 0) AS volume FROM (SELECT unnest(generate_series(min(window_start), max(window_start), INTERVAL 5 MINUTES)) AS window_start FROM metrics) g
         LEFT JOIN metrics USING (window_start)) WINDOW h AS (ORDER BY window_start ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING))"""),
     "w3_min_history": with_(WINDOWS, f"SELECT strftime(window_start, {SECONDS}) AS window_start, rank >= 4 AS watched FROM win"),
     "w4_volume_spike": with_(WINDOWS, "SELECT * EXCLUDE (brand) FROM alerts WHERE metric = 'volume'"),
     "w5_negative_surge": with_(WINDOWS, "SELECT * EXCLUDE (brand) FROM alerts WHERE metric = 'negative_ratio'"),
-    "w6_brand_zscore": with_(WINDOWS, f"SELECT strftime(window_start, {SECONDS}) AS window_start, brand, mentions, n, round(brand_z, 6) AS brand_z FROM bz"),
+    "w6_brand_zscore": with_(WINDOWS, f"SELECT strftime(window_start, {SECONDS}) AS window_start, brand, mentions, n, round(brand_z, 6) + 0.0::double AS brand_z FROM bz"),
     "w6_brand_volume": with_(WINDOWS, "SELECT * FROM alerts WHERE metric = 'brand_volume'"),
     "w8_back_test": with_(WINDOWS, "SELECT * FROM alerts"),
     "w9_brand_bar_norm": with_(MENTIONS + "," + BY_BRAND + ", top AS (SELECT * FROM by_brand ORDER BY total DESC, brand LIMIT 6)",
