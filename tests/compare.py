@@ -23,7 +23,7 @@ def connect(sf_dir: str):
 def _cell(value):
     if value is None or (isinstance(value, float) and math.isnan(value)):
         return None
-    return round(value, 9) + 0.0 if isinstance(value, float) else value
+    return repr(value) if isinstance(value, float) else value  # to the last bit, sign of zero included
 
 
 def spark_rows(df):
