@@ -15,8 +15,11 @@ def iso_utc(ts: Column) -> Column:
 
 
 def parse_timestamp(text: Column) -> Column:
-    """ISO date or date-time text as an instant; no offset means UTC, anything else null."""
-    return F.try_to_timestamp(text)
+    """ISO date or date-time text as an instant; no offset means UTC, anything else null.
+
+    A time without a date is no instant: it would be read as of today.
+    """
+    return F.when(text.rlike(r"^\s*[+-]?\d{4}"), F.try_to_timestamp(text))
 
 
 def spreadsheet_safe(text: Column) -> Column:
@@ -25,7 +28,8 @@ def spreadsheet_safe(text: Column) -> Column:
 
 
 def tweet_hash(timestamp: Column, tweet: Column) -> Column:
-    return F.sha2(F.concat(timestamp, F.lit("|"), tweet), 256)
+    """The identity of a mention; a missing timestamp or text counts as empty."""
+    return F.sha2(F.concat(F.coalesce(timestamp, F.lit("")), F.lit("|"), F.coalesce(tweet, F.lit(""))), 256)
 
 
 def html_escape(text: Column) -> Column:

@@ -122,8 +122,8 @@ def word_frequency(df: DataFrame, top: int = S.TOP_WORDS) -> DataFrame:
 
 
 def count_words(words: DataFrame, top: int = S.TOP_WORDS) -> DataFrame:
-    """The most frequent values of column `word`; ties in alphabetical order."""
-    return words.groupBy("word").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "word").limit(top)
+    """The most frequent words of (word, n) rows; ties in alphabetical order."""
+    return words.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(top)
 
 
 def timeline_minute_of_day(df: DataFrame) -> DataFrame:
@@ -168,7 +168,7 @@ def report_summary(df: DataFrame) -> DataFrame:
 
 def _newest(df: DataFrame, span: str) -> DataFrame:
     newest = df.select(F.max("timestamp")).scalar()
-    return df.filter(F.col("timestamp") > newest - F.expr(f"INTERVAL {span}"))
+    return df.filter(F.col("timestamp") >= newest - F.expr(f"INTERVAL {span}"))
 
 
 def latest_window_count(df: DataFrame, seconds: int = 30) -> DataFrame:

@@ -35,12 +35,16 @@ def as_alerts(window_alerts: DataFrame) -> DataFrame:
 
 
 def fold_alert_log(log: DataFrame) -> DataFrame:
-    """Current alerts: newest title, detail and severity; first status and creation time."""
-    newest = F.max_by(F.struct("title", "detail", "severity"), "at")
+    """Current alerts: newest title, detail and severity; first status and creation time.
+
+    Of entries with one time the largest is the newest and the smallest the first, so
+    that the state does not depend on the order they were read in.
+    """
+    newest = F.max(F.struct("at", "title", "detail", "severity"))
     return (log.groupBy("alert_id")
-            .agg(newest.alias("n"), F.min_by("status", "at").alias("status"),
+            .agg(newest.alias("n"), F.min(F.struct("at", "status")).alias("f"),
                  F.min("at").alias("created_at"), F.max("at").alias("updated_at"))
-            .select("alert_id", "n.*", "status", "created_at", "updated_at"))
+            .select("alert_id", "n.title", "n.detail", "n.severity", "f.status", "created_at", "updated_at"))
 
 
 def upsert_alerts(state: DataFrame, batch: DataFrame) -> DataFrame:
@@ -48,9 +52,9 @@ def upsert_alerts(state: DataFrame, batch: DataFrame) -> DataFrame:
     new = batch.select("alert_id", F.struct("title", "detail", "severity", "status", "at").alias("b"))
     old = state.select("alert_id", F.struct("title", "detail", "severity", "status",
                                             "created_at", "updated_at").alias("s"))
-    latest = new.groupBy("alert_id").agg(F.max_by("b", "b.at").alias("b"),
-                                         F.min_by("b.status", "b.at").alias("first_status"),
-                                         F.min("b.at").alias("first_at"))
+    latest = new.groupBy("alert_id").agg(
+        F.max(F.struct("b.at", "b.title", "b.detail", "b.severity")).alias("b"),
+        F.min(F.struct("b.at", "b.status"))["status"].alias("first_status"), F.min("b.at").alias("first_at"))
     return old.join(latest, "alert_id", "full_outer").select(
         "alert_id", *[F.coalesce(f"b.{c}", f"s.{c}").alias(c) for c in ("title", "detail", "severity")],
         F.coalesce("s.status", "first_status").alias("status"),
@@ -63,7 +67,7 @@ def latest_status(actions: DataFrame) -> DataFrame:
     status = F.when(F.col("action") == "acknowledge", ACTIONS["acknowledge"]) \
               .when(F.col("action") == "resolve", ACTIONS["resolve"])
     return (actions.withColumn("status", status).filter("status IS NOT NULL")
-            .groupBy("alert_id").agg(F.max_by("status", "at").alias("status"), F.max("at").alias("at")))
+            .groupBy("alert_id").agg(F.max(F.struct("at", "status"))["status"].alias("status"), F.max("at").alias("at")))
 
 
 def unknown_actions(actions: DataFrame) -> DataFrame:
@@ -87,7 +91,8 @@ def status_overlay(alerts: DataFrame, session: DataFrame, stored: DataFrame,
                    loose: DataFrame) -> DataFrame:
     """Status of each alert: session before stored alert before loose status before Open."""
     for rank, source in enumerate((session, stored, loose)):
-        named = source.select(F.col("alert_id").alias("id"), F.col("status").alias(f"_status{rank}"))
+        # A source that lists an id twice must not double the alert.
+        named = source.groupBy(F.col("alert_id").alias("id")).agg(F.max("status").alias(f"_status{rank}"))
         alerts = alerts.join(named, "id", "left")
     return alerts.withColumn("status", F.coalesce("_status0", "_status1", "_status2", F.lit(OPEN))) \
                  .drop("_status0", "_status1", "_status2")
@@ -107,6 +112,33 @@ def all_alerts(current: DataFrame, stored: DataFrame, session: DataFrame) -> Dat
             .unionByName(not_listed(session, current, kept), allowMissingColumns=True))
 
 
+def current_alerts(mentions: DataFrame, detected: DataFrame) -> DataFrame:
+    """The share rule's alert and the detector's, in the shape of the alert list."""
+    share = negative_share_alert(mentions).withColumn("time", F.lit("Now"))
+    return share.unionByName(as_alerts(detected))
+
+
+def save_current(saved: DataFrame, current: DataFrame, at) -> DataFrame:
+    """Saved alerts after the current ones were saved at one moment; new ones are Open."""
+    return upsert_alerts(saved, current.select(
+        F.col("id").alias("alert_id"), "title", "detail", "severity", F.lit(OPEN).alias("status"), at.alias("at")))
+
+
+def alert_list(current: DataFrame, saved: DataFrame, actions: DataFrame, session: DataFrame) -> DataFrame:
+    """The alert list: current alerts, then saved ones, then those of the session, each id once.
+
+    A current alert's status is that of the latest action on it, else the saved one, else
+    Open. `saved` is a state as `save_current` returns it, `session` has id, title, detail,
+    severity and status.
+    """
+    moved = latest_status(actions)
+    now = status_overlay(current, moved, saved, moved)
+    kept = apply_transitions(saved, actions).select(
+        F.col("alert_id").alias("id"), "title", "detail", "severity", "status",
+        F.date_format("updated_at", "yyyy-MM-dd HH:mm").alias("time"))
+    return all_alerts(now, kept, session.withColumn("time", F.lit("Now")))
+
+
 def gauges(mentions: DataFrame, alerts: DataFrame) -> DataFrame:
     opened = alerts.agg(F.count_if(F.col("status") == OPEN))
     return mentions.agg(F.count("*").alias("records_loaded")).withColumn("open_alerts", opened.scalar())

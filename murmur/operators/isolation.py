@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from murmur import settings as S
 from murmur.functions.display import iso_utc
 from murmur.operators.spans import dense_rank
-from murmur.session import settle
 
 FEATURES = ["volume", "mean_polarity", "negative_ratio"]
 NODE = "tree INT, node INT, feature INT, cut DOUBLE, depth INT, size INT"
@@ -117,11 +116,12 @@ def latest_isolation(metrics: DataFrame, seconds: int = S.WINDOW_SECONDS, trees:
                      sample: int = S.FOREST_SAMPLE, seed: int = S.FOREST_SEED) -> DataFrame:
     """The latest window with its score by a forest fitted on all windows before it.
 
-    With fewer than FOREST_MIN_WINDOWS windows the score is 0.
+    With fewer than FOREST_MIN_WINDOWS windows the score is 0. The metrics are read
+    several times: settle the facts they come from.
     """
     metrics = metrics.select("window_start", *FEATURES)
     position = F.floor(F.unix_timestamp("window_start") / seconds)
-    ranked = settle(dense_rank(metrics.withColumn("_pos", position), "_pos").drop("_pos"))
+    ranked = dense_rank(metrics.withColumn("_pos", position), "_pos").drop("_pos")
     n = ranked.count()
     last = ranked.filter(F.col("rank") == n)
     if n < S.FOREST_MIN_WINDOWS:

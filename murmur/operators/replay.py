@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from murmur import settings as S
-from murmur.operators.lookup import lookup_join
+from murmur.operators.filters import WHITE_SPACE
 
 
 def limit_rows(df: DataFrame, n: int | None, order: str) -> DataFrame:
@@ -16,17 +16,19 @@ def limit_rows(df: DataFrame, n: int | None, order: str) -> DataFrame:
 
 
 def with_meta(messages: DataFrame, source: DataFrame, order: str) -> DataFrame:
-    """Brand and username of each message by its trimmed text, with defaults.
+    """Brand and username of each message by its text without outer white space, with defaults.
 
     A text met more than once takes its last row. The lookup goes by a digest of
-    the text, so neither side shuffles or broadcasts the texts themselves.
+    the text, so the source's texts are neither shuffled nor broadcast.
     """
+    def trimmed(column: str) -> Column:
+        return F.btrim(column, F.lit(WHITE_SPACE)).alias(column)
+
     def digest(column: str) -> Column:
-        return F.sha2(F.trim(F.col(column)), 256).alias("_digest")
+        return F.sha2(trimmed(column), 256).alias("_digest")
     meta = source.groupBy(digest("tweet_text")).agg(
-        F.max_by(F.struct(F.trim("brand").alias("brand"), F.trim("username").alias("username")),
-                 order).alias("_m"))
-    found = lookup_join(messages.withColumn("_digest", digest("tweet_text")), meta, "_digest", "left")
+        F.max_by(F.struct(trimmed("brand"), trimmed("username")), order).alias("_m"))
+    found = messages.withColumn("_digest", digest("tweet_text")).join(meta, "_digest", "left")
     return found.withColumn("brand", F.coalesce("_m.brand", F.lit(S.DEFAULT_BRAND))) \
                 .withColumn("username", F.coalesce("_m.username", F.lit(S.DEFAULT_USER))) \
                 .drop("_digest", "_m")

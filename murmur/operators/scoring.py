@@ -2,21 +2,16 @@
 
 from __future__ import annotations
 
-import json
 from importlib import resources
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from murmur.functions.fixed import to_micro
 from murmur.functions.sentiment import score_struct
-from murmur.functions.text import all_tokens, bind, clean_tokens, clean_tweet, stopwords
-from murmur.operators.lookup import lookup_join
+from murmur.functions.text import all_tokens, clean_tweet, stopwords
 
 LEXICON = "word STRING, polarity DOUBLE, subjectivity DOUBLE"
-LITERAL_WORDS = 20_000
-SLOT_WORDS = 8
-
 
 def default_lexicon(spark: SparkSession) -> DataFrame:
     """The shipped starter lexicon. Real use passes its own table."""
@@ -26,73 +21,38 @@ def default_lexicon(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, LEXICON)
 
 
-def _slot(word: Column, slots: int) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(slots)).cast("int")
+def token_rows(df: DataFrame, key: str, text: str) -> DataFrame:
+    """One row per token that survives the stop words."""
+    rows = df.select(key, F.explode(all_tokens(F.col(text))).alias("word"))
+    return rows.filter((F.length("word") > 1) & ~F.col("word").isin(list(stopwords())))
 
 
-class LiteralLexicon:
-    """A lexicon small enough to travel inside the query, as slots of a few words each.
+def score_by_join(df: DataFrame, lexicon: DataFrame, key: str, text: str) -> DataFrame:
+    """One row per `key` with its scores, for a lexicon of any size; `key` has no repeats.
 
-    Scoring with it is a projection: no shuffle, no row key, no state, so the
-    same expression serves a batch scan and an append-mode stream.
+    A plain join: Spark broadcasts a lexicon whose size it knows to be small and shuffles
+    the words otherwise, splitting frequent ones. Only words that hit go on, and a
+    partial sum per key goes before the shuffle; keys without a hit come back from `df`.
     """
+    words = lexicon.select("word", to_micro(F.col("polarity")).alias("p"),
+                           to_micro(F.col("subjectivity")).alias("s"))
+    sums = token_rows(df, key, text).join(words, "word").groupBy(F.col(key).alias("_key")).agg(
+        F.sum("p").alias("p"), F.sum("s").alias("s"), F.count("*").alias("n"))
+    zero = F.lit(0).cast("bigint")
+    scored = df.select(key).join(sums, F.col(key) == F.col("_key"), "left").select(
+        key, score_struct(F.coalesce("p", zero), F.coalesce("s", zero), F.coalesce("n", zero)).alias("_score"))
+    return scored.select(key, "_score.*")
 
-    def __init__(self, lexicon: DataFrame, max_words: int = LITERAL_WORDS):
-        words = lexicon.select("word", to_micro(F.col("polarity")).alias("p"),
-                               to_micro(F.col("subjectivity")).alias("s"))
-        n = words.limit(max_words + 1).count()
-        if n > max_words:
-            raise ValueError(f"more than {max_words} words: use score_by_join")
-        self.slots = max(1, n // SLOT_WORDS)
-        self.rows = words.withColumn("slot", _slot(F.col("word"), self.slots)).limit(max_words).collect()
-
-    def table(self) -> Column:
-        slots: list[dict] = [{} for _ in range(self.slots)]
-        for row in self.rows:
-            slots[row["slot"]][row["word"]] = {"p": row["p"], "s": row["s"]}
-        return F.from_json(F.lit(json.dumps(slots)), "array<map<string,struct<p:bigint,s:bigint>>>")
-
-    def score_tokens(self, tokens: Column) -> Column:
-        table = self.table()
-        hits = F.filter(F.transform(tokens, lambda t: F.get(table, _slot(t, self.slots))[t]),
-                        lambda h: h.isNotNull())
-        return bind(hits, lambda hs: score_struct(
-            F.aggregate(hs, F.lit(0).cast("bigint"), lambda a, h: a + h["p"]),
-            F.aggregate(hs, F.lit(0).cast("bigint"), lambda a, h: a + h["s"]),
-            F.size(hs)))
-
-
-def score_text(df: DataFrame, lexicon: LiteralLexicon, text: str = "tweet",
-               keep_clean: bool = True) -> DataFrame:
-    """Add clean_tweet and the four score columns to every row; works on streams."""
-    if keep_clean:
-        df = df.withColumn("clean_tweet", clean_tweet(F.col(text)))
-        tokens = F.split("clean_tweet", " ")
-    else:
-        tokens = clean_tokens(F.col(text))
-    return df.withColumn("_score", lexicon.score_tokens(tokens)).select(*df.columns, "_score.*")
-
-
-def token_rows(df: DataFrame, key: str, text: str, keep_empty: bool = False) -> DataFrame:
-    """One row per token that survives the stop words; `keep_empty` keeps textless keys."""
-    rows = df.select(key, F.explode_outer(all_tokens(F.col(text))).alias("word"))
-    kept = (F.length("word") > 1) & ~F.col("word").isin(list(stopwords()))
-    if keep_empty:
-        return rows.withColumn("word", F.when(kept, F.col("word")))
-    return rows.filter(kept)
 
+def score_batch(rows: DataFrame, lexicon: DataFrame, text: str = "tweet") -> DataFrame:
+    """`rows` with clean_tweet and the four score columns; each distinct text is scored once.
 
-def score_by_join(df: DataFrame, lexicon: DataFrame, key: str, text: str) -> DataFrame:
-    """One row per `key` with its scores, for a lexicon of any size.
-
-    The lexicon joins the tokens; a key's tokens sit in one task, so the partial
-    aggregate shuffles about one row per key.
+    For tables and for the batches of a stream, whatever the size of the lexicon. A text
+    goes by a digest, so copies meet as one row before the words are made.
     """
-    words = lexicon.select("word", to_micro(F.col("polarity")).alias("p"),
-                           to_micro(F.col("subjectivity")).alias("s"))
-    hits = lookup_join(token_rows(df, key, text, keep_empty=True), words, "word", "left")
-    sums = hits.groupBy(key).agg(F.coalesce(F.sum("p"), F.lit(0)).alias("p"),
-                                 F.coalesce(F.sum("s"), F.lit(0)).alias("s"),
-                                 F.count("p").alias("n"))
-    return sums.select(key, score_struct(F.col("p"), F.col("s"), F.col("n")).alias("_score")) \
-               .select(key, "_score.*")
+    digest = F.sha2(F.coalesce(text, F.lit("")), 256)
+    keyed = rows.withColumn("_text", digest)
+    texts = keyed.groupBy("_text").agg(F.first(text).alias(text))
+    scores = score_by_join(texts, lexicon, "_text", text)
+    return (keyed.join(scores, "_text").withColumn("clean_tweet", clean_tweet(F.col(text)))
+            .select(*rows.columns, "clean_tweet", *[c for c in scores.columns if c != "_text"]))

@@ -68,19 +68,24 @@ def sliding_sum(df: DataFrame, keys: list[str], pos: str, lookback: int, values:
     return moved.select("*", *sums).filter("_row").drop("_block", "_at", "_sign", "_row")
 
 
-def dense_rank(df: DataFrame, pos: str, rank: str = "rank", block: int = 3600) -> DataFrame:
+def dense_rank(df: DataFrame, pos: str, rank: str = "rank", blocks: int = 200) -> DataFrame:
     """Number the rows 1..n by `pos`, a whole number that no two rows share.
 
-    Blocks are counted first; only the block counts, one row per `block` positions
-    of the span, pass through a single task.
+    The span is cut at approximate quantiles of `pos`, so `blocks` tasks get about as many
+    rows each, however dense or sparse the numbers are; only the blocks' counts, one row
+    each, pass through a single task. `df` is read three times.
     """
-    blocks = df.withColumn("_block", F.floor(F.col(pos) / block))
-    offsets = (blocks.groupBy("_block").agg(F.count("*").alias("_n"))
+    shares = F.array(*[F.lit(i / blocks) for i in range(1, blocks)])
+    cuts = df.agg(F.percentile_approx(F.col(pos).cast("bigint"), shares, 20 * blocks)).scalar()
+    ranged = df.withColumn("_cuts", cuts).withColumn(
+        "_block", F.size(F.filter("_cuts", lambda c: c < F.col(pos)))).drop("_cuts")
+    offsets = (ranged.groupBy("_block").agg(F.count("*").alias("_n"))
                .withColumn("_before", F.coalesce(F.sum("_n").over(
                    W.orderBy("_block").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
                .drop("_n"))
     within = F.row_number().over(W.partitionBy("_block").orderBy(pos))
-    return (blocks.join(offsets, "_block").withColumn(rank, F.col("_before") + within)
+    # At most one row for each block.
+    return (ranged.join(F.broadcast(offsets), "_block").withColumn(rank, F.col("_before") + within)
             .drop("_block", "_before"))
 
 

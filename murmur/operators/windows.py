@@ -9,8 +9,6 @@ from murmur import settings as S
 from murmur.functions.display import iso_utc
 from murmur.functions.fixed import mean_of_micro, plain, to_micro
 from murmur.operators.spans import dense_rank, look_back
-from murmur.session import settle
-
 def window_facts(mentions: DataFrame, seconds: int = S.WINDOW_SECONDS) -> DataFrame:
     """Per window and brand: mentions, negatives and the polarity sum in millionths.
 
@@ -38,6 +36,7 @@ def window_metrics(facts: DataFrame) -> DataFrame:
 
 def tumbling_metrics(facts: DataFrame) -> DataFrame:
     """Window metrics with the brand -> mentions map of each window."""
+    # The result's one cell for a window holds its brands, as many as are mentioned in one window.
     brands = facts.groupBy("window_start").agg(
         F.map_from_entries(F.collect_list(F.struct("brand", "mentions"))).alias("brands"))
     return window_metrics(facts).join(brands, "window_start")
@@ -193,9 +192,9 @@ def latest_window_alerts(facts: DataFrame, seconds: int = S.WINDOW_SECONDS,
     """The three z-score rules on the latest window.
 
     Only the windows that can matter are scored: the newest `history` + 1 ones, found
-    by a top-k, and the facts that fall in them.
+    by a top-k, and the facts that fall in them. `facts` is read several times: settle it.
     """
     newest = facts.select("window_start").distinct().orderBy(F.desc("window_start")).limit(history + 1)
-    near = settle(facts.join(F.broadcast(newest), "window_start", "left_semi"))
+    near = facts.join(F.broadcast(newest), "window_start", "left_semi")
     latest = near.select(iso_utc(F.max("window_start"))).scalar()
     return all_window_alerts(near, seconds).filter(F.col("window") == latest)

@@ -13,8 +13,8 @@ from murmur.functions.fixed import plain
 from murmur.operators import aggregates as A
 from murmur.operators import alerts as alert_ops
 from murmur.operators import filters, guards, isolation, paging, replay, windows
-from murmur.operators.lookup import lookup_join
-from murmur.operators.scoring import LiteralLexicon, score_text, token_rows
+from murmur.operators.detector import score_windows
+from murmur.operators.scoring import score_batch, token_rows
 from murmur.plans import dashboard as D
 from murmur.plans.mentions import (documents, events, few_with_tweet, lexicon, mentions, scored_documents,
                                    table, with_document, with_tweet)
@@ -92,10 +92,9 @@ def n4_score_empty(spark, sf):
 
 @query
 def n5_score_struct(spark, sf):
-    """The stateless scorer, as streams use it, on the second source of texts."""
+    """The batch scorer, as streams use it, on the second source of texts."""
     turns = table(spark, sf, "conversations").withColumnRenamed("text", "tweet")
-    scored = score_text(spread(turns), LiteralLexicon(lexicon(spark, sf)))
-    return scored.drop("tweet")
+    return score_batch(spread(turns), lexicon(spark, sf))
 
 
 @query
@@ -275,11 +274,14 @@ def a14_word_frequency(spark, sf):
 
     The number of mentions joins the documents, not their many more words.
     """
-    times = events(spark, sf).groupBy("doc_id").agg(F.count("*").alias("times"))
-    docs = spread(documents(spark, sf).join(times, "doc_id"))
-    words = docs.select("times", F.explode(text.clean_tokens(F.col("tweet"))).alias("word"))
-    rows = words.groupBy("word").agg(F.sum("times").alias("n"))
-    return rows.orderBy(F.desc("n"), "word").limit(S.TOP_WORDS)
+    return A.count_words(mentioned_words(spark, sf))
+
+
+def mentioned_words(spark, sf):
+    """(word, n): each cleaned token of a document with the document's mentions."""
+    times = events(spark, sf).groupBy("doc_id").agg(F.count("*").alias("n"))
+    docs = spread(documents(spark, sf)).join(times, "doc_id")
+    return docs.select("n", F.explode(text.clean_tokens(F.col("tweet"))).alias("word"))
 
 
 @query
@@ -387,12 +389,12 @@ def w3_min_history(spark, sf):
 
 @query
 def w4_volume_spike(spark, sf):
-    return windows.volume_spikes(windows_scored(spark, sf)).drop("brand")
+    return windows.volume_spikes(windows_scored(spark, sf))
 
 
 @query
 def w5_negative_surge(spark, sf):
-    return windows.negative_surges(windows_scored(spark, sf)).drop("brand")
+    return windows.negative_surges(windows_scored(spark, sf))
 
 
 @query
@@ -417,13 +419,24 @@ def w7_isolation_forest(spark, sf):
     return scored.select(stamp("window_start"), *isolation.FEATURES, "isolation_score")
 
 
+@query
+def w7_isolation_flag(spark, sf):
+    """What is sure of the forest: an hour with 60 negative rows put in is flagged, and its features are exact."""
+    scored = isolation.latest_isolation(windows.window_metrics(spiked_facts(spark, sf)), HOUR)
+    score = F.col("isolation_score")
+    return scored.select(stamp("window_start"), *isolation.FEATURES, score.between(-0.5, 0.5).alias("in_range"),
+                         (score >= S.FOREST_ALERT).alias("flagged"))
+
+
+def drawn_score(rows):
+    """The forest's score is drawn; its alerts are compared without it."""
+    return rows.withColumn("score", F.when(F.col("metric") != "multivariate", F.col("score")))
+
+
 @query
 def w8_score_windows(spark, sf):
     """The latest window, the one with the spike, under all rules, the forest included."""
-    base = spiked_facts(spark, sf)
-    latest = windows.latest_window_alerts(base, HOUR)
-    forest = isolation.latest_isolation(windows.window_metrics(base), HOUR)
-    return latest.unionByName(isolation.isolation_alerts(forest))
+    return drawn_score(score_windows(spiked_facts(spark, sf), HOUR))
 
 
 @query
@@ -484,7 +497,7 @@ def audit_log(spark, sf):
 
 @query
 def l5_audit_recent(spark, sf):
-    return paging.audit_recent(audit_log(spark, sf), 500).drop("created_at")
+    return paging.audit_recent(audit_log(spark, sf), 500).withColumn("created_at", stamp("created_at", MICROS))
 
 
 @query
@@ -545,7 +558,7 @@ def r3_alert_transition(spark, sf):
 
 @query
 def r3_loose_statuses(spark, sf):
-    """Actions on alerts first saved in the second half of the log."""
+    """Actions on alerts that the first day's log does not know."""
     known = alert_ops.fold_alert_log(alert_log(spark, sf).filter("at < '2024-01-02'"))
     return alert_ops.loose_statuses(known, alert_actions(spark, sf)).select("alert_id", "status", stamp("at", MICROS))
 
@@ -583,6 +596,20 @@ def u1_alerts_union(spark, sf):
     return alert_ops.all_alerts(*current_and_stored(spark, sf))
 
 
+@query
+def alerts_list(spark, sf):
+    """The alert list with a spike in the latest window: share rule, detector, forest, saved and session alerts."""
+    rows, spike = spiked(spark, sf)
+    at = F.lit("2024-01-31 00:30:00").cast("timestamp")
+    both = rows.unionByName(spike.drop("value"))
+    detected = score_windows(settle(windows.window_facts(both, HOUR)), HOUR)
+    current = settle(alert_ops.current_alerts(both, detected))
+    saved = alert_ops.save_current(alert_state(spark, sf), current, at)
+    actions = alert_actions(spark, sf).unionByName(current.filter("title = 'Tweet volume spike'").select(
+        F.col("id").alias("alert_id"), F.lit("acknowledge").alias("action"), at.alias("at")))
+    return alert_ops.alert_list(current, saved, actions, replay.spike_alerts(spike))
+
+
 @query
 def j3_timeline_anomaly_marks(spark, sf):
     rows = settle(mentions(spark, sf))
@@ -617,9 +644,8 @@ def t4_j5_meta_lookup(spark, sf):
 @query
 def j6_lexicon_join(spark, sf):
     """Lexicon hits per word over all documents."""
-    tokens = token_rows(spread(documents(spark, sf)), "doc_id", "tweet")
-    hits = lookup_join(tokens, lexicon(spark, sf), "word")
-    return hits.groupBy("word").agg(F.count("*").alias("n"), F.min("polarity").alias("polarity"))
+    tokens = token_rows(spread(documents(spark, sf)), "doc_id", "tweet").groupBy("word").agg(F.count("*").alias("n"))
+    return tokens.join(lexicon(spark, sf), "word").select("word", "n", "polarity")
 
 
 @query
@@ -683,7 +709,8 @@ def r7_lockout_intervals(spark, sf):
 
 def csv_copy(spark, sf, rows, name, header):
     path = scratch_folder(spark, name)
-    rows.write.csv(path, header=header, escape='"', quoteAll=True)
+    rows.write.csv(path, header=header, escape='"', quoteAll=True, ignoreLeadingWhiteSpace=False,
+                   ignoreTrailingWhiteSpace=False)
     return path
 
 
@@ -708,10 +735,11 @@ def s2_csv_detect_header(spark, sf):
 
 @query
 def s3_csv_folder(spark, sf):
-    rows = scored_rows(spark, sf)
+    rows = with_tweet(mentions(spark, sf), sf).drop("doc_id")
     path = csv_copy(spark, sf, rows.withColumn("timestamp", F.date_format("timestamp", MICROS)), "parts", True)
     back = files.read_result_folder(spark, path)
-    return back.select("mention_id", stamp("timestamp", MICROS), "sentiment", "polarity", "confidence")
+    return back.select("mention_id", stamp("timestamp", MICROS), F.md5("tweet").alias("digest"), "sentiment", "polarity",
+                       "confidence")
 
 
 def scored_rows(spark, sf):
@@ -720,7 +748,12 @@ def scored_rows(spark, sf):
 
 @query
 def s4_latest_snapshot(spark, sf):
-    return files.newest_file_rows(table(spark, sf, "documents")).select("doc_id", "lang", "source")
+    """Three snapshots written one after the other; only the last one's rows are seen."""
+    path = scratch_folder(spark, "snapshots")
+    for part in range(3):
+        rows = table(spark, sf, "documents").filter(F.col("doc_id") % 3 == part)
+        rows.select("doc_id", "lang", "source").coalesce(1).write.mode("append").parquet(path)
+    return files.newest_file_rows(spark.read.parquet(path))
 
 
 @query
@@ -730,20 +763,24 @@ def s5_normalise(spark, sf):
         "conv_id", "turn", F.lit("").alias("tweet"), F.col("text").alias("tweet_text"),
         F.when(F.col("role") == "user", "").otherwise(F.col("role")).alias("brand"),
         F.col("role").alias("entity"), F.lit("").alias("user"), F.col("role").alias("sentiment_label"),
-        F.col("role").alias("polarity"), F.col("turn").cast("string").alias("subjectivity"))
-    return normalise.normalise(raw, keep=("conv_id", "turn")).drop("timestamp")
+        F.col("role").alias("polarity"), F.col("turn").cast("string").alias("subjectivity"),
+        # A date, a time alone, and no stamp at all: only the first is an instant.
+        F.when(F.col("turn") % 3 == 0, F.lit("2024-01-05T10:20:30")).when(F.col("turn") % 3 == 1, F.lit("10:20:30"))
+        .otherwise("").alias("produced_at"))
+    return normalise.normalise(raw, keep=("conv_id", "turn")).withColumn("timestamp", stamp("timestamp"))
 
 
 @query
 def s6_label_impute(spark, sf):
     """Quality labels as sentiment labels; 'unsure' is unknown and becomes Neutral."""
-    raw = table(spark, sf, "labels").select(
-        "doc_id", F.lit("text").alias("tweet_text"), F.lit("").alias("entity"),
+    labels = table(spark, sf, "labels").join(table(spark, sf, "documents").select("doc_id", "text"), "doc_id")
+    raw = labels.select(
+        "doc_id", F.col("text").alias("tweet_text"), F.lit("").alias("entity"),
         F.when(F.col("toxic") == 1, "negative").when(F.col("quality") == 1, "positive")
         .otherwise("unsure").alias("sentiment_label"))
     rows = normalise.impute_from_label(raw, "doc_id", F.lit("2024-02-01 00:00:00").cast("timestamp"))
-    return rows.select("doc_id", stamp("timestamp"), "brand", "username", *("sentiment", "polarity",
-                                                                         "subjectivity", "confidence"))
+    return rows.select("doc_id", stamp("timestamp"), F.md5("tweet").alias("digest"), "brand", "username",
+                       "sentiment", "polarity", "subjectivity", "confidence")
 
 
 @query
@@ -754,13 +791,14 @@ def s7_history_latest(spark, sf):
 
 @query
 def s8_bi_csv(spark, sf):
-    docs = scored_documents(spark, sf)
-    rows = docs.select(
-        F.lit("2024-01-01 00:00:00").alias("timestamp"), F.concat(F.lit('a "quoted", '), "sentiment").alias("tweet"),
-        F.col("doc_id").cast("string").alias("clean_tweet"), "polarity", "subjectivity", "sentiment", "confidence",
-        F.lit("x").alias("brand"), sentiment.polarity_bucket(F.col("polarity")).alias("polarity_bucket"))
+    """The enriched table over the mentions, texts with quotes, commas and line breaks included."""
+    rows = with_document(mentions(spark, sf), sf, tweet=F.concat(F.lit('a "quoted", '), F.col("tweet")),
+                         clean_tweet=text.clean_tweet(F.col("tweet"))).select(
+        F.date_format("timestamp", MICROS).alias("timestamp"), "tweet", "clean_tweet", "polarity", "subjectivity",
+        "sentiment", "confidence", "brand", sentiment.polarity_bucket(F.col("polarity")).alias("polarity_bucket"))
     back = files.read_enriched(spark, csv_copy(spark, sf, rows, "enriched", True))
-    return back.withColumn("timestamp", F.date_format("timestamp", "yyyy-MM-dd HH:mm:ss"))
+    return back.withColumns({"timestamp": F.date_format("timestamp", MICROS), "tweet": F.md5("tweet"),
+                             "clean_tweet": F.md5(F.coalesce("clean_tweet", F.lit("")))})
 
 
 @query
@@ -827,14 +865,13 @@ def t6_replay_cyclic(spark, sf):
     return rows.groupBy("lang", "source").agg(F.count("*").alias("n"), F.max("value").alias("last"))
 
 
-def spiked(spark, sf):
+def spiked(spark, sf, at="2024-01-31 00:00:00"):
     rows = settle(mentions(spark, sf))
-    at = F.lit("2024-01-31 00:00:00").cast("timestamp")
-    return rows, replay.spike_rows(rows, 60, at)
+    return rows, replay.spike_rows(rows, 60, F.lit(at).cast("timestamp"))
 
 
-def with_spike(spark, sf):
-    rows, spike = spiked(spark, sf)
+def with_spike(spark, sf, *at):
+    rows, spike = spiked(spark, sf, *at)
     return rows.unionByName(spike.drop("value"))
 
 
@@ -861,37 +898,42 @@ def t8_retain_latest_n(spark, sf):
 # --- sinks and streams -------------------------------------------------------
 
 def message_stream(spark, sf):
-    """The events as a stream of topic rows, read from their file."""
+    """The mentions as a stream of topic rows with the texts of their documents."""
     schema = table(spark, sf, "events").schema
     raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    n_docs = table(spark, sf, "documents").count()
+    rows = raw.withColumn("doc_id", F.col("event_id") % n_docs).join(documents(spark, sf), "doc_id")
     body = F.to_json(F.struct(
-        F.col("event_id").cast("int").alias("tweet_id"),
-        F.concat_ws(" ", "event_type", "props").alias("tweet_text"),
+        F.col("event_id").cast("int").alias("tweet_id"), F.col("tweet").alias("tweet_text"),
         F.date_format("ts", MICROS).alias("produced_at"), F.col("event_type").alias("brand"),
         F.col("user_id").cast("string").alias("username")))
-    return raw.select(body.alias("value"), F.col("ts").cast("timestamp").alias("timestamp"))
-
-
-def word_lexicon(spark):
-    """Weights for the words the event texts are made of."""
-    return LiteralLexicon(spark.createDataFrame(
-        [("error", -1.0, 0.5), ("purchase", 0.8, 0.9), ("signup", 0.5, 0.4), ("view", -0.02, 0.1)],
-        "word STRING, polarity DOUBLE, subjectivity DOUBLE"))
+    return rows.select(body.alias("value"), F.col("ts").cast("timestamp").alias("timestamp"))
 
 
-def scored_stream(spark, sf):
-    return jobs.scored_mentions(ingest.parse_json_payload(message_stream(spark, sf)), word_lexicon(spark))
+def dated_stream(spark, sf):
+    return jobs.dated_mentions(ingest.parse_json_payload(message_stream(spark, sf)))
 
 
 ONCE = {"availableNow": True}
+STORED = {"header": True, **files.DIALECT}
 
 
 @query
 def k1_sink_csv_append(spark, sf):
     base = scratch_folder(spark, "k1")
-    sinks.append_csv(scored_stream(spark, sf), f"{base}/csv", f"{base}/checkpoint", **ONCE).awaitTermination()
-    back = spark.read.csv(f"{base}/csv", header=True, escape='"')
-    return back.groupBy("brand", "sentiment", "polarity", "confidence").agg(F.count("*").alias("n"))
+    sinks.append_csv(dated_stream(spark, sf), lexicon(spark, sf), f"{base}/csv", f"{base}/checkpoint", **ONCE).awaitTermination()
+    back = spark.read.csv(f"{base}/csv", **STORED)
+    return back.select("tweet_id", F.md5("tweet").alias("digest"), "brand", "sentiment", "polarity", "confidence")
+
+
+@query
+def k2_console(spark, sf):
+    """The console mirror of the parsed messages; what it was given, by its progress."""
+    stream = ingest.parse_json_payload(message_stream(spark, sf)).select("tweet_id", "brand")
+    done = sinks.to_console(stream, **ONCE)
+    done.awaitTermination()
+    rows = sum(p["numInputRows"] for p in done.recentProgress)
+    return events(spark, sf).agg(F.count("*").alias("events"), F.lit(rows).cast("bigint").alias("shown"))
 
 
 @query
@@ -907,63 +949,91 @@ def k3_sink_history(spark, sf):
 
 def finished_sinks(spark, sf, name):
     base = scratch_folder(spark, name)
-    sinks.all_sinks(scored_stream(spark, sf), base, **ONCE).awaitTermination()
+    sinks.all_sinks(dated_stream(spark, sf), lexicon(spark, sf), base, **ONCE).awaitTermination()
     return base
 
 
 @query
 def k4_sink_live_batch(spark, sf):
+    """Every row of the batch, in envelopes of at most 200."""
     base = finished_sinks(spark, sf, "k4")
     envelope = spark.read.text(f"{base}/live", wholetext=False).select(F.from_json(
-        "value", "batch_id BIGINT, tweets ARRAY<STRUCT<tweet_id: INT, brand: STRING, sentiment: STRING>>").alias("e"))
-    return envelope.select("e.batch_id", F.inline("e.tweets"))
+        "value", "batch_id BIGINT, part BIGINT, tweets ARRAY<STRUCT<tweet_id: INT, tweet: STRING, brand: STRING, "
+                 "sentiment: STRING, polarity: DOUBLE>>").alias("e"))
+    rows = envelope.select("e.batch_id", (F.size("e.tweets") <= S.MAX_OFFSETS_PER_TRIGGER).alias("bounded"), F.inline("e.tweets"))
+    return rows.withColumn("tweet", F.md5("tweet"))
 
 
 @query
 def st4_one_query_all_sinks(spark, sf):
+    """What each sink of one query holds, row by row, with equal rows counted."""
     base = finished_sinks(spark, sf, "st4")
-    counts = [spark.read.parquet(f"{base}/mentions").agg(F.lit("mentions").alias("sink"), F.count("*").alias("n")),
-              spark.read.csv(f"{base}/csv", header=True, escape='"').agg(F.lit("csv").alias("sink"), F.count("*").alias("n")),
-              history.read_history(spark, f"{base}/history").agg(F.lit("history").alias("sink"), F.count("*").alias("n"))]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    sources = {"mentions": spark.read.parquet(f"{base}/mentions"), "csv": spark.read.csv(f"{base}/csv", **STORED),
+               "history": history.read_history(spark, f"{base}/history")}
+    parts = [df.select(F.lit(name).alias("sink"), F.md5("tweet").alias("digest"), "brand", "username", "sentiment",
+                       F.col("polarity").cast("double").alias("polarity")) for name, df in sources.items()]
+    rows = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    return rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
+
+
+def chunks_as_stream(spark, chunks):
+    """Frames written one after the other, one file and one micro-batch each."""
+    path = scratch_folder(spark, "chunks")
+    for chunk in chunks:
+        chunk.coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(chunks[0].schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 def mention_stream(spark, sf, rows=None):
-    """Scored mentions as a stream, from the table the first query of the chain wrote."""
-    path = scratch_folder(spark, "scored") + "/mentions"
-    (scored_rows(spark, sf) if rows is None else rows).write.parquet(path)
-    return spark.readStream.schema(spark.read.parquet(path).schema).parquet(path)
+    """Scored mentions as a stream in six micro-batches of some days each."""
+    rows = settle(scored_rows(spark, sf) if rows is None else rows)
+    day = F.datediff(F.to_date("timestamp"), F.to_date(F.lit("2024-01-01")))
+    part = F.least(F.greatest(F.floor(day / 5), F.lit(0)), F.lit(5))
+    return chunks_as_stream(spark, [rows.filter(part == n) for n in range(6)])
 
 
 @query
 def st1_stream_tumbling(spark, sf):
-    """Windows of the stream; the batch job must give the same."""
+    """Windows of the stream over several batches; the batch job must give the same."""
     base = scratch_folder(spark, "st1")
     stream = jobs.window_fact_stream(mention_stream(spark, sf), HOUR)
     done = (stream.writeStream.outputMode("update").trigger(**ONCE).option("checkpointLocation", f"{base}/checkpoint")
-            .foreachBatch(lambda rows, batch: sinks.write_batch(rows, f"{base}/facts", batch)).start())
+            .foreachBatch(lambda rows, batch: sinks.write_batch(
+                rows.withColumn("day", F.to_date("window_start")), f"{base}/facts", batch)).start())
     done.awaitTermination()
-    rows = windows.window_metrics(jobs.current_facts(spark, f"{base}/facts"))
+    rows = windows.window_metrics(jobs.current_facts(spark.read.parquet(f"{base}/facts")))
     return rows.select(stamp("window_start"), "volume", "mean_polarity",
                        F.round("negative_ratio", 6).alias("negative_ratio"))
 
 
 @query
 def st2_watermark_dedup(spark, sf):
-    """Each user's first event type rows within the watermark, over the stream."""
+    """Every mention twice within the watermark, and once more long after it.
+
+    The copy within the watermark goes, the later one is new. The two chunks of one row
+    between them move the watermark past the first chunk's state.
+    """
     base = scratch_folder(spark, "st2")
-    rows = mention_stream(spark, sf).withColumn("tweet_hash", F.sha2(F.col("mention_id").cast("string"), 256))
-    done = (jobs.first_seen(rows).writeStream.format("parquet").option("path", f"{base}/out").trigger(**ONCE)
-            .option("checkpointLocation", f"{base}/checkpoint").outputMode("append").start())
+    rows = settle(scored_rows(spark, sf).select("mention_id", "timestamp", "brand", F.lit("first").alias("chunk")))
+
+    def later(frame, chunk, delay, salt=""):
+        return frame.select("mention_id", (F.col("timestamp") + F.expr(f"INTERVAL {delay}")).alias("timestamp"), "brand",
+                            F.lit(chunk).alias("chunk"),
+                            F.sha2(F.concat(F.lit(salt), F.col("mention_id").cast("string")), 256).alias("tweet_hash"))
+    one = rows.filter("mention_id = 0")
+    chunks = [later(rows, "first", "0 SECONDS").unionByName(later(rows, "first", "5 MINUTES")),
+              later(one, "gap", "100 DAYS", "a"), later(one, "gap", "200 DAYS", "b"), later(rows, "again", "300 DAYS")]
+    done = (jobs.first_seen(chunks_as_stream(spark, chunks)).writeStream.format("parquet").option("path", f"{base}/out")
+            .trigger(**ONCE).option("checkpointLocation", f"{base}/checkpoint").outputMode("append").start())
     done.awaitTermination()
-    return spark.read.parquet(f"{base}/out").groupBy("brand").agg(F.count("*").alias("n"))
+    return spark.read.parquet(f"{base}/out").groupBy("chunk", "brand").agg(F.count("*").alias("n"))
 
 
 @query
 def st3_stream_alerts(spark, sf):
-    """Alerts the stream logs for a window with an injected spike."""
+    """Alerts the stream logs over several batches, with a spike some days before the end."""
     base = scratch_folder(spark, "st3")
-    stream = jobs.window_fact_stream(mention_stream(spark, sf, with_spike(spark, sf)), HOUR)
+    stream = jobs.window_fact_stream(mention_stream(spark, sf, with_spike(spark, sf, "2024-01-20 12:00:00")), HOUR)
     jobs.alert_job(stream, f"{base}/facts", f"{base}/alerts", f"{base}/checkpoint", HOUR, **ONCE).awaitTermination()
     log = spark.read.schema(schemas.ALERT_LOG).parquet(f"{base}/alerts")
     return alert_ops.fold_alert_log(log).select("alert_id", "title", "detail", "severity", "status")
@@ -975,14 +1045,13 @@ def k5_export_csv(spark, sf):
     rows = with_tweet(mentions(spark, sf), sf)
     D.export_csv(rows, path, brand="click", sentiment="Negative", days=30)
     back = spark.read.options(**files.DIALECT, header="true").csv(path)
-    return back.select("tweet", "brand", "username", "sentiment", "polarity", "confidence")
+    return back.withColumn("timestamp", F.date_format(F.col("timestamp").cast("timestamp"), MICROS))
 
 
 @query
 def k6_chart_datasets(spark, sf):
-    words = token_rows(spread(documents(spark, sf)), "doc_id", "tweet").select("word")
     folder = scratch_folder(spark, "k6")
-    D.write_charts(D.chart_datasets(settle(mentions(spark, sf)), words), folder)
+    D.write_charts(D.chart_datasets(settle(mentions(spark, sf)), mentioned_words(spark, sf)), folder)
     names = ("sentiment_distribution", "word_frequency", "time_series")
     shown = [spark.read.parquet(f"{folder}/{n}") for n in names]
     return (shown[0].select(F.lit(names[0]).alias("chart"), F.col("sentiment").alias("item"), "n")
@@ -995,12 +1064,14 @@ def k6_chart_datasets(spark, sf):
 @query
 def k7_report_rows(spark, sf):
     rows = D.report_rows(mentions(spark, sf), lambda few: few_with_tweet(few, sf))
-    return rows.drop("timestamp")
+    return rows.withColumn("timestamp", stamp("timestamp", MICROS))
 
 
 @query
 def k8_dashboard_bundle(spark, sf):
-    parts = D.dashboard(settle(mentions(spark, sf)), alert_state(spark, sf), seconds=HOUR)
+    """The dashboard with a spike in the latest hour, so that there are anomalies to show."""
+    parts = D.dashboard(settle(with_spike(spark, sf)), alert_state(spark, sf), seconds=HOUR)
+    parts["anomalies"] = drawn_score(parts["anomalies"])
     return D.dashboard_rows(parts)
 
 

@@ -12,8 +12,10 @@ from murmur.functions.fixed import plain
 from murmur.operators import aggregates as A
 from murmur.operators import filters
 from murmur.operators.paging import NEWEST, latest
-from murmur.operators.windows import latest_window_alerts, window_facts
-from murmur.streaming.sinks import safe_columns
+from murmur.operators.detector import score_windows
+from murmur.operators.windows import window_facts
+from murmur.session import settle
+from murmur.streaming.sinks import CSV, safe_columns
 
 
 def dashboard(mentions: DataFrame, alerts: DataFrame, brand: str = "all", search: str = "",
@@ -32,7 +34,7 @@ def dashboard(mentions: DataFrame, alerts: DataFrame, brand: str = "all", search
             "tweets_per_min", A.ratio(F.col("total"), F.lit(30), 1)),
         "brands": A.by_brand(rows),
         "timeline": A.timeline_minute_of_day(rows),
-        "anomalies": latest_window_alerts(window_facts(rows, seconds), seconds),
+        "anomalies": score_windows(settle(window_facts(rows, seconds)), seconds),
         "brands_list": filters.brands_list(mentions),
         "gauges": mentions.agg(F.count("*").alias("available_total")).withColumn(
             "active_alerts", alerts.agg(F.count_if(F.col("status") == "Open")).scalar()),
@@ -50,6 +52,8 @@ def dashboard_rows(parts: dict[str, DataFrame]) -> DataFrame:
             .unionByName(long("brands", parts["brands"], F.col("brand"), ["total", "polarity", "negative"]))
             .unionByName(long("timeline", parts["timeline"], F.col("time"),
                               ["positive", "negative", "neutral", "polarity"]))
+            .unionByName(long("anomalies", parts["anomalies"], F.col("id"), ["score"]))
+            .unionByName(long("brands_list", parts["brands_list"].withColumn("listed", F.lit(1)), F.col("brand"), ["listed"]))
             .unionByName(long("gauges", parts["gauges"], F.lit(""), ["available_total", "active_alerts"])))
 
 
@@ -60,11 +64,11 @@ def export_rows(mentions: DataFrame, **wanted) -> DataFrame:
 
 
 def export_csv(mentions: DataFrame, path: str, **wanted) -> None:
-    export_rows(mentions, **wanted).write.mode("overwrite").csv(path, header=True, escape='"')
+    export_rows(mentions, **wanted).write.mode("overwrite").options(**CSV).csv(path)
 
 
 def chart_datasets(mentions: DataFrame, words: DataFrame) -> dict[str, DataFrame]:
-    """The inputs of the three charts; `words` has one row per cleaned token."""
+    """The inputs of the three charts over dated mentions; `words` has (word, n), n over the same mentions."""
     dated = filters.drop_bad_timestamp(mentions)
     return {"sentiment_distribution": A.sentiment_distribution(dated),
             "word_frequency": A.count_words(words), "time_series": A.resample_minute(dated)}

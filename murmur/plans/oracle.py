@@ -148,10 +148,13 @@ ALERT_LOG = """
 log AS (SELECT 'user-' || user_id AS alert_id, event_type AS title, props AS detail,
   CASE WHEN value >= 20 THEN 'High' ELSE 'Medium' END AS severity,
   CASE WHEN value >= 40 THEN 'Acknowledged' ELSE 'Open' END AS status, ts AS seen_at FROM events),
-state AS (SELECT alert_id, max_by(title, seen_at) AS title, max_by(detail, seen_at) AS detail, max_by(severity, seen_at) AS severity,
-  min_by(status, seen_at) AS status, min(seen_at) AS created_at, max(seen_at) AS updated_at FROM log GROUP BY ALL),
-moves AS (SELECT alert_id, max_by(CASE title WHEN 'click' THEN 'Acknowledged' ELSE 'Resolved' END, seen_at) AS status,
-  max(seen_at) AS seen_at FROM log WHERE title IN ('click', 'purchase') GROUP BY ALL)"""
+newest AS (SELECT alert_id, title, detail, severity, seen_at AS updated_at FROM log
+  QUALIFY row_number() OVER (PARTITION BY alert_id ORDER BY seen_at DESC, title DESC, detail DESC, severity DESC) = 1),
+oldest AS (SELECT alert_id, status, seen_at AS created_at FROM log
+  QUALIFY row_number() OVER (PARTITION BY alert_id ORDER BY seen_at, status) = 1),
+state AS (SELECT alert_id, title, detail, severity, status, created_at, updated_at FROM newest JOIN oldest USING (alert_id)),
+moves AS (SELECT alert_id, CASE title WHEN 'click' THEN 'Acknowledged' ELSE 'Resolved' END AS status, seen_at FROM log WHERE title IN ('click', 'purchase')
+  QUALIFY row_number() OVER (PARTITION BY alert_id ORDER BY seen_at DESC, title DESC) = 1)"""
 STATE_COLUMNS = (f"alert_id, title, detail, severity, status, strftime(created_at, {MICROS}) AS created_at, "
                  f"strftime(updated_at, {MICROS}) AS updated_at")
 LABELS = ("count(*) FILTER (sentiment = 'Positive') AS positive, count(*) FILTER (sentiment = 'Neutral') AS neutral, "
@@ -226,11 +229,19 @@ EVENT_SUBJECTIVITY = ("CASE event_type WHEN 'error' THEN 0.5 WHEN 'purchase' THE
 STREAM = f"""
 st AS (SELECT event_id, ts AS timestamp, event_type AS brand, {EVENT_SCORE} AS polarity, {EVENT_SUBJECTIVITY} AS subjectivity FROM events),
 stream AS (SELECT *, {label('polarity')} AS sentiment, {confidence('polarity', 'subjectivity')} AS confidence FROM st)"""
-SPIKED = MENTIONS + """,
+def spiked(at: str) -> str:
+    return MENTIONS + f""",
 seeds AS (SELECT *, row_number() OVER (ORDER BY mention_id) - 1 AS row_id FROM m WHERE sentiment = 'Negative' ORDER BY mention_id LIMIT 60),
 spike AS (SELECT t.i, s.* FROM range(60) t(i) JOIN seeds s ON t.i % (SELECT count(*) FROM seeds) = s.row_id),
-with_spike AS (SELECT timestamp, brand, sentiment, pm FROM m UNION ALL
-  SELECT TIMESTAMP '2024-01-31 00:00:00', brand, sentiment, pm FROM spike)"""
+with_spike AS (SELECT timestamp, brand, sentiment, polarity, pm FROM m UNION ALL
+  SELECT TIMESTAMP '{at}', brand, sentiment, polarity, pm FROM spike)"""
+
+
+SPIKED = spiked("2024-01-31 00:00:00")
+LATEST = f"""latest AS (SELECT strftime(max(window_start), {ISO}) AS "window" FROM win),
+found AS (SELECT * FROM alerts WHERE "window" = (SELECT "window" FROM latest)
+  UNION ALL SELECT 'window-isolation-' || "window", 'Unusual sentiment pattern', 'Medium',
+    'Isolation Forest flagged an atypical combination of volume and sentiment metrics.', NULL, 'multivariate', NULL, "window" FROM latest)"""
 TOKENS = f"words AS (SELECT doc_id, unnest({kept('text')}) AS word FROM documents)"
 MINUTES = f"""minutes AS (SELECT unnest(generate_series(date_trunc('minute', min(timestamp)), date_trunc('minute', max(timestamp)), INTERVAL 1 MINUTE)) AS minute FROM m),
 seen AS (SELECT date_trunc('minute', timestamp) AS minute, count(*) AS volume, {mean('sum(pm)', 'count(*)', 6)} AS avg_polarity FROM m GROUP BY ALL),
@@ -257,7 +268,7 @@ SQL = {
     "n3_confidence": with_(SCORED, "SELECT doc_id, confidence FROM scored"),
     "n4_score_empty": with_(SCORED, "SELECT * FROM scored WHERE subjectivity = 0 AND confidence = 0"),
     "n5_score_struct": with_(LEXICON + "," + scores("conversations", "conv_id, turn", "text", "turns"),
-                             f"SELECT t.*, role, array_to_string({kept('text')}, ' ') AS clean_tweet "
+                             f"SELECT t.*, role, text AS tweet, array_to_string({kept('text')}, ' ') AS clean_tweet "
                              "FROM turns t JOIN conversations USING (conv_id, turn)"),
     "n6_sentiment_score": with_(MENTIONS, f"SELECT round(({mean('sum(pm)', 'count(*)', 6)} + 1) / 2 * 100, 1) AS sentiment_score FROM m"),
     "n7_polarity_bucket": with_(SCORED, f"SELECT doc_id, {BUCKET_NAME} AS bucket, {BUCKET_ORDER} AS position FROM scored"),
@@ -322,8 +333,8 @@ SQL = {
     "a20_report_summary": with_(MENTIONS + "," + KPI, f"""SELECT 1 AS position, 'Mentions' AS metric, total::varchar AS value FROM kpi
       UNION ALL SELECT 2, 'Positive', positive::varchar FROM kpi UNION ALL SELECT 3, 'Neutral', neutral::varchar FROM kpi
       UNION ALL SELECT 4, 'Negative', negative::varchar FROM kpi UNION ALL SELECT 5, 'Average polarity', CASE WHEN sum(pm) < 0 AND {P_MEAN} = 0 THEN '-' ELSE '' END || printf('%.3f', {P_MEAN}) FROM m"""),
-    "a21_latest_window_count": with_(EVENTS, f"SELECT count(*) AS n FROM ev WHERE timestamp > {RECENT.format('ev', '3600 SECONDS')}"),
-    "a22_latest_avg_polarity": with_(MENTIONS, f"SELECT {mean('sum(pm)', 'count(*)', 6)} AS rolling_avg_polarity FROM m WHERE timestamp > {RECENT.format('m', '60 MINUTES')}"),
+    "a21_latest_window_count": with_(EVENTS, f"SELECT count(*) AS n FROM ev WHERE timestamp >= {RECENT.format('ev', '3600 SECONDS')}"),
+    "a22_latest_avg_polarity": with_(MENTIONS, f"SELECT {mean('sum(pm)', 'count(*)', 6)} AS rolling_avg_polarity FROM m WHERE timestamp >= {RECENT.format('m', '60 MINUTES')}"),
     "a22_rolling_avg_polarity": with_(MENTIONS, f"""SELECT strftime(to_timestamp(second) AT TIME ZONE 'UTC', {SECONDS}) AS second, n, {mean('p', 'n', 6)} AS rolling_avg_polarity FROM (
       SELECT DISTINCT second, count(*) OVER w AS n, sum(pm) OVER w AS p FROM (SELECT floor(epoch(timestamp))::bigint AS second, pm FROM m)
       WINDOW w AS (ORDER BY second RANGE BETWEEN 300 PRECEDING AND CURRENT ROW))"""),
@@ -334,10 +345,13 @@ SQL = {
         SELECT g.window_start, coalesce(volume, 0) AS volume FROM (SELECT unnest(generate_series(min(window_start), max(window_start), INTERVAL 5 MINUTES)) AS window_start FROM metrics) g
         LEFT JOIN metrics USING (window_start)) WINDOW h AS (ORDER BY window_start ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING))"""),
     "w3_min_history": with_(WINDOWS, f"SELECT strftime(window_start, {SECONDS}) AS window_start, rank >= 4 AS watched FROM win"),
-    "w4_volume_spike": with_(WINDOWS, "SELECT * EXCLUDE (brand) FROM alerts WHERE metric = 'volume'"),
-    "w5_negative_surge": with_(WINDOWS, "SELECT * EXCLUDE (brand) FROM alerts WHERE metric = 'negative_ratio'"),
+    "w4_volume_spike": with_(WINDOWS, "SELECT * FROM alerts WHERE metric = 'volume'"),
+    "w5_negative_surge": with_(WINDOWS, "SELECT * FROM alerts WHERE metric = 'negative_ratio'"),
     "w6_brand_zscore": with_(WINDOWS, f"SELECT strftime(window_start, {SECONDS}) AS window_start, brand, mentions, n, round(brand_z, 6) + 0.0::double AS brand_z FROM bz"),
     "w6_brand_volume": with_(WINDOWS, "SELECT * FROM alerts WHERE metric = 'brand_volume'"),
+    "w7_isolation_flag": with_(SPIKED + window_ctes(HOUR, "with_spike"), f"""SELECT strftime(window_start, {SECONDS}) AS window_start, volume,
+      mean_polarity, negative_ratio, true AS in_range, true AS flagged FROM metrics ORDER BY metrics.window_start DESC LIMIT 1"""),
+    "w8_score_windows": with_(SPIKED + window_ctes(HOUR, "with_spike") + "," + LATEST, "SELECT * FROM found"),
     "w8_back_test": with_(WINDOWS, "SELECT * FROM alerts"),
     "w9_brand_bar_norm": with_(MENTIONS + "," + BY_BRAND + ", top AS (SELECT * FROM by_brand ORDER BY total DESC, brand LIMIT 6)",
                                "SELECT *, round(greatest(5.0::double, abs(polarity) / greatest(0.1::double, max(abs(polarity)) OVER ()) * 100), 6) AS width FROM top"),
@@ -350,7 +364,7 @@ SQL = {
                             f"SELECT mention_id, strftime(timestamp, {MICROS}) AS timestamp, brand, text AS tweet FROM p JOIN documents USING (doc_id)"),
     "l3_recent_30": with_(MENTIONS, "SELECT mention_id, sentiment, polarity FROM m ORDER BY timestamp DESC, mention_id DESC LIMIT 30"),
     "l4_top_brands": "SELECT event_type AS brand, count(*) AS total FROM events GROUP BY ALL ORDER BY total DESC, brand LIMIT 6",
-    "l5_audit_recent": "SELECT event_id AS id, user_id::varchar AS user_id, event_type AS event, props AS detail FROM events ORDER BY id DESC LIMIT 500",
+    "l5_audit_recent": "SELECT event_id AS id, user_id::varchar AS user_id, event_type AS event, props AS detail, strftime(ts, " + MICROS + ") AS created_at FROM events ORDER BY id DESC LIMIT 500",
     "l6_alerts_recent": with_(ALERT_LOG, f"SELECT alert_id, title, status, strftime(updated_at, {MICROS}) AS updated_at FROM state ORDER BY state.updated_at DESC, alert_id DESC LIMIT 100"),
     "r1_negative_share_alert": with_(MENTIONS + "," + KPI, f"""SELECT 'negative-share' AS id, 'Elevated negative sentiment' AS title,
       ({ratio('negative * 100', 'total', 0)})::bigint || '% of the current stream is negative.' AS detail, 'High' AS severity FROM kpi WHERE negative > total * 0.3"""),
@@ -365,6 +379,17 @@ SQL = {
     "j2_alert_anti": with_(WINDOWS + LISTS, "SELECT * FROM sto WHERE id NOT IN (SELECT id FROM cur)"),
     "u1_alerts_union": with_(WINDOWS + LISTS, """SELECT * FROM cur UNION ALL SELECT * FROM sto WHERE id NOT IN (SELECT id FROM cur)
       UNION ALL SELECT * FROM ses WHERE id NOT IN (SELECT id FROM cur UNION ALL SELECT id FROM sto)"""),
+    "alerts_list": with_(SPIKED + window_ctes(HOUR, "with_spike") + "," + LATEST + "," + ALERT_LOG + f""",
+      share AS (SELECT count(*) AS total, count(*) FILTER (sentiment = 'Negative') AS negative FROM with_spike),
+      cur AS (SELECT 'negative-share' AS id, 'Elevated negative sentiment' AS title,
+          ({ratio('negative * 100', 'total', 0)})::bigint || '% of the current stream is negative.' AS detail, 'High' AS severity, 'Now' AS time
+        FROM share WHERE negative > total * 0.3
+        UNION ALL SELECT id, title, reason, severity, replace("window"[1:16], 'T', ' ') FROM found)""",
+      """SELECT *, CASE title WHEN 'Tweet volume spike' THEN 'Acknowledged' ELSE 'Open' END AS status FROM cur
+      UNION ALL SELECT alert_id, title, detail, severity, strftime(coalesce(v.seen_at, s.updated_at), '%Y-%m-%d %H:%M'), coalesce(v.status, s.status)
+        FROM state s LEFT JOIN moves v USING (alert_id)
+      UNION ALL SELECT 'demo-' || (i + 1), 'Negative sentiment spike - ' || brand,
+        'Demo anomaly injected into the local stream for dashboard review.', 'High', 'Now', 'Open' FROM spike"""),
     "j3_timeline_anomaly_marks": with_(WINDOWS + "," + TIMELINE, "SELECT t.*, a.id, a.severity FROM timeline t JOIN alerts a ON substr(a.\"window\", 12, 5) = t.time"),
     "j4_zero_fill": with_(WINDOWS + ", near AS (SELECT window_start FROM win ORDER BY window_start DESC LIMIT 30)",
                           """SELECT brand, sum(mentions)::bigint AS mentions, count(*) FILTER (mentions > 0) AS present,
@@ -389,16 +414,17 @@ SQL = {
     "r7_lockout_intervals": LOCKS,
     "s2_csv_detect_headerless": RAW,
     "s2_csv_detect_header": RAW,
-    "s3_csv_folder": with_(MENTIONS, f"SELECT mention_id::varchar AS mention_id, strftime(timestamp, {MICROS}) AS timestamp, sentiment, polarity, confidence FROM m"),
-    "s4_latest_snapshot": "SELECT doc_id, lang, source FROM documents",
-    "s5_normalise": """SELECT conv_id, turn, text AS tweet, role AS brand, 'community' AS username,
+    "s3_csv_folder": with_(MENTIONS, f"SELECT mention_id::varchar AS mention_id, strftime(timestamp, {MICROS}) AS timestamp, md5(text) AS digest, sentiment, polarity, confidence FROM m JOIN documents USING (doc_id)"),
+    "s4_latest_snapshot": "SELECT doc_id, lang, source FROM documents WHERE doc_id % 3 = 2",
+    "s5_normalise": """SELECT conv_id, turn, CASE WHEN turn % 3 = 0 THEN '2024-01-05 10:20:30' END AS timestamp, text AS tweet, role AS brand, 'community' AS username,
       upper(role[1]) || lower(role[2:]) AS sentiment, 0.0::double AS polarity, turn::double AS subjectivity, 0.0::double AS confidence FROM conversations WHERE text <> ''""",
     "s6_label_impute": f"""SELECT doc_id, strftime(TIMESTAMP '2024-02-01' - INTERVAL 1 MINUTE * (count(*) OVER () - row_number() OVER (ORDER BY doc_id)), {SECONDS}) AS timestamp,
-      'Other' AS brand, 'community' AS username, CASE WHEN toxic = 1 THEN 'Negative' WHEN quality = 1 THEN 'Positive' ELSE 'Neutral' END AS sentiment,
-      CASE WHEN toxic = 1 THEN -0.42 WHEN quality = 1 THEN 0.42 ELSE 0 END::double AS polarity, 0.5::double AS subjectivity, 0.72::double AS confidence FROM labels""",
+      md5(text) AS digest, 'Other' AS brand, 'community' AS username, CASE WHEN toxic = 1 THEN 'Negative' WHEN quality = 1 THEN 'Positive' ELSE 'Neutral' END AS sentiment,
+      CASE WHEN toxic = 1 THEN -0.42 WHEN quality = 1 THEN 0.42 ELSE 0 END::double AS polarity, 0.5::double AS subjectivity, 0.72::double AS confidence FROM labels JOIN documents USING (doc_id)""",
     "s7_history_latest": with_(EVENTS, f"SELECT mention_id, strftime(timestamp, {MICROS}) AS timestamp, brand FROM ev ORDER BY ev.timestamp DESC, mention_id DESC LIMIT 5000"),
-    "s8_bi_csv": with_(SCORED, f"""SELECT '2024-01-01 00:00:00' AS timestamp, 'a "quoted", ' || sentiment AS tweet, doc_id::varchar AS clean_tweet,
-      polarity, subjectivity, sentiment, confidence, 'x' AS brand, {BUCKET_NAME} AS polarity_bucket FROM scored"""),
+    "s8_bi_csv": with_(MENTIONS, f"""SELECT strftime(timestamp, {MICROS}) AS timestamp, md5('a "quoted", ' || text) AS tweet,
+      md5(array_to_string({kept('text')}, ' ')) AS clean_tweet, polarity, subjectivity, sentiment, confidence, brand,
+      {BUCKET_NAME} AS polarity_bucket FROM m JOIN documents USING (doc_id)"""),
     "s9_fallback": "SELECT event_type AS brand, count(*) AS n FROM events GROUP BY ALL",
     "t1_parse_json_payload": with_(EVENTS, """SELECT mention_id::integer AS tweet_id, length(t)::integer AS chars, md5(t) AS digest,
       strftime(timestamp, '%Y-%m-%dT%H:%M:%S.%f+00:00') AS produced_at, brand, username
@@ -416,29 +442,41 @@ SQL = {
       'Demo anomaly injected into the local stream for dashboard review.' AS detail, 'High' AS severity, 'Open' AS status FROM spike"""),
     "t8_retain_latest_n": """SELECT event_id AS mention_id, event_type AS brand FROM events QUALIFY row_number() OVER (ORDER BY event_id DESC) <=
       (SELECT CASE WHEN count(*) <= 5000 THEN count(*) ELSE 4001 + (count(*) - 5001) % 1000 END FROM events)""",
-    "k1_sink_csv_append": with_(STREAM, "SELECT brand, sentiment, polarity::varchar AS polarity, confidence::varchar AS confidence, count(*) AS n FROM stream GROUP BY ALL"),
+    "k1_sink_csv_append": with_(MENTIONS, """SELECT mention_id::varchar AS tweet_id, md5(text) AS digest, brand, sentiment,
+      polarity::varchar AS polarity, confidence::varchar AS confidence FROM m JOIN documents USING (doc_id)"""),
+    "k2_console": "SELECT count(*) AS events, count(*) AS shown FROM events",
     "k3_sink_history": with_(EVENTS, "SELECT brand, count(*) AS n, sum(length(text))::bigint AS chars FROM ev JOIN documents USING (doc_id) GROUP BY ALL"),
-    "k4_sink_live_batch": with_(STREAM, "SELECT 0::bigint AS batch_id, event_id::integer AS tweet_id, brand, sentiment FROM stream ORDER BY timestamp DESC, event_id DESC LIMIT 200"),
-    "st4_one_query_all_sinks": "SELECT unnest(['mentions', 'csv', 'history']) AS sink, count(*) AS n FROM events",
+    "k4_sink_live_batch": with_(MENTIONS, """SELECT 0::bigint AS batch_id, true AS bounded, mention_id::integer AS tweet_id, md5(text) AS tweet,
+      brand, sentiment, polarity FROM m JOIN documents USING (doc_id)"""),
+    "st4_one_query_all_sinks": with_(MENTIONS + """, rows AS (SELECT text, CASE WHEN regexp_matches(text, '^[ \\t\\r\\n]*[=+\\-@]') THEN chr(39) || text ELSE text END AS safe,
+        brand, username, sentiment, polarity, timestamp FROM m JOIN documents USING (doc_id)),
+      sunk AS (SELECT 'mentions' AS sink, md5(text) AS digest, brand, username, sentiment, polarity FROM rows
+        UNION ALL SELECT 'csv', md5(safe), brand, username, sentiment, polarity FROM rows
+        UNION ALL SELECT 'history', md5(text), brand, username, sentiment, polarity FROM rows)""",
+      "SELECT *, count(*) AS n FROM sunk GROUP BY ALL"),
     "st1_stream_tumbling": with_(WINDOWS, f"SELECT strftime(window_start, {SECONDS}) AS window_start, volume, mean_polarity, round(negative_ratio, 6) AS negative_ratio FROM metrics"),
-    "st2_watermark_dedup": "SELECT event_type AS brand, count(*) AS n FROM events GROUP BY ALL",
-    "st3_stream_alerts": with_(SPIKED + window_ctes(HOUR, "with_spike"), f"SELECT id AS alert_id, title, reason AS detail, severity, 'Open' AS status FROM alerts WHERE \"window\" = (SELECT strftime(max(window_start), {ISO}) FROM win)"),
+    "st2_watermark_dedup": """SELECT chunk, event_type AS brand, count(*) AS n FROM events, (VALUES ('first'), ('again')) c(chunk) GROUP BY ALL
+      UNION ALL SELECT 'gap', event_type, 2 FROM events WHERE event_id = 0""",
+    "st3_stream_alerts": with_(spiked("2024-01-20 12:00:00") + window_ctes(HOUR, "with_spike"), "SELECT id AS alert_id, title, reason AS detail, severity, 'Open' AS status FROM alerts"),
     "k5_export_csv": with_(MENTIONS + ", k AS (SELECT m.*, text FROM m JOIN documents USING (doc_id) WHERE brand = 'click' AND sentiment = 'Negative')",
-                           f"""SELECT CASE WHEN regexp_matches(text, '^[ \\t\\r\\n]*[=+\\-@]') THEN '''' || text ELSE text END AS tweet, brand, username, sentiment,
+                           f"""SELECT strftime(timestamp, {MICROS}) AS timestamp, subjectivity::varchar AS subjectivity, CASE WHEN regexp_matches(text, '^[ \\t\\r\\n]*[=+\\-@]') THEN '''' || text ELSE text END AS tweet, brand, username, sentiment,
       polarity::varchar AS polarity, confidence::varchar AS confidence FROM k WHERE timestamp >= {RECENT.format('k', '30 DAYS')}"""),
     "k6_chart_datasets": with_(MENTIONS + "," + DISTRIBUTION + "," + MINUTES + "," + TOKENS, """SELECT 'sentiment_distribution' AS chart, sentiment AS item, n FROM dist
-      UNION ALL (SELECT 'word_frequency', word, count(*) AS c FROM words GROUP BY ALL ORDER BY c DESC, word LIMIT 20)
+      UNION ALL (SELECT 'word_frequency', word, sum(times)::bigint AS c FROM words JOIN (SELECT doc_id, count(*) AS times FROM ev GROUP BY ALL) USING (doc_id) GROUP BY ALL ORDER BY c DESC, word LIMIT 20)
       UNION ALL SELECT 'time_series', minute, volume FROM filled"""),
     "k7_report_rows": with_(MENTIONS + ", p AS (SELECT * FROM m ORDER BY timestamp DESC, mention_id DESC LIMIT 30)",
-                            f"""SELECT mention_id, brand, sentiment, printf('%.2f', round_even(polarity, 2)) AS polarity,
+                            f"""SELECT mention_id, strftime(timestamp, {MICROS}) AS timestamp, brand, sentiment, printf('%.2f', round_even(polarity, 2)) AS polarity,
       replace({page_escape('substr(text, 1, 300)')}, chr(10), ' ') AS snippet FROM p JOIN documents USING (doc_id)"""),
-    "k8_dashboard_bundle": with_(MENTIONS + "," + KPI + "," + BY_BRAND + "," + TIMELINE + "," + ALERT_LOG + f""",
+    "k8_dashboard_bundle": with_(SPIKED + window_ctes(HOUR, "with_spike") + "," + LATEST + "," + ", ".join(
+      cte.replace("FROM m", "FROM with_spike") for cte in (KPI, BY_BRAND, TIMELINE)) + "," + ALERT_LOG + f""",
       fig AS (SELECT total, positive, negative, neutral, {ratio('positive * 100', 'total', 1)} AS positive_pct, {ratio('negative * 100', 'total', 1)} AS negative_pct,
-        (SELECT {P_MEAN} FROM m) AS avg_polarity, {ratio('total', '30', 1)} AS tweets_per_min FROM kpi),
-      gau AS (SELECT (SELECT count(*) FROM events) AS available_total, count(*) FILTER (status = 'Open') AS active_alerts FROM state)""",
+        (SELECT {P_MEAN} FROM with_spike) AS avg_polarity, {ratio('total', '30', 1)} AS tweets_per_min FROM kpi),
+      gau AS (SELECT (SELECT count(*) FROM with_spike) AS available_total, count(*) FILTER (status = 'Open') AS active_alerts FROM state)""",
       """SELECT 'figures' AS section, '' AS item, metric, value FROM (UNPIVOT (SELECT COLUMNS(*)::double FROM fig) ON COLUMNS(*) INTO NAME metric VALUE value)
       UNION ALL SELECT 'brands', brand, metric, value FROM (UNPIVOT (SELECT brand, total::double AS total, polarity, negative::double AS negative FROM by_brand) ON total, polarity, negative INTO NAME metric VALUE value)
       UNION ALL SELECT 'timeline', time, metric, value FROM (UNPIVOT (SELECT time, positive::double AS positive, negative::double AS negative, neutral::double AS neutral, polarity FROM timeline) ON positive, negative, neutral, polarity INTO NAME metric VALUE value)
+      UNION ALL SELECT 'anomalies', id, 'score', score FROM found
+      UNION ALL SELECT 'brands_list', brand, 'listed', 1 FROM (SELECT DISTINCT brand FROM with_spike WHERE brand <> 'Other')
       UNION ALL SELECT 'gauges', '', metric, value FROM (UNPIVOT (SELECT COLUMNS(*)::double FROM gau) ON COLUMNS(*) INTO NAME metric VALUE value)"""),
     "k9_sink_audit": "SELECT event_id AS id, user_id::varchar AS user_id, event_type AS event, 2000::integer AS chars FROM events",
 }

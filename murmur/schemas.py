@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+# Column names and types of messages, files and tables.
 MESSAGE = "tweet_id INT, tweet_text STRING, produced_at STRING, brand STRING, username STRING"
 RAW_COLUMNS = ("tweet_id", "entity", "sentiment_label", "tweet_text")
 MENTION_COLUMNS = ("timestamp", "tweet", "brand", "username", "sentiment",
@@ -15,5 +16,7 @@ HISTORY = ("tweet_hash STRING, timestamp TIMESTAMP, tweet STRING, brand STRING,
            "sentiment STRING, polarity DOUBLE, subjectivity DOUBLE, confidence DOUBLE, day DATE")
 ALERT_LOG = ("alert_id STRING, title STRING, detail STRING, severity STRING, status STRING, "
              "at TIMESTAMP")
+WINDOW_FACTS = ("window_start TIMESTAMP, brand STRING, mentions BIGINT, negatives BIGINT, polarity_micro BIGINT, "
+                "batch_id BIGINT, day DATE")
 STATUS_LOG = "alert_id STRING, status STRING, at TIMESTAMP"
 AUDIT = "id BIGINT, user_id STRING, event STRING, detail STRING, created_at TIMESTAMP"

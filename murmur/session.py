@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,35 +30,80 @@ def build_session(app: str = "murmur", master: str | None = None, **conf: str) -
 def scratch_folder(spark: SparkSession, name: str) -> str:
     """A new path under the folder all executors share.
 
-    The cluster names that folder in `spark.checkpoint.dir`. Only a local session,
-    where driver and executors are one process, may fall back to a folder of its own.
+    The cluster names that folder in `spark.checkpoint.dir`. Where it is unset, only a
+    session whose tasks are threads of the driver gets a folder of its own.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="murmur-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or _own_folder(spark.sparkContext.master)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame) -> DataFrame:
+_own: list[str] = []
+
+
+def _own_folder(master: str) -> str:
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
+    if not _own:
+        folder = tempfile.TemporaryDirectory(prefix="murmur-", ignore_cleanup_errors=True)
+        atexit.register(folder.cleanup)
+        _own.append(folder.name)
+    return _own[0]
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession, name: str) -> Iterator[str]:
+    """A folder in the shared place for one piece of work, deleted when that ends.
+
+    For jobs that finish inside the block, such as the batches of a stream. A frame
+    that is handed on lazily needs its tables longer: see `settle`.
+    """
+    path = scratch_folder(spark, name)
+    try:
+        yield path
+    finally:
+        delete_folder(spark, path)
+
+
+def settle(df: DataFrame, name: str = "settled") -> DataFrame:
     """`df` as a table in the shared folder: computed once however often it is read.
 
-    For results that later steps read several times and that are costly to redo.
+    For callers whose results read it several times; operators don't settle. The frame is
+    lazy, so its table stays until the driver's process ends and is deleted then.
     """
-    path = scratch_folder(df.sparkSession, "settled")
+    path = scratch_folder(df.sparkSession, name)
     df.write.parquet(path)
+    if not _settled:
+        atexit.register(_delete_settled)
+    _settled.append((df.sparkSession, path))
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_settled: list[tuple[SparkSession, str]] = []
+
+
+def _delete_settled() -> None:
+    while _settled:
+        spark, path = _settled.pop()
+        try:
+            delete_folder(spark, path)
+        except Exception:  # the session has gone, and with it the way to its storage
+            return
+
+
+#: Files of up to so many bytes are dealt out; a larger input has splits enough.
+SPREAD_BYTES = 256 << 20
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Use every core when the input has fewer splits than there are cores.
+    """Deal the rows of a small file to all cores: a file of one row group would keep one core busy.
 
-    Text work is heavy per byte, so a file of one row group would keep one core
-    busy. Input of many splits, as any large table is, comes back unshuffled.
+    Decided by Catalyst's size of the scan, without a job. What is shuffled has a fixed
+    bound, so on a large table this does nothing, however many cores there are.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df._jdf.rdd().getNumPartitions() >= cores * 2:
-        return df
-    return df.repartition(cores)
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df if size > SPREAD_BYTES else df.repartition(df.sparkSession.sparkContext.defaultParallelism)

@@ -27,7 +27,10 @@ def _first_filled(df: DataFrame, field: str) -> Column:
 
 
 def title_case(text: Column) -> Column:
-    return F.initcap(text)
+    """Every letter that follows no letter in upper case, the others in lower."""
+    letter = r"\p{L}"
+    runs = F.split(F.lower(text), rf"(?<={letter})(?!{letter})|(?<!{letter})(?={letter})")
+    return F.array_join(F.transform(runs, lambda r: F.concat(F.upper(F.substring(r, 1, 1)), F.substr(r, F.lit(2)))), "")
 
 
 def number_or_zero(text: Column) -> Column:

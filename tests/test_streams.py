@@ -5,8 +5,9 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from murmur.operators.scoring import LiteralLexicon, default_lexicon, score_text
-from murmur.operators.windows import window_facts
+from murmur.operators.scoring import default_lexicon, score_batch
+from murmur.operators.windows import all_window_alerts, window_facts
+from murmur.sources import history
 from murmur.streaming import ingest, jobs, sinks
 
 ONCE = {"availableNow": True}
@@ -43,9 +44,9 @@ def test_topic_source_needs_the_connector(spark):
 
 def test_all_sinks_hold_each_row_once(spark, tmp_path):
     source, base = str(tmp_path / "in"), str(tmp_path / "out")
-    lexicon = LiteralLexicon(default_lexicon(spark))
-    scored = jobs.scored_mentions(ingest.parse_json_payload(stream_of(spark, messages(spark), source, 3)), lexicon)
-    sinks.all_sinks(scored, base, **ONCE).awaitTermination()
+    lexicon = default_lexicon(spark)
+    dated = jobs.dated_mentions(ingest.parse_json_payload(stream_of(spark, messages(spark), source, 3)))
+    sinks.all_sinks(dated, lexicon, base, **ONCE).awaitTermination()
     table = spark.read.parquet(f"{base}/mentions")
     assert table.count() == 40 and table.select("tweet_id").distinct().count() == 40
     csv = spark.read.csv(f"{base}/csv", header=True, escape='"')
@@ -55,13 +56,12 @@ def test_all_sinks_hold_each_row_once(spark, tmp_path):
         F.from_json("value", "batch_id BIGINT, tweets ARRAY<STRUCT<tweet_id: INT>>").alias("e"))
     assert live.select(F.sum(F.size("e.tweets"))).first()[0] == 40
     # The same files again, as after a lost checkpoint: the history stays as it is.
-    sinks.all_sinks(jobs.scored_mentions(ingest.parse_json_payload(
-        spark.readStream.schema(RAW).parquet(source)), lexicon), str(tmp_path / "again"), **ONCE).awaitTermination()
+    sinks.all_sinks(jobs.dated_mentions(ingest.parse_json_payload(spark.readStream.schema(RAW).parquet(source))), lexicon,
+                    str(tmp_path / "again"), **ONCE).awaitTermination()
     again = spark.read.parquet(f"{tmp_path}/again/mentions")
-    from murmur.sources.history import insert_unseen
-    insert_unseen(again.drop("batch_id"), f"{base}/history", "tweet_id")
+    history.insert_unseen(again.drop("batch_id"), f"{base}/history", "tweet_id")
     assert spark.read.parquet(f"{base}/history").count() == 40
-    batch = score_text(table.drop("clean_tweet", "polarity", "subjectivity", "sentiment", "confidence"), lexicon)
+    batch = score_batch(table.drop("clean_tweet", "polarity", "subjectivity", "sentiment", "confidence"), lexicon)
     columns = ["tweet_id", "polarity", "sentiment", "confidence"]
     assert sorted(batch.select(*columns).collect()) == sorted(table.select(*columns).collect())
 
@@ -79,7 +79,7 @@ def test_windows_of_stream_and_batch_agree(spark, tmp_path):
     stream = spark.readStream.schema(batch.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     facts = jobs.window_fact_stream(stream, 60, "1 hour")
     jobs.alert_job(facts, str(tmp_path / "facts"), str(tmp_path / "alerts"), str(tmp_path / "cp"), **ONCE).awaitTermination()
-    got = jobs.current_facts(spark, str(tmp_path / "facts"))
+    got = jobs.current_facts(jobs.read_facts(spark, str(tmp_path / "facts")))
     assert sorted(got.collect()) == sorted(window_facts(batch).select(*got.columns).collect())
     assert spark.read.parquet(str(tmp_path / "alerts")).columns[0] == "alert_id"
 
@@ -99,15 +99,55 @@ def test_late_rows_are_dropped(spark, tmp_path):
 
     assert run([(1, START, "A", "Positive", 0.1), (2, START + timedelta(hours=1), "A", "Positive", 0.1)]) == 0
     assert run([(3, START, "A", "Positive", 0.1)]) > 0
-    assert jobs.current_facts(spark, str(tmp_path / "facts")).agg(F.sum("mentions")).first()[0] == 2
+    assert jobs.current_facts(spark.read.parquet(str(tmp_path / "facts"))).agg(F.sum("mentions")).first()[0] == 2
 
 
 def test_console_and_csv(spark, tmp_path, capfd):
-    batch = mention_folder(spark, str(tmp_path / "in"), 1)
-    stream = spark.readStream.schema(batch.schema).parquet(str(tmp_path / "in"))
-    sinks.to_console(stream, **ONCE).awaitTermination()
-    sinks.append_csv(stream, str(tmp_path / "csv"), str(tmp_path / "cp"), **ONCE).awaitTermination()
-    assert spark.read.csv(str(tmp_path / "csv"), header=True).count() == 300
+    source = str(tmp_path / "in")
+    dated = jobs.dated_mentions(ingest.parse_json_payload(stream_of(spark, messages(spark), source)))
+    sinks.to_console(dated, **ONCE).awaitTermination()
+    sinks.append_csv(dated, default_lexicon(spark), str(tmp_path / "csv"), str(tmp_path / "cp"), **ONCE).awaitTermination()
+    rows = spark.read.csv(str(tmp_path / "csv"), header=True)
+    assert rows.count() == 40 and rows.filter("sentiment = 'Positive'").count() == 10
+
+
+def test_live_batch_holds_every_row(spark):
+    rows = spark.range(1000).select(F.col("id").alias("tweet_id"), F.timestamp_seconds(F.col("id") % 90).alias("timestamp"))
+    envelopes = sinks.live_batch(rows.repartition(5), 7, 64).select(F.from_json(
+        "value", "batch_id BIGINT, part BIGINT, tweets ARRAY<STRUCT<tweet_id: BIGINT, timestamp: TIMESTAMP>>").alias("e")).select("e.*").collect()
+    assert all(e["batch_id"] == 7 and len(e["tweets"]) <= 64 for e in envelopes)
+    seen = [(t["timestamp"], t["tweet_id"]) for e in sorted(envelopes, key=lambda e: e["part"]) for t in e["tweets"]]
+    assert len(seen) == 1000 and seen == sorted(seen, reverse=True)
+    assert sinks.live_batch(rows.filter("false"), 1).count() == 0
+
+
+def test_history_keeps_undated_rows_once(spark, tmp_path):
+    schema = ("mention_id INT, timestamp TIMESTAMP, tweet STRING, brand STRING, username STRING, sentiment STRING, "
+              "polarity DOUBLE, subjectivity DOUBLE, confidence DOUBLE")
+    rest = ("A", "u", "Neutral", 0.0, 0.0, 0.0)
+    rows = spark.createDataFrame([(1, None, "a", *rest), (2, None, "b", *rest), (3, None, "a", *rest), (4, START, None, *rest),
+                                  (5, START, "a", *rest), (6, None, None, *rest)], schema)
+    for _ in range(2):
+        history.insert_unseen(rows, str(tmp_path / "h"), "mention_id")
+        assert history.read_history(spark, str(tmp_path / "h")).count() == 5
+
+
+def test_alerts_of_every_window_a_batch_touches(spark, tmp_path):
+    """A spike some windows before the end, all in one batch and spread over many."""
+    hours = [(10 * h + i, START + timedelta(hours=h), "A", "Positive", 0.1) for h in range(40) for i in range(2 + h % 2)]
+    spike = [(1000 + i, START + timedelta(hours=33), "A", "Negative", -0.8) for i in range(30)]
+    rows = spark.createDataFrame(hours + spike, "mention_id BIGINT, timestamp TIMESTAMP, brand STRING, sentiment STRING, polarity DOUBLE")
+    expected = {r["id"] for r in all_window_alerts(window_facts(rows, 3600), 3600).collect()}
+    assert len(expected) >= 3
+    for name, chunks in (("one", 1), ("many", 5)):
+        folder = str(tmp_path / name)
+        for n in range(chunks):
+            part = F.floor(F.timestamp_diff("HOUR", F.lit(START), F.col("timestamp")) * chunks / 40)
+            rows.filter(part == n).coalesce(1).write.mode("append").parquet(folder)
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+        facts = jobs.window_fact_stream(stream, 3600)
+        jobs.alert_job(facts, f"{folder}-facts", f"{folder}-alerts", f"{folder}-cp", 3600, **ONCE).awaitTermination()
+        assert {r["alert_id"] for r in spark.read.parquet(f"{folder}-alerts").collect()} == expected
 
 
 def test_first_seen(spark, tmp_path):

@@ -13,6 +13,7 @@ MENTION = "mention_id BIGINT, timestamp TIMESTAMP, brand STRING, sentiment STRIN
 START = datetime(2026, 1, 1, 10, 0)
 
 
+# The published spike case, seven even minutes and one of eight negative rows.
 def spike_rows():
     rows = []
     for minute in range(7):
@@ -121,10 +122,19 @@ def test_look_back_and_rank_across_blocks(spark):
         assert slid[p] == sum(w for _, w in near) + v
         assert seen[p] == max((q for q, w in near if w > 50), default=None)
         assert top[p] == max(w for kk, q, w in data if kk == k and q <= p)
-    ranks = {r["pos"]: r["rank"] for r in spans.dense_rank(df, "pos", block=16).collect()}
+    ranks = {r["pos"]: r["rank"] for r in spans.dense_rank(df, "pos", blocks=16).collect()}
     assert [ranks[p] for p in positions] == list(range(1, 301))
 
 
+@pytest.mark.parametrize("step", [1, 10**9])
+def test_rank_of_dense_and_sparse_numbers_is_spread(spark, step):
+    n = 20_000
+    ranked = spans.dense_rank(spark.range(n).select((F.col("id") * step).alias("pos")), "pos", blocks=20)
+    assert ranked.filter(F.col("rank") != F.col("pos") / step + 1).count() == 0
+    tasks = ranked.groupBy(F.spark_partition_id().alias("t")).count().collect()
+    assert len(tasks) > 1 and max(r["count"] for r in tasks) < n
+
+
 def metrics(spark, n, last):
     rng = random.Random(2)
     rows = [(START + timedelta(minutes=i), 10 + rng.randrange(5), rng.uniform(-0.1, 0.1), rng.uniform(0.2, 0.4))
