@@ -8,15 +8,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.session import scratch_folder
+from murmur.session import settle
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BLANKS = " \t\n\x0b\x0c\r"
 #: Bytes of text in one Arrow batch at most, so that long texts do not fill a task's memory.
 ARROW_BYTES = 8 << 20
-#: Words of a text that one row carries while its word windows are made.
-CHUNK_WORDS = 1024
 
 
 def prepare(spark: SparkSession) -> None:
@@ -46,7 +44,7 @@ def lower_ascii(text: Column) -> Column:
 
 def ascii_words(text: Column) -> Column:
     """The lower-cased words of a text: runs of a-z, 0-9 and non-ASCII characters; of null none."""
-    return F.filter(F.split(lower_ascii(F.coalesce(text, F.lit(""))), NOT_WORD), lambda w: w != "")
+    return F.array_remove(F.split(lower_ascii(F.coalesce(text, F.lit(""))), NOT_WORD), "")
 
 
 def row_key(doc_id: Column, text: Column) -> list[Column]:
@@ -56,36 +54,48 @@ def row_key(doc_id: Column, text: Column) -> list[Column]:
             F.xxhash64(F.lit("murmur"), whole, doc_id.cast("string")).alias("k2")]
 
 
+def gram_text(words: Column, pos: Column, length: int | Column) -> Column:
+    """The words from `pos` on, space-joined."""
+    return F.array_join(F.slice(words, pos + 1, length), " ")
+
+
 def word_windows(df: DataFrame, keys: list[str], words: str, lengths: list[int]) -> DataFrame:
-    """Every run of `length` words with the place it starts at: keys, pos, length, gram.
+    """Every run of `length` words by a rolling hash: keys, words, pos, length, h.
 
-    A long text is cut into chunks that overlap by the longest window, so that a row
-    never holds all windows of a text; `pos` counts from the text's first word.
+    `pos` counts from the text's first word. The arrays of a text stand beside each of its
+    windows as references within one generated loop; only what is selected from the result
+    after a filter or broadcast join is written out, so no window is.
     """
-    longest = max(lengths)
-    chunk = F.explode(bind(F.col(words), lambda w: F.when(F.size(w) > 0, F.transform(
-        F.sequence(F.lit(0), F.size(w) - 1, F.lit(CHUNK_WORDS)),
-        lambda c: F.struct(c.alias("at"), F.slice(w, c + 1, CHUNK_WORDS + longest - 1).alias("words"))))))
-    chunks = df.select(*keys, chunk.alias("_chunk"))
+    hashed = df.select(*keys, words, F.transform(words, lambda w: F.xxhash64(w)).alias("_h"))
+    # The outer form, as the plain one would first make the arrays once more to see if they are empty.
+    at = hashed.select(*keys, words, "_h", F.posexplode_outer("_h").alias("pos", "_first"))
+
+    def key(length: int) -> Column:
+        rest = [F.get("_h", F.col("pos") + k) for k in range(1, length)]
+        return F.when(F.col("pos") + length <= F.size("_h"), F.xxhash64(F.lit(length), "_first", *rest))
+    if len(lengths) == 1:
+        rows = at.select(*keys, words, "pos", F.lit(lengths[0]).alias("length"), key(lengths[0]).alias("h"))
+    else:
+        rows = at.select(*keys, words, "pos", F.explode(F.array(*[
+            F.struct(F.lit(n).alias("length"), key(n).alias("h")) for n in lengths])).alias("_w")).select(
+            *keys, words, "pos", "_w.length", "_w.h")
+    return rows.where(F.col("h").isNotNull())
+
+
+def window_hash(words: Column, lengths: list[int]) -> Column:
+    """The hash `word_windows` gives a run that is the whole array `words`, of one of the lengths."""
+    return F.coalesce(*[F.when(F.size(words) == n, F.xxhash64(
+        F.lit(n), *[F.xxhash64(F.get(words, F.lit(k))) for k in range(n)])) for n in lengths])
 
-    def of(length: int) -> Column:
-        def windows(c: Column) -> Column:
-            last = F.least(F.size(c["words"]) - length, F.lit(CHUNK_WORDS - 1))
-            return F.when(last >= 0, F.transform(F.sequence(F.lit(0), last), lambda i: F.struct(
-                (c["at"] + i).alias("pos"), F.lit(length).alias("length"),
-                F.array_join(F.slice(c["words"], i + 1, length), " ").alias("gram"))))
-        return bind(F.col("_chunk"), windows)
 
-    found = [F.coalesce(of(n), F.array().cast("array<struct<pos:int,length:int,gram:string>>")) for n in lengths]
-    return chunks.select(*keys, F.explode(found[0] if len(found) == 1 else F.concat(*found)).alias("_w")).select(
-        *keys, "_w.pos", "_w.length", "_w.gram")
+def same_text(a: Column, b: Column) -> Column:
+    """a = b in a form that stays a condition of a join and does not become one of its hashed keys."""
+    return (a >= b) & (a <= b)
 
 
 def settled(df: DataFrame, name: str) -> DataFrame:
     """`df` written to the shared folder and read again: lineage ends there, a lost executor loses nothing."""
-    path = scratch_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return settle(df, name)
 
 
 def batch_name() -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from murmur.llm.common import ascii_words, bind, fresh, row_key, word_windows
+from murmur.llm.common import ascii_words, bind, fresh, gram_text, row_key, same_text, settled, window_hash, word_windows
 
 #: Words of a window; an item of fewer words is one window.
 WINDOW = 10
@@ -43,12 +43,13 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     known = grams.groupBy("length").agg(F.sum(F.octet_length("gram") + 40).alias("bytes")).collect()
     lengths = sorted(r["length"] for r in known) or [window]
     keyed = documents.select(*row_key(F.col("doc_id"), F.col("text")), ascii_words(F.col("text")).alias("words"))
-    scanned = word_windows(keyed, ["k1", "k2"], "words", lengths).withColumn("h", F.xxhash64("gram"))
-    targets = grams.select(F.col("gram").alias("target"), F.xxhash64("gram").alias("h"))
+    scanned = word_windows(keyed, ["k1", "k2"], "words", lengths)
+    targets = grams.select(F.col("gram").alias("target"), window_hash(F.split("gram", " "), lengths).alias("code"))
     if sum(r["bytes"] for r in known) <= broadcast_bytes:
         targets = F.broadcast(targets)
-    return scanned.join(targets, "h").where(F.col("gram") == F.col("target")).select(
-        "k1", "k2", "pos", "length", "gram")
+    gram = gram_text(F.col("words"), F.col("pos"), F.col("length"))
+    found = (F.col("h") == F.col("code")) & same_text(gram, F.col("target"))
+    return scanned.join(targets, found).select("k1", "k2", "pos", "length", F.col("target").alias("gram"))
 
 
 def covered(spans: Column) -> Column:
@@ -71,7 +72,7 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
     in the list. Repeated rows give equal rows each, a null doc_id is kept, other columns
     are not read. An empty benchmark leaves every document clean.
     """
-    hits = find_leaks(documents, benchmark, window, broadcast_bytes)
+    hits = settled(find_leaks(documents, benchmark, window, broadcast_bytes), "hits")
     windows, classes = item_windows(benchmark, window)
     spans = hits.groupBy("k1", "k2").agg(F.collect_set(F.struct("pos", "length")).alias("spans"))
     named = (hits.select("k1", "k2", "gram").distinct().join(windows.select("gram", "c1", "c2"), "gram")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from murmur.llm.common import ascii_words, bind, row_key, word_windows
+from murmur.llm.common import ascii_words, bind, gram_text, row_key, same_text, window_hash, word_windows
 
 # Phrases that must be found as they stand, and their labels.
 PHRASES = [
@@ -82,10 +82,13 @@ def licence_spans(documents: DataFrame, templates=TEMPLATES, gram: int = GRAM, n
     `neighbour` apart whose hits follow each other in the text are one span. A span holds if
     its verified k-grams cover enough of the template and it isn't stretched too far.
     """
-    grams = template_grams(documents.sparkSession, templates, gram).withColumn("h", F.xxhash64("target"))
+    grams = template_grams(documents.sparkSession, templates, gram).withColumn(
+        "code", window_hash(F.split("target", " "), [gram]))
     keyed = documents.select(*row_key(F.col("doc_id"), F.col("text")), ascii_words(F.col("text")).alias("words"))
-    scanned = word_windows(keyed, ["k1", "k2"], "words", [gram]).select("k1", "k2", "pos", "gram", F.xxhash64("gram").alias("h"))
-    hits = scanned.join(F.broadcast(grams), "h").where("gram = target").withColumn("diagonal", F.col("pos") - F.col("t_pos"))
+    scanned = word_windows(keyed, ["k1", "k2"], "words", [gram])
+    same = same_text(gram_text(F.col("words"), F.col("pos"), gram), F.col("target"))
+    hits = scanned.join(F.broadcast(grams), (F.col("h") == F.col("code")) & same).select(
+        "k1", "k2", "template", "label", "t_words", "pos", "t_pos", (F.col("pos") - F.col("t_pos")).alias("diagonal"))
     of = ["k1", "k2", "template", "label", "t_words"]
     diagonals = hits.groupBy(*of, "diagonal").agg(
         F.min("pos").alias("start"), F.max("pos").alias("last"), F.collect_set("t_pos").alias("places"))

@@ -1,5 +1,149 @@
-"""DuckDB SQL for the corpus queries that SQL can express."""
+"""DuckDB SQL for the corpus queries that SQL can express.
+
+Not here: fertility (pieces of a vocabulary), byte-level BPE, sequences and token counts
+(byte-pair merges), SimHash (its hash and the closure of links) and language mixtures
+(an iterated fit). Tests hold those against plain Python over the libraries themselves.
+"""
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+LICENCES = rf"""
+WITH texts AS (SELECT row_number() OVER () AS row_id, doc_id, {_WORDS} AS w FROM documents),
+base AS (
+  SELECT row_id, i - 1 AS start, CASE
+      WHEN w[i] = 'gnu' AND w[i + 1] = 'general' AND w[i + 2] = 'public' AND w[i + 3] = 'license' THEN 'gpl'
+      WHEN w[i] = 'apache' AND w[i + 1] = 'license' THEN 'apache'
+      WHEN w[i] = 'cc' AND w[i + 1] = 'by' THEN 'cc-by'
+      WHEN w[i] = 'mit' AND w[i + 1] = 'license' THEN 'mit' END AS label
+  FROM (SELECT row_id, w, unnest(range(1, len(w) + 1)) AS i FROM texts)),
+places AS (SELECT * FROM base WHERE label IS NOT NULL),
+templates(template, label, body) AS (VALUES
+  (0, 'apache-2.0', 'licensed under the apache license version 2 0'),
+  (1, 'apache-2.0', 'licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at'),
+  (2, 'bsd', 'redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met'),
+  (3, 'cc-by-4.0', 'licensed under cc by 4 0'),
+  (4, 'cc-by-nc-4.0', 'licensed under cc by nc 4 0'),
+  (5, 'cc-by-sa-4.0', 'licensed under cc by sa 4 0'),
+  (6, 'gpl-3.0', 'this work is licensed under the gnu general public license version 3'),
+  (7, 'gpl-notice', 'this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation'),
+  (8, 'isc', 'permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted'),
+  (9, 'mit-notice', 'released under the mit license'),
+  (10, 'mit-text', 'permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction'),
+  (11, 'mpl-2.0', 'this source code form is subject to the terms of the mozilla public license v 2 0')),
+grams AS (
+  SELECT template, label, len(t) AS t_words, j - 1 AS t_pos, array_to_string(t[j:j + 3], ' ') AS gram
+  FROM (SELECT template, label, t, unnest(range(1, len(t) - 2)) AS j
+        FROM (SELECT template, label, string_split(body, ' ') AS t FROM templates))),
+scanned AS (
+  SELECT row_id, i - 1 AS pos, array_to_string(w[i:i + 3], ' ') AS gram
+  FROM (SELECT row_id, w, unnest(range(1, len(w) - 2)) AS i FROM texts)),
+hits AS (SELECT DISTINCT row_id, template, label, t_words, pos, t_pos, pos - t_pos AS diagonal FROM scanned JOIN grams USING (gram)),
+diagonals AS (
+  SELECT row_id, template, label, t_words, diagonal, min(pos) AS lo, max(pos) AS hi
+  FROM hits GROUP BY ALL),
+marked AS (
+  SELECT *, CASE WHEN diagonal - lag(diagonal) OVER d <= 3 AND lo <= lag(hi) OVER d + 7 AND hi >= lag(lo) OVER d - 7
+                 THEN 0 ELSE 1 END AS fresh
+  FROM diagonals WINDOW d AS (PARTITION BY row_id, template ORDER BY diagonal)),
+numbered AS (
+  SELECT *, sum(fresh) OVER (PARTITION BY row_id, template ORDER BY diagonal ROWS UNBOUNDED PRECEDING) AS span FROM marked),
+extent AS (
+  SELECT row_id, template, label, t_words, span, min(lo) AS first_pos, max(hi) + 4 AS end_pos FROM numbered GROUP BY ALL),
+inside AS (
+  SELECT row_id, template, span, count(DISTINCT p) AS n
+  FROM (SELECT h.row_id, h.template, m.span, unnest(range(h.t_pos, h.t_pos + 4)) AS p
+        FROM hits h JOIN numbered m ON h.row_id = m.row_id AND h.template = m.template AND h.diagonal = m.diagonal)
+  GROUP BY ALL),
+spans AS (
+  SELECT row_id, label, n::DOUBLE / t_words AS share FROM extent JOIN inside USING (row_id, template, span)
+  WHERE n::DOUBLE / t_words >= 0.75 AND end_pos - first_pos <= t_words * 1.5),
+named AS (
+  SELECT row_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
+  FROM (SELECT row_id, label FROM places UNION SELECT row_id, label FROM spans) GROUP BY row_id),
+own AS (
+  SELECT row_id, count(*) AS n_base, min(start) AS first_word, max(start) AS last_word,
+         string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM places GROUP BY row_id),
+best AS (SELECT row_id, max(share) AS score FROM spans GROUP BY row_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word,
+       last_word::BIGINT AS last_word, coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels,
+       coalesce(score, 0.0)::DOUBLE AS score
+FROM texts LEFT JOIN own USING (row_id) LEFT JOIN named USING (row_id) LEFT JOIN best USING (row_id)
+"""
+
+SECRETS = r"""
+WITH rules(place, kind, pattern, grp, least) AS (VALUES
+  (0, 'assign', '(?i:(password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 12),
+  (1, 'access', 'AKIA[A-Z0-9]+', 0, 18),
+  (2, 'hex', '[0-9a-f]+', 0, 16),
+  (3, 'pem', '-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----', 0, 1),
+  (4, 'github', 'gh[opsur]_[A-Za-z0-9]{36,}', 0, 1),
+  (5, 'slack', 'xox[abprs]-[A-Za-z0-9-]{10,}', 0, 1),
+  (6, 'google', 'AIza[A-Za-z0-9_-]{35}', 0, 1),
+  (7, 'jwt', 'eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}', 0, 1)),
+texts AS (SELECT row_number() OVER () AS row_id, doc_id, replace(coalesce(text, ''), chr(1), chr(2)) AS t FROM documents),
+cut AS (
+""" + "\nUNION ALL\n".join(
+    f"""  SELECT row_id, place, string_split(regexp_replace(t, pattern, chr(1) || '\\0' || chr(1), 'g'), chr(1)) AS parts
+  FROM texts, (SELECT place, pattern FROM rules WHERE place = {n})""" for n in range(8)) + r"""),
+parts AS (
+  SELECT row_id, place, part, n, sum(length(part)) OVER (PARTITION BY row_id, place ORDER BY n ROWS UNBOUNDED PRECEDING) AS stop
+  FROM (SELECT row_id, place, unnest(parts) AS part, generate_subscripts(parts, 1) AS n FROM cut WHERE len(parts) > 1)),
+found AS (
+  SELECT row_id, p.place, kind, stop - length(part) AS start, stop
+  FROM parts p JOIN rules USING (place)
+  WHERE n % 2 = 0 AND CASE WHEN p.place = 0
+      THEN length(regexp_extract(part, '(?i:(password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2))
+      ELSE length(part) END >= least),
+told AS (
+  SELECT row_id, count(*) FILTER (place = 0) AS n_assign, count(*) FILTER (place = 1) AS n_access, count(*) FILTER (place = 2) AS n_hex,
+         coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place) FILTER (place < 3), '') AS base,
+         string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place) AS spans
+  FROM found GROUP BY row_id)
+SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+       coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN told USING (row_id)
+"""
+
+LINES = """
+WITH texts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+lines AS (SELECT doc_id, unnest(ls) AS line, generate_subscripts(ls, 1) AS pos FROM texts),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+owners AS (
+  SELECT key, min(doc_id) AS owner FROM keyed WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+marked AS (SELECT keyed.*, coalesce(owner <> doc_id, false) AS gone FROM keyed LEFT JOIN owners USING (key))
+SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (gone))::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+LEAKS = rf"""
+WITH texts AS (SELECT row_number() OVER () AS row_id, doc_id, {_WORDS} AS w FROM documents),
+items AS (SELECT item_id, w, least(len(w), 10) AS n FROM (SELECT item_id, {_WORDS} AS w FROM benchmark) WHERE len(w) > 0),
+windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS gram
+  FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM items)),
+lengths AS (SELECT DISTINCT n FROM windows),
+scanned AS (
+  SELECT row_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS gram
+  FROM (SELECT row_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM texts, lengths WHERE len(w) >= n)),
+hits AS (SELECT row_id, i, n, item_id FROM scanned JOIN windows USING (n, gram)),
+places AS (SELECT row_id, count(DISTINCT p) AS n_hit FROM (SELECT row_id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY row_id),
+named AS (
+  SELECT row_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+  FROM hits GROUP BY row_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM texts LEFT JOIN places USING (row_id) LEFT JOIN named USING (row_id)
+"""
+
+SQL = {
+    "op2_licence_diagonals": LICENCES,
+    "op3_secret_ledger": SECRETS,
+    "op7_line_bitmaps": LINES,
+    "op10_decontamination": LEAKS,
+}
