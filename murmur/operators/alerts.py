@@ -23,8 +23,8 @@ def negative_share_alert(mentions: DataFrame, share: float = S.NEGATIVE_SHARE) -
                           F.count_if(F.col("sentiment") == "Negative").alias("negative"))
     percent = ratio(F.col("negative") * 100, F.col("total"), 0).cast("bigint").cast("string")
     return counts.filter(F.col("negative") > F.col("total") * share).select(
-        F.lit("negative-share").alias("id"), F.lit("Elevated negative sentiment").alias("title"),
-        F.concat(percent, F.lit("% of the current stream is negative.")).alias("detail"),
+        F.lit("negative-share").alias("id"), F.lit(S.SHARE_TITLE).alias("title"),
+        F.concat(percent, F.lit(S.SHARE_REASON)).alias("detail"),
         F.lit("High").alias("severity"))
 
 

@@ -134,8 +134,8 @@ def isolation_alerts(scored: DataFrame) -> DataFrame:
     start = iso_utc(F.col("window_start"))
     return scored.filter(F.col("isolation_score") >= S.FOREST_ALERT).select(
         F.concat(F.lit("window-isolation-"), start).alias("id"),
-        F.lit("Unusual sentiment pattern").alias("title"), F.lit("Medium").alias("severity"),
-        F.lit("Isolation Forest flagged an atypical combination of volume and sentiment metrics.").alias("reason"),
+        F.lit(S.FOREST_TITLE).alias("title"), F.lit("Medium").alias("severity"),
+        F.lit(S.FOREST_REASON).alias("reason"),
         F.bround(F.least(F.col("isolation_score"), F.lit(1.0)), 3).alias("score"),
         F.lit("multivariate").alias("metric"), F.lit(None).cast("string").alias("brand"),
         start.alias("window"))

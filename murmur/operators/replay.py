@@ -34,13 +34,32 @@ def with_meta(messages: DataFrame, source: DataFrame, order: str) -> DataFrame:
                 .drop("_digest", "_m")
 
 
-def replay(ticks: DataFrame, source: DataFrame, n: int, speed: float = 1.0) -> DataFrame:
-    """Repeat a dataset for ever: tick i carries row i mod n, restamped with the tick's time.
+# The slowest and the fastest replay, in rows a second.
+SLOWEST, FASTEST = 0.25, 8
 
-    `ticks` is a stream or table of (value, timestamp); `source` has a `row_id` 0..n-1.
+
+def clock(spark) -> DataFrame:
+    """A stream of FASTEST ticks a second, (timestamp, value)."""
+    return spark.readStream.format("rate").option("rowsPerSecond", FASTEST).load()
+
+
+def paced(ticks: DataFrame, speed: float) -> DataFrame:
+    """Ticks of the clock thinned to `speed` a second and numbered anew from 0."""
+    if not SLOWEST <= speed <= FASTEST:
+        raise ValueError(f"speed is {SLOWEST}..{FASTEST}")
+    share = speed / FASTEST
+    number, after = F.floor(F.col("value") * share), F.floor((F.col("value") + 1) * share)
+    return ticks.filter(after > number).withColumn("value", number)
+
+
+def replay(ticks: DataFrame, source: DataFrame, n: int, total: int | None = None) -> DataFrame:
+    """Repeat a dataset: tick i carries row i mod n, restamped with the tick's time.
+
+    `ticks` is a stream or table of (value, timestamp) from `clock`, thinned by `paced` if it
+    is to run slower; `source` has a `row_id` 0..n-1. `total` caps the rows sent over all repeats.
     """
-    if not 0.25 <= speed <= 8:
-        raise ValueError("speed is 0.25..8")
+    if total is not None:
+        ticks = ticks.filter(F.col("value") < total)
     rows = source.withColumnRenamed("timestamp", "_stamp").drop("_stamp")
     return ticks.withColumn("row_id", F.col("value") % F.lit(n)).join(rows, "row_id")
 
@@ -75,8 +94,8 @@ def spike_alerts(spike: DataFrame) -> DataFrame:
     """The alert raised with each injected row."""
     return spike.select(
         F.concat(F.lit("demo-"), (F.col("value") + 1).cast("string")).alias("id"),
-        F.concat(F.lit("Negative sentiment spike - "), "brand").alias("title"),
-        F.lit("Demo anomaly injected into the local stream for dashboard review.").alias("detail"),
+        F.concat(F.lit(S.DEMO_TITLE), "brand").alias("title"),
+        F.lit(S.DEMO_REASON).alias("detail"),
         F.lit("High").alias("severity"), F.lit("Open").alias("status"))
 
 

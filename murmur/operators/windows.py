@@ -148,14 +148,14 @@ def window_rules(windows: DataFrame) -> DataFrame:
     """Volume spikes and negative surges in one pass over the scored windows."""
     volume, z = F.col("volume"), F.col("volume_z")
     spike = F.struct(*_alert(
-        F.lit("window-volume-"), F.lit("Tweet volume spike"), _severity(z),
-        F.concat(F.lit("Current window has "), volume.cast("string"), F.lit(" mentions ("), plain(z, 1),
-                 F.lit(" standard deviations above baseline).")), _score(z), "volume"))
+        F.lit("window-volume-"), F.lit(S.SPIKE_TITLE), _severity(z),
+        F.concat(F.lit(S.SPIKE_REASON[0]), volume.cast("string"), F.lit(S.SPIKE_REASON[1]), plain(z, 1),
+                 F.lit(S.SPIKE_REASON[2])), _score(z), "volume"))
     share, nz = F.col("negative_ratio"), F.col("negative_z")
     surge = F.struct(*_alert(
-        F.lit("window-negative-"), F.lit("Negative sentiment surge"), _severity(nz),
-        F.concat(F.lit("Negative share is "), _whole(share * 100), F.lit("% ("), plain(nz, 1),
-                 F.lit(" standard deviations above baseline).")), _score(nz), "negative_ratio"))
+        F.lit("window-negative-"), F.lit(S.SURGE_TITLE), _severity(nz),
+        F.concat(F.lit(S.SURGE_REASON[0]), _whole(share * 100), F.lit(S.SURGE_REASON[1]), plain(nz, 1),
+                 F.lit(S.SURGE_REASON[2])), _score(nz), "negative_ratio"))
     raised = F.array(F.when((z >= S.ALERT_Z) & (volume >= S.MIN_SPIKE_VOLUME), spike),
                      F.when((nz >= S.ALERT_Z) & (share >= S.MIN_NEGATIVE_RATIO), surge))
     return windows.filter(enough_history(F.col("rank"))).select(F.inline(F.array_compact(raised)))
@@ -171,13 +171,12 @@ def negative_surges(windows: DataFrame) -> DataFrame:
 
 def brand_spikes(brands: DataFrame) -> DataFrame:
     z, brand = F.col("brand_z"), F.col("brand")
-    reason = F.concat(F.col("mentions").cast("string"), F.lit(" mentions for "), brand,
-                      F.lit(" landed in one window ("), plain(z, 1),
-                      F.lit(" standard deviations above baseline)."))
+    reason = F.concat(F.col("mentions").cast("string"), F.lit(S.BRAND_REASON[0]), brand,
+                      F.lit(S.BRAND_REASON[1]), plain(z, 1), F.lit(S.BRAND_REASON[2]))
     return brands.filter(enough_history(F.col("rank")) & (z >= S.ALERT_Z)
                          & (F.col("mentions") >= S.MIN_SPIKE_VOLUME)) \
         .select(*_alert(F.concat(F.lit("brand-"), brand, F.lit("-")),
-                        F.concat(F.lit("Unusual activity · "), brand), F.lit("Medium"),
+                        F.concat(F.lit(S.BRAND_TITLE), brand), F.lit("Medium"),
                         reason, _score(z), "brand_volume", brand))
 
 

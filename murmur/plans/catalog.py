@@ -733,6 +733,17 @@ def s2_csv_detect_header(spark, sf):
     return files.read_detected_csv(spark, path)
 
 
+@query
+def s2_csv_to_messages(spark, sf):
+    """From a raw CSV to messages: columns detected, brand and user looked up by text, message built."""
+    rows = files.dataset_rows(files.read_detected_csv(spark, csv_copy(spark, sf, raw_rows(spark, sf), "dataset", False)), ("tweet_id",))
+    source = rows.withColumn("tweet_id", F.col("tweet_id").cast("bigint"))
+    messages = replay.with_meta(source.select("tweet_id", "tweet_text"), source, "tweet_id")
+    built = ingest.build_messages(messages, F.lit("2024-01-01").cast("timestamp"))
+    return built.select("key", F.from_json("value", schemas.MESSAGE).alias("m")).select(
+        "key", F.md5("m.tweet_text").alias("digest"), "m.brand", "m.username", "m.produced_at")
+
+
 @query
 def s3_csv_folder(spark, sf):
     rows = with_tweet(mentions(spark, sf), sf).drop("doc_id")
@@ -858,13 +869,29 @@ def t5_limit_rows(spark, sf):
 
 @query
 def t6_replay_cyclic(spark, sf):
-    """The events replay the documents in a cycle."""
+    """The events replay the documents in a cycle, at the clock's full pace."""
     docs = table(spark, sf, "documents").select(F.col("doc_id").alias("row_id"), "lang", "source")
     ticks = table(spark, sf, "events").select(F.col("event_id").alias("value"), F.col("ts").alias("timestamp"))
     rows = replay.replay(ticks, docs, docs.count())
     return rows.groupBy("lang", "source").agg(F.count("*").alias("n"), F.max("value").alias("last"))
 
 
+@query
+def t6_replay_stream(spark, sf):
+    """The same as a stream at half the clock's pace, ended after 300 rows sent over all repeats."""
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("row_id"), "lang", "source")
+    schema = table(spark, sf, "events").schema
+    ticks = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf).select(
+        F.col("event_id").alias("value"), F.col("ts").alias("timestamp"))
+    base = scratch_folder(spark, "t6")
+    rows = replay.replay(replay.paced(ticks, 4.0), docs, docs.count(), 300)
+    done = (rows.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
+            .trigger(**ONCE).start())
+    done.awaitTermination()
+    back = spark.read.schema("value BIGINT, lang STRING, source STRING").parquet(f"{base}/out")
+    return back.groupBy("lang", "source").agg(F.count("*").alias("n"), F.max("value").alias("last"))
+
+
 def spiked(spark, sf, at="2024-01-31 00:00:00"):
     rows = settle(mentions(spark, sf))
     return rows, replay.spike_rows(rows, 60, F.lit(at).cast("timestamp"))

@@ -14,6 +14,8 @@ from murmur.functions.text import clean_tokens
 from murmur.operators.scoring import score_by_join
 from murmur.session import spread
 
+#: Rows of the largest page a user can ask for.
+PAGE_ROWS = 100
 SCORES = ("polarity", "subjectivity", "sentiment", "confidence")
 
 
@@ -64,8 +66,16 @@ def with_tweet(rows: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def few_with_tweet(rows: DataFrame, sf_dir: str, **columns: Column) -> DataFrame:
-    """The same for the rows of one page: they go to the documents, not the other way."""
-    docs = documents(rows.sparkSession, sf_dir)
+    """The same for the rows of one page, at most PAGE_ROWS.
+
+    The page is fetched first; its document ids go to the reader as a filter, so only the row
+    groups that hold them are read.
+    """
+    spark = rows.sparkSession
+    page = rows.limit(PAGE_ROWS + 1).collect()
+    if len(page) > PAGE_ROWS:
+        raise ValueError(f"a page has at most {PAGE_ROWS} rows: use with_document")
+    docs = documents(spark, sf_dir).filter(F.col("doc_id").isin(sorted({r["doc_id"] for r in page})))
     wanted = columns or {"tweet": F.col("tweet")}
-    return docs.join(F.broadcast(rows), "doc_id").select(
+    return docs.join(F.broadcast(spark.createDataFrame(page, rows.schema)), "doc_id").select(
         *rows.columns, *[c.alias(n) for n, c in wanted.items()])

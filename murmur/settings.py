@@ -51,6 +51,20 @@ FOREST_SEED = 31
 # Share of negative rows above which an alert is raised.
 NEGATIVE_SHARE = 0.30
 
+# Titles and sentences of alerts; the parts stand around the figures.
+SPIKE_TITLE = "Tweet volume spike"
+SPIKE_REASON = ("Current window has ", " mentions (", " standard deviations above baseline).")
+SURGE_TITLE = "Negative sentiment surge"
+SURGE_REASON = ("Negative share is ", "% (", " standard deviations above baseline).")
+BRAND_TITLE = "Unusual activity · "
+BRAND_REASON = (" mentions for ", " landed in one window (", " standard deviations above baseline).")
+FOREST_TITLE = "Unusual sentiment pattern"
+FOREST_REASON = "Isolation Forest flagged an atypical combination of volume and sentiment metrics."
+SHARE_TITLE = "Elevated negative sentiment"
+SHARE_REASON = "% of the current stream is negative."
+DEMO_TITLE = "Negative sentiment spike - "
+DEMO_REASON = "Demo anomaly injected into the local stream for dashboard review."
+
 # Request limits as (limit, seconds), sign-in burst and lock-out.
 API_LIMIT = (240, 60)
 SIGNUP_LIMIT = (10, 3600)

@@ -219,7 +219,7 @@ def test_replay_and_spike(spark):
     rows = replay.replay(ticks, source, 3).orderBy("value").collect()
     assert "".join(r["tweet"] for r in rows) == "abcabca"
     with pytest.raises(ValueError):
-        replay.replay(ticks, source, 3, speed=9)
+        replay.paced(ticks, 9)
     df = frame(spark, [mention(1), mention(2, label="Negative", tweet="bad"), mention(3, label="Negative", tweet="worse")])
     spike = replay.spike_rows(df, 5, F.lit(NOW))
     assert sorted(r["tweet"] for r in spike.collect()) == ["[DEMO SPIKE] bad"] * 3 + ["[DEMO SPIKE] worse"] * 2
