@@ -5,8 +5,6 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,20 +53,6 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
-@contextmanager
-def scratch(spark: SparkSession, name: str) -> Iterator[str]:
-    """A folder in the shared place for one piece of work, deleted when that ends.
-
-    For jobs that finish inside the block, such as the batches of a stream. A frame
-    that is handed on lazily needs its tables longer: see `settle`.
-    """
-    path = scratch_folder(spark, name)
-    try:
-        yield path
-    finally:
-        delete_folder(spark, path)
-
-
 def settle(df: DataFrame, name: str = "settled") -> DataFrame:
     """`df` as a table in the shared folder: computed once however often it is read.
 

@@ -46,7 +46,7 @@ def test_all_sinks_hold_each_row_once(spark, tmp_path):
     source, base = str(tmp_path / "in"), str(tmp_path / "out")
     lexicon = default_lexicon(spark)
     dated = jobs.dated_mentions(ingest.parse_json_payload(stream_of(spark, messages(spark), source, 3)))
-    sinks.all_sinks(dated, lexicon, base, **ONCE).awaitTermination()
+    sinks.all_sinks(dated, lexicon, base, console=True, **ONCE).awaitTermination()
     table = spark.read.parquet(f"{base}/mentions")
     assert table.count() == 40 and table.select("tweet_id").distinct().count() == 40
     csv = spark.read.csv(f"{base}/csv", header=True, escape='"')
