@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from murmur import settings as S
 from murmur.functions.display import iso_utc
-from murmur.operators.spans import dense_rank
+from murmur.operators.spans import calendar_rank
 
 FEATURES = ["volume", "mean_polarity", "negative_ratio"]
 NODE = "tree INT, node INT, feature INT, cut DOUBLE, depth INT, size INT"
@@ -71,10 +71,9 @@ def _grow(sample: int, seed: int):
     return grow
 
 
-def grow_forest(windows: DataFrame, trees: int = S.FOREST_TREES, sample: int = S.FOREST_SAMPLE,
+def grow_forest(windows: DataFrame, n: int, trees: int = S.FOREST_TREES, sample: int = S.FOREST_SAMPLE,
                 seed: int = S.FOREST_SEED) -> DataFrame:
     """Nodes of a forest fitted on `windows` (rank 1..n and the features)."""
-    n = windows.count()
     picks = (windows.sparkSession.range(trees).select(F.col("id").cast("int").alias("tree"))
              .mapInPandas(_samples(n, trees, sample, seed), "tree INT, rank BIGINT"))
     # At most trees x sample rows, whatever the number of windows.
@@ -121,12 +120,12 @@ def latest_isolation(metrics: DataFrame, seconds: int = S.WINDOW_SECONDS, trees:
     """
     metrics = metrics.select("window_start", *FEATURES)
     position = F.floor(F.unix_timestamp("window_start") / seconds)
-    ranked = dense_rank(metrics.withColumn("_pos", position), "_pos").drop("_pos")
-    n = ranked.count()
+    ranked = calendar_rank(metrics.withColumn("_pos", position), "_pos").drop("_pos")
+    n = ranked.agg(F.coalesce(F.max("rank"), F.lit(0))).first()[0]
     last = ranked.filter(F.col("rank") == n)
     if n < S.FOREST_MIN_WINDOWS:
         return last.withColumn("isolation_score", F.lit(0.0))
-    forest = grow_forest(ranked.filter(F.col("rank") < n), trees, sample, seed)
+    forest = grow_forest(ranked.filter(F.col("rank") < n), n - 1, trees, sample, seed)
     return isolation_scores(last, forest, min(sample, n - 1))
 
 

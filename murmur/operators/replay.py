@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from murmur import settings as S
 from murmur.operators.filters import WHITE_SPACE
@@ -77,12 +77,15 @@ def spike_rows(mentions: DataFrame, copies: int, at: Column, order: str = "menti
     The i-th copy is the i-th negative row by `order`, starting over when they run out.
     """
     spark = mentions.sparkSession
-    negatives = mentions.filter(F.col("sentiment") == "Negative").orderBy(order).limit(copies)
-    seeds = negatives.withColumn("row_id", F.row_number().over(W.orderBy(order)) - 1)
-    n = seeds.count()
-    if n == 0:
+    # As many rows as copies at most, so they may come to the driver.
+    negatives = mentions.filter(F.col("sentiment") == "Negative").orderBy(order).limit(copies).collect()
+    n = max(1, len(negatives))
+    if negatives:
+        schema = T.StructType([*mentions.schema.fields, T.StructField("row_id", T.IntegerType())])
+        seeds = spark.createDataFrame([(*row, i) for i, row in enumerate(negatives)], schema)
+    else:
         fixed = [F.lit(DEMO_ROW.get(f.name)).cast(f.dataType).alias(f.name) for f in mentions.schema]
-        seeds, n = spark.range(1).select(*fixed, F.lit(0).alias("row_id")), 1
+        seeds = spark.range(1).select(*fixed, F.lit(0).alias("row_id"))
     ticks = spark.range(copies).select(F.col("id").alias("value"), at.alias("timestamp"))
     rows = replay(ticks, seeds, n)
     if "tweet" in mentions.columns:

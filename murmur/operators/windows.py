@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from murmur import settings as S
 from murmur.functions.display import iso_utc
 from murmur.functions.fixed import mean_of_micro, plain, to_micro
-from murmur.operators.spans import dense_rank, look_back
+from murmur.operators.spans import calendar_rank, look_back
 def window_facts(mentions: DataFrame, seconds: int = S.WINDOW_SECONDS) -> DataFrame:
     """Per window and brand: mentions, negatives and the polarity sum in millionths.
 
@@ -89,8 +89,8 @@ def scored_windows(metrics: DataFrame, seconds: int = S.WINDOW_SECONDS,
     The baseline is the `history` non-empty windows before it, the window itself
     excluded; a quiet stretch is skipped, not counted as zero (see `gap_fill`).
     """
-    ranked = dense_rank(metrics.withColumn("_pos", F.floor(F.unix_timestamp("window_start") / seconds)),
-                        "_pos")
+    ranked = calendar_rank(metrics.withColumn("_pos", F.floor(F.unix_timestamp("window_start") / seconds)),
+                           "_pos")
     volume, share = F.col("volume"), F.col("negative_ratio")
     based = look_back(ranked, [], "rank", history, {
         "n": F.count("*"), "_total": F.sum(volume), "_squares": F.sum(volume * volume),

@@ -122,8 +122,9 @@ def test_look_back_and_rank_across_blocks(spark):
         assert slid[p] == sum(w for _, w in near) + v
         assert seen[p] == max((q for q, w in near if w > 50), default=None)
         assert top[p] == max(w for kk, q, w in data if kk == k and q <= p)
-    ranks = {r["pos"]: r["rank"] for r in spans.dense_rank(df, "pos", blocks=16).collect()}
-    assert [ranks[p] for p in positions] == list(range(1, 301))
+    for ranked in (spans.dense_rank(df, "pos", blocks=16), spans.calendar_rank(df, "pos", block=16)):
+        ranks = {r["pos"]: r["rank"] for r in ranked.collect()}
+        assert [ranks[p] for p in positions] == list(range(1, 301))
 
 
 @pytest.mark.parametrize("step", [1, 10**9])
