@@ -42,13 +42,14 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
 THEN, BEGINS = _tables()
 
 
-def class_table(matches: Callable[[str, str], str]) -> np.ndarray:
-    """LETTER, NUMBER, BLANK or OTHER of every code point; matches(pattern, text) gives the characters that match."""
+def class_table(matches: Callable[[str], Callable[[str], str]]) -> np.ndarray:
+    """LETTER, NUMBER, BLANK or OTHER of every code point; matches(pattern) gives a function of a text to its characters that match."""
     table = np.full(0x110000, OTHER, np.uint8)
-    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
     for pattern, kind in ((r"\p{L}", LETTER), (r"\p{N}", NUMBER), (r"\s", BLANK)):
-        found = matches(pattern, every)
-        table[np.frombuffer(found.encode("utf-32-le"), "<u4")] = kind
+        find = matches(pattern)
+        for at in [*range(0, 0xD800, 0x800), *range(0xE000, 0x110000, 0x800)]:
+            found = find("".join(map(chr, range(at, at + 0x800))))
+            table[np.frombuffer(found.encode("utf-32-le"), "<u4")] = kind
     return table
 
 
@@ -57,9 +58,9 @@ def rank_file_classes() -> np.ndarray:
     """Classes by the Unicode tables that tiktoken's patterns use."""
     import tiktoken
 
-    def matches(pattern: str, text: str) -> str:
+    def matches(pattern: str):
         probe = tiktoken.Encoding("probe", pat_str=pattern, mergeable_ranks={bytes([i]): i for i in range(256)}, special_tokens={})
-        return bytes(probe.encode_ordinary(text)).decode()
+        return lambda text: bytes(probe.encode_ordinary(text)).decode()
     return class_table(matches)
 
 
@@ -69,9 +70,9 @@ def json_classes() -> np.ndarray:
     from tokenizers import Regex
     from tokenizers.pre_tokenizers import Split
 
-    def matches(pattern: str, text: str) -> str:
+    def matches(pattern: str):
         split = Split(Regex(pattern), "removed", invert=True)
-        return "".join(piece for at in range(0, len(text), 4096) for piece, _ in split.pre_tokenize_str(text[at:at + 4096]))
+        return lambda text: "".join(piece for piece, _ in split.pre_tokenize_str(text))
     return class_table(matches)
 
 

@@ -13,13 +13,13 @@ from murmur.session import settle
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 BLANKS = " \t\n\x0b\x0c\r"
-#: Bytes of text in one Arrow batch at most, so that long texts do not fill a task's memory.
-ARROW_BYTES = 8 << 20
+#: Rows and bytes of one Arrow batch at most, so that texts and what is made of them do not fill a task's memory.
+ARROW_ROWS, ARROW_BYTES = 512, 4 << 20
 
 
 def prepare(spark: SparkSession) -> None:
     """Bound what Python workers receive at once, in rows and bytes."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
 
 
@@ -93,6 +93,17 @@ def same_text(a: Column, b: Column) -> Column:
     return (a >= b) & (a <= b)
 
 
+_held: list = []
+
+
+def held(make: Callable, path: str):
+    """`make(path)`, kept by a Python worker until it needs another one: a worker holds one vocabulary and its memo."""
+    if not _held or _held[0] != (make, path):
+        _held[:] = [(make, path), None]  # the old one goes before the new one comes
+        _held[1] = make(path)
+    return _held[1]
+
+
 def settled(df: DataFrame, name: str) -> DataFrame:
     """`df` written to the shared folder and read again: lineage ends there, a lost executor loses nothing."""
     return settle(df, name)

@@ -9,7 +9,8 @@ from murmur.llm.common import settled
 
 
 def _smallest(links: DataFrame) -> DataFrame:
-    return links.groupBy("u").agg(F.min("v").alias("m"))
+    """A table of its own, as adaptive execution splits a hub's links only where both sides come straight from a shuffle."""
+    return settled(links.groupBy("u").agg(F.min("v").alias("m")), "smallest")
 
 
 def _large_star(links: DataFrame) -> DataFrame:

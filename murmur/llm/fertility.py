@@ -12,7 +12,7 @@ import public_tokenizers
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.llm.common import prepare
+from murmur.llm.common import held, prepare
 from murmur.llm.merging import Memo
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
@@ -121,18 +121,13 @@ def repeated_words(words: list[bytes], window: int = 3) -> int:
     return int(inside.sum())
 
 
-@cache
-def fertility(path: str) -> Fertility:
-    return Fertility(path)
-
-
 def measure(spark: SparkSession, text: Column, path: str = VOCABULARY) -> Column:
     """Counts and fertility measures of a whole text as one struct; null and empty texts measure zero, without script."""
     prepare(spark)
 
     @F.pandas_udf(MEASURES)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        own = fertility(path)
+        own = held(Fertility, path)
         names = [f.split()[0] for f in MEASURES.split(", ")]
         for batch in batches:
             yield pd.DataFrame([own.measure(t) for t in batch], columns=names)

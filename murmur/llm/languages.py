@@ -14,6 +14,8 @@ from murmur.llm.common import prepare
 
 #: Characters of an n-gram, and the counters n-grams are hashed to; a model is 4 * 2 ** BUCKET_BITS bytes a language.
 ORDERS, BUCKET_BITS = (2, 3), 16
+#: Characters whose n-grams are in memory at a time.
+STRIP = 1 << 20
 #: Added to every count of the model.
 SMOOTHING = 0.05
 #: Rounds of expectation and maximisation at most, and the change of a share that ends them.
@@ -39,6 +41,17 @@ def grams(text: str) -> np.ndarray:
     return np.concatenate(out).astype(np.int64)
 
 
+def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets of the whole text and how often each occurs; a very long text is counted strip by strip."""
+    if len(text) <= STRIP:
+        return np.unique(grams(text), return_counts=True)
+    counts = np.zeros(1 << BUCKET_BITS, np.int64)
+    for at in range(0, len(text), STRIP):
+        counts += np.bincount(grams(text[at:at + STRIP]), minlength=1 << BUCKET_BITS)
+    used = np.flatnonzero(counts)
+    return used, counts[used]
+
+
 _BLANKED = {c: " " for c in range(128) if not chr(c).isalpha()}
 
 
@@ -67,7 +80,7 @@ class Model:
         """The largest language of the chosen set, its share, and the set with its shares, largest first."""
         if not text or not self.names or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0, [], []
-        bucket, weight = np.unique(grams(text), return_counts=True)
+        bucket, weight = gram_counts(text)
         p = self.likely[:, bucket]
         order = np.argsort(-self._shares(p, weight)[0], kind="stable")
         price = PENALTY * np.log(weight.sum())
@@ -95,7 +108,8 @@ def train(labelled: DataFrame) -> Model:
         for batch in batches:
             for text, lang in zip(batch.column("text").to_pylist(), batch.column("lang").to_pylist()):
                 own = sums.setdefault(lang, np.zeros(1 << BUCKET_BITS, np.int64))
-                own += np.bincount(grams(text), minlength=1 << BUCKET_BITS)
+                bucket, weight = gram_counts(text)
+                own[bucket] += weight
         for lang, own in sums.items():
             used = np.flatnonzero(own)
             yield pa.RecordBatch.from_pydict({"lang": pa.array([lang] * len(used), pa.string()),

@@ -103,7 +103,7 @@ def _merged_by_heap(piece: bytes, get: Callable) -> list[bytes]:
 class Memo(dict):
     """`make(key)` remembered for short keys in two halves: when the new one is full, it becomes the old one."""
 
-    def __init__(self, make: Callable, entries: int = 400_000, longest: int = 64):
+    def __init__(self, make: Callable, entries: int = 300_000, longest: int = 64):
         super().__init__()
         self.make, self.entries, self.longest, self.old = make, entries, longest, {}
 

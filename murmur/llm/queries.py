@@ -39,11 +39,10 @@ def op3_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bpe_digests(spark: SparkSession, docs: DataFrame) -> DataFrame:
-    coded = docs.select("doc_id", bpe.encode(spark, F.col("text")).alias("e"))
-    both = coded.select("doc_id", "e", bpe.decode(spark, F.col("e")).alias("text"))
-    return both.select("doc_id", F.size("e.ids").cast("long").alias("n_tokens"),
-                       F.sha2(F.array_join(F.col("e.ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
-                       F.sha2("text", 256).alias("decoded_sha256"))
+    coded = docs.select("doc_id", bpe.code(spark, F.col("text")).alias("e"))
+    return coded.select("doc_id", F.size("e.ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("e.ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                        F.sha2("e.decoded", 256).alias("decoded_sha256"))
 
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from murmur.llm.common import batch_name, lower_ascii
+from murmur.llm.common import batch_name, lower_ascii, settled
 from murmur.session import scratch_folder
 
 
@@ -132,10 +132,11 @@ def scan_secrets(versions: DataFrame, ledger: str | None = None, rules: tuple[Ru
     """
     known = extend_ledger(versions, ledger, rules)
     order = F.create_map(*[x for n, r in enumerate(rules) for x in (F.lit(r.name), F.lit(n))])
-    found = known.where(F.size("spans") > 0).select("blob", F.explode("spans").alias("s")).where(
+    # A table of its own, so that the versions of one much copied blob are split in the join.
+    found = settled(known.where(F.size("spans") > 0).select("blob", F.explode("spans").alias("s")).where(
         order[F.col("s.rule")].isNotNull()).groupBy("blob").agg(F.array_sort(F.collect_list(F.struct(
             F.col("s.start").alias("start"), order[F.col("s.rule")].alias("order"), F.col("s.end").alias("end"),
-            F.regexp_replace("s.rule", "@.*", "").alias("kind")))).alias("spans"))
+            F.regexp_replace("s.rule", "@.*", "").alias("kind")))).alias("spans")), "findings")
     none = F.array().cast("array<struct<start:int,order:int,end:int,kind:string>>")
     return versions.select("doc_id", blob_id(F.col("text")).alias("blob")).join(found, "blob", "left").select(
         "doc_id", "blob", F.coalesce("spans", none).alias("spans"))

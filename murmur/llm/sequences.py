@@ -6,7 +6,6 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -17,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from murmur.llm.common import prepare, settled
+from murmur.llm.common import held, prepare, settled
 from murmur.llm.merging import Memo
 from murmur.llm.token_counts import byte_symbols
 from murmur.session import scratch_folder
@@ -66,11 +65,6 @@ class WordEncoder:
         return np.frombuffer(b"".join(map(self.words.__getitem__, (text or "").encode().split())), self.type)
 
 
-@cache
-def word_encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
-
-
 def _store(path: str) -> tuple[pa.fs.FileSystem, str]:
     if "://" in path or path.startswith("file:"):
         return pa.fs.FileSystem.from_uri(path)
@@ -140,7 +134,7 @@ def write_sequences(documents: DataFrame, folder: str | None = None, path: str =
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, encoder = TaskContext.get().partitionId(), word_encoder(path)
+        part, encoder = TaskContext.get().partitionId(), held(WordEncoder, path)
         stem = f"{folder.rstrip('/')}/part-{part:06d}-{uuid.uuid4().hex}"
         names = f"{stem}.sequences.arrow", f"{stem}.documents.arrow"
         out, start, n_documents = None, 0, 0

@@ -239,7 +239,9 @@ def group_near_duplicates(documents: DataFrame, shingle: int = SHINGLE, max_bits
     nodes = settled(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
     roots = components(near_links(nodes, max_bits))
     rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    names = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
+    # Tables of their own: a large group's rows are then split in the joins.
+    rooted = settled(rooted, "rooted")
+    names = settled(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "names")
     named = rooted.select("fp", "root").join(names, "root").select("fp", "component_id")
     return prints.join(named, "fp").select("doc_id", "fp", "component_id")
 
@@ -252,5 +254,5 @@ def drop_near_duplicates(documents: DataFrame, shingle: int = SHINGLE, max_bits:
     """
     i = fresh(documents, "_id")
     groups = group_near_duplicates(documents, shingle, max_bits)
-    keep = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias(i)).distinct()
+    keep = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias(i)).distinct().hint("shuffle_hash")
     return documents.join(keep, documents["doc_id"].eqNullSafe(keep[i]), "left_semi")

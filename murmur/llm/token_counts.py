@@ -5,7 +5,6 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
-from functools import cache
 
 import numpy as np
 import public_tokenizers
@@ -15,7 +14,7 @@ from pyspark.sql import functions as F
 
 from murmur.llm.boundaries import json_classes, pre_tokens
 from murmur.llm.bpe import strips
-from murmur.llm.common import prepare
+from murmur.llm.common import held, prepare
 from murmur.llm.merging import Memo, count_merges
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
@@ -64,11 +63,6 @@ class Counter:
         return extra + (each if owner is None else np.bincount(owner, each, len(texts)).astype(np.int64))
 
 
-@cache
-def counter(path: str) -> Counter:
-    return Counter(path)
-
-
 def count_tokens(spark: SparkSession, text: Column, path: str = VOCABULARY) -> Column:
     """The number of tokens of a text; null and empty texts have none.
 
@@ -79,7 +73,7 @@ def count_tokens(spark: SparkSession, text: Column, path: str = VOCABULARY) -> C
 
     @F.arrow_udf("long")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own = counter(path)
+        own = held(Counter, path)
         for batch in batches:
             counts = [own.count(part) for part in strips([t or "" for t in batch.to_pylist()], len)]
             yield pa.array(np.concatenate(counts) if counts else np.zeros(0, np.int64), pa.int64())

@@ -38,7 +38,7 @@ def test_stages_against_plain_python(spark, answer, corpus, rows):
     sizes = {len(w) for w in windows}
     texts = {i: t for i, t in texts.items() if not any(
         tuple(w[k:k + n]) in windows for w in [words(t)] for n in sizes for k in range(len(w) - n + 1))}
-    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.coder(bpe.RANKS).ranks, special_tokens={})
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.Coder(bpe.RANKS).ranks, special_tokens={})
     expected = {i: (len(e), hashlib.sha256(t.encode()).hexdigest()) for i, t in texts.items() for e in [library.encode_ordinary(t)]}
     found = {r["doc_id"]: (r["n_tokens"], r["decoded_sha256"]) for r in corpus_pipeline.run(spark, corpus).collect()}
     assert found == expected and len(found) > 3

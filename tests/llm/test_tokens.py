@@ -8,6 +8,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 import tiktoken
 from tokenizers import Tokenizer
 
@@ -15,11 +16,12 @@ from murmur.llm import bpe, merging, sequences, token_counts
 from murmur.llm.boundaries import json_classes, rank_file_classes
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+CODER = bpe.Coder(bpe.RANKS)
 
 
 @pytest.fixture(scope="module")
 def library():
-    ranks = bpe.coder(bpe.RANKS).ranks
+    ranks = CODER.ranks
     return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
@@ -37,23 +39,30 @@ def test_byte_bpe_is_the_librarys(answer, corpus, rows, library):
 
 def test_offsets_cut_the_text_into_its_tokens(library):
     texts = ["naïve   it's 漢字 \U0001F600", "", "x"]
-    ids, starts, ends = bpe.coder(bpe.RANKS).encode(texts)
+    ids, starts, ends = CODER.encode(texts)
     for n, text in enumerate(texts):
         own, at = ids[ends[n]:ends[n + 1]], starts[ends[n]:ends[n + 1]].tolist()
         data = text.encode()
         assert [library.decode_single_token_bytes(int(i)) for i in own] == [data[a:b] for a, b in zip(at, at[1:] + [len(data)])]
 
 
+def test_separate_operators_round_trip(spark, rows):
+    frame = spark.createDataFrame(rows, "doc_id long, text string").select("text", bpe.encode(spark, F.col("text")).alias("e"))
+    both = frame.select("text", "e", bpe.decode(spark, F.col("e")).alias("back")).collect()
+    assert len(both) == len(rows) and all(bytes(r["back"]) == (r["text"] or "").encode() and
+                                          len(r["e"]["ids"]) == len(r["e"]["starts"]) for r in both)
+
+
 def test_random_texts_and_scan_lanes(library):
     rng = random.Random(11)
     alphabet = list("ab'  \n\t'srtevlmdRL12.!?,é漢ñ١ \u0085\x1c") + ["'s", "'re", "'ll", "'ve"]
     texts = ["".join(rng.choices(alphabet, k=rng.randrange(30))) for _ in range(4000)]
-    ids, _, ends = bpe.coder(bpe.RANKS).encode(texts)
+    ids, _, ends = CODER.encode(texts)
     assert [ids[a:b].tolist() for a, b in zip(ends, ends[1:])] == [library.encode_ordinary(t) for t in texts]
 
 
 def test_long_pieces_merge_alike():
-    ranks = bpe.coder(bpe.RANKS).ranks
+    ranks = CODER.ranks
     rng = random.Random(3)
     for n in (97, 300, 2000):
         piece = bytes(rng.choices(b"aetion", k=n))
