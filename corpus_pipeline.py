@@ -16,10 +16,11 @@ from murmur.llm.queries import bpe_digests, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the base rules and the fertility bands keep."""
-    m, kept = fresh(docs, "_measures"), fresh(docs, "_kept")
-    measured = docs.withColumn(m, fertility.measure(spark, F.col("text")))
-    return measured.withColumn(kept, fertility.judge(F.col(m))["kept"]).where(F.col(kept)).select(*docs.columns)
+    """The documents that the base rules and the fertility fences keep."""
+    m, fence, kept = fresh(docs, "_measures"), fresh(docs, "_fence"), fresh(docs, "_kept")
+    measured = settled(docs.withColumn(m, fertility.measure(spark, F.col("text"))), "measures")
+    judged = fertility.fenced(measured, m, fence).withColumn(kept, fertility.judge(F.col(m), F.col(fence))["kept"])
+    return judged.where(F.col(kept)).select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Quality by counts and by tokeniser fertility: how well public vocabularies fit a text."""
+"""Quality by counts and by tokeniser fertility: how well two public vocabularies fit a text, against its language."""
 
 from __future__ import annotations
 
@@ -9,19 +9,26 @@ from functools import cache
 import numpy as np
 import pandas as pd
 import public_tokenizers
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.llm.common import held, prepare
-from murmur.llm.merging import Memo
+from murmur.llm.bpe import Coder
+from murmur.llm.common import held, prepare, settled
+from murmur.llm.merging import Memo, merged_slices
 
 VOCABULARY = public_tokenizers.path("piece_bpe_32k.model")
+SECOND = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 MIN_WORDS, MAX_REPEATED = 50, 50
 SYMBOLS = "#*$%&|<>"
 MEASURES = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
-            "n_tokens long, n_bytes_spelt long, token_entropy double, script string")
+            "n_tokens long, n_bytes_spelt long, token_entropy double, script string, n_tokens_second long")
 
-#: Bands by script of a text's letters: characters per token (least, most) and the largest share of tokens that
+#: Characters per token lie, for either vocabulary, within the fences of the text's language and script: FENCE times the
+#: distance of the quartiles beyond them (Tukey's rule), over the texts of the table that pass the base rule, texts of
+#: the same measures once. Groups of fewer than MIN_GROUP such texts have the fixed bands below.
+FENCE, MIN_GROUP, ACCURACY = 1.5, 100, 100_000
+
+#: Fixed bands by script of a text's letters: characters per token (least, most) and the largest share of tokens that
 #: spell out single bytes. Alphabets the vocabulary knows give 2 to 5 characters a token; noise under 1.5 and long
 #: runs over 8. Scripts it knows little are spelt in bytes by nature, so their bands are wide. Token entropy is
 #: measured against the most that so many tokens can have: prose of any length is over a third of it.
@@ -38,7 +45,8 @@ BANDS = {
     "DEVANAGARI": (0.4, 3.0, 0.60),
     "THAI": (0.3, 2.0, 0.80),
 }
-OTHER_BAND = (0.2, 10.0, 1.0)
+#: Unknown scripts are spelt in bytes, up to four a character and a token for the blank; known pieces are 1 or 2 long.
+OTHER_BAND = (0.25, 2.0, 1.0)
 MIN_ENTROPY_SHARE = 0.3
 
 
@@ -71,28 +79,31 @@ def script_of(text: str) -> str | None:
 
 
 class Fertility:
-    """Pieces of words by the vocabulary: ids of each word, as it stands after a blank."""
+    """Pieces of words by the vocabularies: ids of each word, as it stands after a blank, and its number by the second."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, second: str = SECOND):
         import sentencepiece
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         size = self.model.get_piece_size()
         self.spelt = np.array([self.model.is_byte(i) for i in range(size)])
-        self.words = Memo(lambda w: np.array(self.model.encode(w.decode()), np.uint16).tobytes())
+        self.ranks = Coder(second).ranks
+        self.words = Memo(lambda w: (np.array(self.model.encode(w.decode()), np.uint16).tobytes(),
+                                     len(merged_slices(b" " + w, self.ranks))))
 
     def measure(self, text: str | None) -> tuple:
         text = text or ""
         data = text.encode()
         words = data.split()  # bytes split at space and \x09-\x0D
         lines = [line for line in data.split(b"\n") if line.strip()] if b"\n" in data else []
-        ids = np.frombuffer(b"".join(map(self.words.__getitem__, words)), np.uint16)
+        pieces, second = zip(*map(self.words.__getitem__, words)) if words else ((), ())
+        ids = np.frombuffer(b"".join(pieces), np.uint16)
         share = np.bincount(ids) if len(ids) else np.zeros(1)
         share = share[share > 0] / max(len(ids), 1)
         chars = len(text) if len(data) == len(text) else len(data.translate(None, _CONTINUED))
         blanks = len(data) - len(data.translate(None, b" \t\n\x0b\x0c\r"))
         return (len(words), chars - blanks, sum(map(text.count, SYMBOLS)), len(lines) - len(set(lines)), repeated_words(words),
                 len(ids), int(self.spelt[ids].sum()) if len(ids) else 0, float(-(share * np.log2(share)).sum()) if len(ids) else 0.0,
-                script_of(text))
+                script_of(text), sum(second))
 
 
 _CONTINUED = bytes(range(0x80, 0xC0))
@@ -134,15 +145,56 @@ def measure(spark: SparkSession, text: Column, path: str = VOCABULARY) -> Column
     return run(text)
 
 
-def judge(m: Column) -> dict[str, Column]:
-    """base_failed, kept and the reasons, from measures; a text without words fails the base rule."""
+def fences(measured: DataFrame, m: str, by: str = "lang") -> DataFrame:
+    """by, script, and low, high, low_second, high_second: characters per token by either vocabulary; see FENCE.
+
+    A row for each language and script of at least MIN_GROUP texts, from measures in column `m`.
+    """
+    v = F.col(m)
+    texts = measured.where(~judge(v)["base_failed"] & (v["n_tokens"] > 0) & v["script"].isNotNull()).select(
+        F.col(by).alias("by"), v["script"].alias("script"), *[v[n].alias(n) for n in (
+            "n_words", "word_chars", "n_tokens", "n_tokens_second", "token_entropy")]).distinct()
+
+    def quartiles(tokens: str) -> Column:
+        return F.percentile_approx(F.col("word_chars") / F.col(tokens), [0.25, 0.75], ACCURACY)
+    groups = texts.groupBy("by", "script").agg(
+        F.count("*").alias("n"), quartiles("n_tokens").alias("a"), quartiles("n_tokens_second").alias("b")).where(F.col("n") >= MIN_GROUP)
+
+    def ends(q: str) -> list[Column]:
+        reach = FENCE * (F.col(q)[1] - F.col(q)[0])
+        return [F.col(q)[0] - reach, F.col(q)[1] + reach]
+    names = ("low", "high", "low_second", "high_second")
+    return groups.select("by", "script", *[c.alias(n) for c, n in zip(ends("a") + ends("b"), names)])
+
+
+def fenced(measured: DataFrame, m: str, name: str, by: str = "lang") -> DataFrame:
+    """`measured`, read twice, with the fences of each row's language and script as a struct; null where there are none.
+
+    The fences are a table of their own, a row for at least MIN_GROUP texts, so that all rows meet the same ones.
+    """
+    own = settled(fences(measured, m, by), "fences")
+    own = own.select(F.col("by").alias(f"{name}_by"), F.col("script").alias(f"{name}_script"),
+                     F.struct(*own.columns[2:]).alias(name))
+    same = F.col(by).eqNullSafe(F.col(f"{name}_by")) & (F.col(m)["script"] == F.col(f"{name}_script"))
+    return measured.join(F.broadcast(own), same, "left").drop(f"{name}_by", f"{name}_script")
+
+
+def judge(m: Column, fence: Column | None = None) -> dict[str, Column]:
+    """base_failed, kept and the reasons, from measures and the fences of their language.
+
+    A text without words fails the base rule; one without letters is not kept, as no script tells what would fit it.
+    """
     base_failed = (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > MAX_REPEATED * m["n_words"])
-    per_token = m["word_chars"] / m["n_tokens"]
+    per_token, per_second = m["word_chars"] / m["n_tokens"], m["word_chars"] / m["n_tokens_second"]
     spelt = m["n_bytes_spelt"] / m["n_tokens"]
     most = F.log2(F.least(m["n_tokens"], F.lit(32_000)))
     low, high, bytes_most = (F.coalesce(*[F.when(m["script"] == s, F.lit(b[i])) for s, b in BANDS.items()], F.lit(OTHER_BAND[i]))
                              for i in range(3))
-    misfit = F.when(m["n_tokens"] > 0, (per_token < low) | (per_token > high) | (spelt > bytes_most)
+    outside = (per_token < low) | (per_token > high)
+    if fence is not None:
+        outside = F.when(fence.isNull(), outside).otherwise(
+            ~per_token.between(fence["low"], fence["high"]) | ~per_second.between(fence["low_second"], fence["high_second"]))
+    misfit = F.when((m["n_tokens"] > 0) & m["script"].isNotNull(), outside | (spelt > bytes_most)
                     | (m["token_entropy"] < MIN_ENTROPY_SHARE * most)).otherwise(True)
     return {"base_failed": base_failed, "kept": ~base_failed & ~misfit,
             "chars_per_token": F.when(m["n_tokens"] > 0, per_token), "byte_share": F.when(m["n_tokens"] > 0, spelt)}

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from murmur.llm import bpe, decontaminate, fertility, languages, licenses, lines, secrets, sequences, simhash, token_counts
+from murmur.llm.common import settled
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -13,8 +14,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_tokeniser_fertility(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", fertility.measure(spark, F.col("text")).alias("m"))
-    v = fertility.judge(F.col("m"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "lang", fertility.measure(spark, F.col("text")).alias("m"))
+    docs = fertility.fenced(settled(docs, "measures"), "m", "fence")
+    v = fertility.judge(F.col("m"), F.col("fence"))
     return docs.select("doc_id", "m.n_words", "m.word_chars", "m.n_symbols", "m.n_dup_lines", "m.n_repeat_words",
                        v["base_failed"].alias("base_failed"), v["kept"].alias("kept"), "m.n_tokens", "m.n_bytes_spelt",
                        "m.token_entropy", v["chars_per_token"].alias("chars_per_token"), "m.script")

@@ -116,6 +116,26 @@ def test_bands_by_script(spark):
     assert m[3]["base_failed"] and m[3]["script"] is None and m[3]["chars_per_token"] is None
 
 
+def test_fences_by_language(spark, answer, tmp_path):
+    rng = random.Random(9)
+    kinds = {g: ["".join(rng.choices(letters, k=rng.randrange(3, 9))) for _ in range(400)] for g, letters in (("xa", "aeinorst"), ("xb", "bdgklmuz"))}
+
+    def words(g, n):
+        return rng.choices(kinds[g], k=n)
+    docs = [(n, " ".join(words(g, 300)), g) for n, g in enumerate(["xa", "xb"] * 150)]
+    docs += [(1000 + n, " ".join(f"{w} {rng.choice(['###', '$$$', '%%%'])}" for w in words("xa", 150)), "xa") for n in range(5)]
+    docs += [(1100 + n, " | ".join(words("xb", 150)), "xb") for n in range(5)]
+    docs += [(1200, " ".join(words("xa", 300)), "xb"), (1300, " ".join(f"{n}.{n * n}" for n in range(200)), "xa"),
+             (1301, " ".join(f"#{n}$%" for n in range(200)), None)]
+    docs += [(2000, docs[0][1], "xa")] * 500  # copies have one vote
+    spark.createDataFrame(docs, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = {r["doc_id"]: r for r in answer("op1_tokeniser_fertility", str(tmp_path))}
+    assert not any(r["base_failed"] for r in found.values())
+    assert not [i for i in found if 1000 <= i < 2000 and found[i]["kept"]]
+    assert sum(found[i]["kept"] for i in range(300)) > 280 and found[2000]["kept"] == found[0]["kept"]
+    assert found[1300]["script"] is None and found[1301]["script"] is None
+
+
 def test_large_numbers_of_words_are_numbered_anew():
     rng = random.Random(1)
     words = [b"%d" % rng.randrange(3_000_000) for _ in range(20_000)]
