@@ -10,10 +10,10 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from murmur.llm.common import LOWER, UPPER, fresh, prepare, settled
+from murmur.llm.common import LOWER, UPPER, fresh, prepare, row_key, settled
 from murmur.llm.components import components
 
 SHINGLE, MAX_BITS, SEED, BITS = 3, 3, 42, 64
@@ -42,15 +42,15 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): fp holds the 64 bits as a signed number."""
+def fingerprints(documents: DataFrame, shingle: int = SHINGLE, *keys: Column) -> DataFrame:
+    """(doc_id, keys, fp): fp holds the 64 bits as a signed number."""
     prepare(documents.sparkSession)
 
     @F.pandas_udf("long")
     def prints(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in texts:
             yield pd.Series(np.fromiter((fingerprint(t, shingle) for t in batch), np.uint64, len(batch)).view(np.int64))
-    return documents.select("doc_id", prints("text").alias("fp"))
+    return documents.select("doc_id", *keys, prints("text").alias("fp"))
 
 
 def bit_counts(nodes: DataFrame) -> tuple[int, np.ndarray]:
@@ -227,15 +227,15 @@ def near_links(nodes: DataFrame, max_bits: int = MAX_BITS, block: int = BLOCK) -
     return dealt.mapInArrow(lambda batches: _links(batches, max_bits), "u long, v long").distinct()
 
 
-def group_near_duplicates(documents: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
-    """Per row of documents: doc_id, fp (signed 64 bits), component_id, the smallest doc_id reachable over links.
+def group_near_duplicates(documents: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS, *keys: Column) -> DataFrame:
+    """Per row of documents: doc_id, keys, fp (signed 64 bits), component_id, the smallest doc_id reachable over links.
 
     Null, empty and blank texts have fingerprint zero and are linked like any other. Exact
     copies are one node from the start. A null doc_id is kept and names no component; one
     whose rows all lack an id is null. Repeated rows give equal rows each; other columns are
     not read; an empty table gives no rows.
     """
-    prints = settled(fingerprints(documents, shingle), "prints")
+    prints = settled(fingerprints(documents, shingle, *keys), "prints")
     nodes = settled(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "nodes")
     roots = components(near_links(nodes, max_bits))
     rooted = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
@@ -243,16 +243,18 @@ def group_near_duplicates(documents: DataFrame, shingle: int = SHINGLE, max_bits
     rooted = settled(rooted, "rooted")
     names = settled(rooted.groupBy("root").agg(F.min("first").alias("component_id")), "names")
     named = rooted.select("fp", "root").join(names, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(named, "fp").select(*prints.columns, "component_id")
 
 
 def drop_near_duplicates(documents: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """`documents` with the smallest doc_id of each group, all columns as they were.
 
-    Of several equal smallest ids the rows all stay if they are one id; rows without an id
-    stay only if no row of their group has one.
+    Each row is judged in the group of its own text: of several rows with the smallest id of
+    their group all stay, but none stays because its id is the smallest of another group. Rows
+    without an id stay only if no row of their group has one.
     """
-    i = fresh(documents, "_id")
-    groups = group_near_duplicates(documents, shingle, max_bits)
-    keep = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias(i)).distinct().hint("shuffle_hash")
-    return documents.join(keep, documents["doc_id"].eqNullSafe(keep[i]), "left_semi")
+    names = [fresh(documents, n) for n in ("_k1", "_k2")]
+    keys = [k.alias(n) for k, n in zip(row_key(F.col("doc_id"), F.col("text")), names)]
+    groups = group_near_duplicates(documents, shingle, max_bits, *keys)
+    keep = groups.where("doc_id <=> component_id").select(*names).distinct().hint("shuffle_hash")
+    return documents.select("*", *keys).join(keep, names, "left_semi").select(*documents.columns)

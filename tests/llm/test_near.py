@@ -74,6 +74,14 @@ def test_thresholds_reach_the_distance(spark):
     assert cost == best
 
 
+def test_each_row_of_a_repeated_id_in_its_own_group(spark):
+    one = " ".join(f"left{n}" for n in range(80))
+    two = " ".join(f"right{n}" for n in range(80))
+    rows = [(1, one), (5, one), (5, two), (5, two), (7, two), (None, one), (None, "alone here")]
+    out = simhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, out), key=str) == sorted([(1, one), (5, two), (5, two), (None, "alone here")], key=str)
+
+
 def test_a_long_chain_is_one_component(spark):
     links = spark.range(1, 300).select(F.col("id").alias("u"), (F.col("id") + 1).alias("v"))
     assert {r["root"] for r in components(links).collect()} == {1}
