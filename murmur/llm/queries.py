@@ -1,11 +1,13 @@
-"""The ten operators as queries over the test tables, and the SQL of those that SQL can express."""
+"""The numbered operators as queries over the test tables, and the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.llm import bpe, decontaminate, fertility, languages, licenses, lines, secrets, sequences, simhash, token_counts
+from murmur.llm import bpe, codebooks, decontaminate, fertility, languages, licenses, lines, secrets, sequences, simhash, token_counts
 from murmur.llm.common import settled
 
 
@@ -86,6 +88,13 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = codebooks.compress(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    digest = hashlib.sha256(",".join(map(str, books.ravel().tolist())).encode()).hexdigest()
+    code = F.array_join(F.transform("codes", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "")
+    return coded.select("vec_id", code.alias("code"), "error", "label_error", F.lit(digest).alias("codebooks_sha256"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_tokeniser_fertility, op2_licence_diagonals, op3_secret_ledger, op4_byte_bpe, op5_simhash, op6_arrow_sequences,
-    op7_line_bitmaps, op8_token_counts, op9_language_mixture, op10_decontamination)}
+    op7_line_bitmaps, op8_token_counts, op9_language_mixture, op10_decontamination, op11_vector_codes)}
