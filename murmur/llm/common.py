@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -109,5 +110,18 @@ def settled(df: DataFrame, name: str) -> DataFrame:
     return settle(df, name)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """`path` with its scheme: one without is where Spark would write it, not on the disk of whoever opens it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(place).toString().rstrip("/")
+
+
+def store_of(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """Arrow's file system and place for a qualified path."""
+    if path.startswith("file:"):
+        return pyarrow.fs.LocalFileSystem(), "/" + path.removeprefix("file:").lstrip("/")
+    return pyarrow.fs.FileSystem.from_uri(path)
+
+
 def batch_name() -> str:
     return uuid.uuid4().hex
