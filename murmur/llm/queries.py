@@ -7,7 +7,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from murmur.llm import archives, bpe, codebooks, decontaminate, fertility, languages, licenses, lines, secrets, sequences, simhash, token_counts
+from murmur.llm import archives, bpe, codebooks, decontaminate, fertility, languages, licenses, lines, repair, secrets, sequences, simhash, token_counts
 from murmur.llm.common import settled
 
 
@@ -101,7 +101,11 @@ def op12_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), refers_to.alias("refers_to"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_tokeniser_fertility, op2_licence_diagonals, op3_secret_ledger, op4_byte_bpe, op5_simhash, op6_arrow_sequences,
     op7_line_bitmaps, op8_token_counts, op9_language_mixture, op10_decontamination, op11_vector_codes,
-    op12_zip_warc)}
+    op12_zip_warc, op13_conversation_repair)}
