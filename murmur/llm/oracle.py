@@ -141,9 +141,116 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
 FROM texts LEFT JOIN places USING (row_id) LEFT JOIN named USING (row_id)
 """
 
+def _vector_codes(rounds: int = 6) -> str:
+    """Lloyd's rounds written out: assignments a0 .. a6 by the codebooks c0 .. c6."""
+    ctes = [r"""
+kept AS (
+  SELECT row_number() OVER () AS r, vec_id, label, embedding AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+dims AS MATERIALIZED (
+  SELECT r, (i - 1) // w AS p, (i - 1) % w AS k, floor(4096 * x::DOUBLE)::BIGINT AS x
+  FROM (SELECT r, unnest(v) AS x, generate_subscripts(v, 1) AS i, len(v) // 8 AS w FROM kept)),
+seeds AS (
+  SELECT r, row_number() OVER (ORDER BY vec_id) - 1 AS e
+  FROM (SELECT vec_id, arg_min(r, v) AS r FROM kept WHERE vec_id IS NOT NULL GROUP BY vec_id ORDER BY vec_id LIMIT 16)),
+c0 AS MATERIALIZED (SELECT p, e, k, x AS c FROM dims JOIN seeds USING (r))"""]
+    for n in range(rounds + 1):
+        ctes.append(f"""
+a{n} AS MATERIALIZED (
+  SELECT r, p, min(struct_pack(d := d, e := e)) AS m
+  FROM (SELECT r, p, e, sum((x - c) * (x - c))::BIGINT AS d FROM dims JOIN c{n} USING (p, k) GROUP BY r, p, e) GROUP BY r, p)""")
+        if n < rounds:
+            ctes.append(f"""
+c{n + 1} AS MATERIALIZED (
+  SELECT p, e, k, coalesce((s - (s % n + n) % n) // n, c)::BIGINT AS c
+  FROM c{n} LEFT JOIN (SELECT p, m.e AS e, k, sum(x)::BIGINT AS s, count(*) AS n FROM dims JOIN a{n} USING (r, p) GROUP BY ALL) USING (p, e, k))""")
+    return "WITH" + ",".join(ctes) + f"""
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+       (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY p, e, k)) FROM c{rounds}) AS codebooks_sha256
+FROM kept JOIN (SELECT r, string_agg(printf('%02x', m.e), '' ORDER BY p) AS code, sum(m.d)::BIGINT AS error FROM a{rounds} GROUP BY r) USING (r)
+"""
+
+
+ARCHIVES = """
+WITH told AS (SELECT page_id, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS h FROM pages),
+newest AS (SELECT *, max(page_id) OVER (PARTITION BY t) AS top FROM told),
+marked AS (SELECT *, top IS NOT NULL AND page_id IS DISTINCT FROM top AS again FROM newest)
+SELECT page_id, strlen(t)::BIGINT AS payload_bytes,
+       list_aggregate(list_transform(range(8), lambda i: list_aggregate(list_transform([15, 10, 5, 0], lambda b:
+         substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(h, (5 * i + 1)::INT, 5))::BIGINT >> b) & 31) + 1)::INT, 1)),
+         'string_agg', '')), 'string_agg', '') AS payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN top END AS refers_to
+FROM marked
+"""
+
+
+def _conversations() -> str:
+    """The best of each state by cost and audit, row after row; then the audit is followed once more to write the repaired rows."""
+    def edit(state: str, cost: str, letter: str) -> str:
+        return f"{{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}'}}"
+    free = "more + CASE WHEN forced OR role1 <> '{}' THEN 1000000 ELSE 0 END"
+    anew = "more + 1 + CASE WHEN forced THEN 1000000 ELSE 0 END"
+    user = ", ".join([edit("s2", "2", "D"), *[edit(s, free.format("u"), "K") for s in ("s0", "s1", "s3")],
+                      *[edit(s, anew, "R") for s in ("s0", "s1", "s3")]])
+    return f"""
+WITH RECURSIVE said AS (
+  SELECT dense_rank() OVER (ORDER BY conv_id NULLS FIRST) AS g, conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), '') AS letters FROM conversations),
+checked AS (
+  SELECT *, xor(list_reduce(list_transform(letters, lambda c: unicode(c)::BIGINT), lambda crc, b:
+    list_reduce(range(8), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(crc, b)),
+    4294967295::BIGINT), 4294967295) % 20 AS n FROM said),
+damaged AS (
+  SELECT g, turn, CASE WHEN n = 4 THEN 'user' ELSE role END AS role,
+         CASE WHEN n = 1 THEN '' WHEN n = 2 THEN translate(text, '.!?', '') ELSE text END AS text
+  FROM (SELECT * FROM checked UNION ALL SELECT * FROM checked WHERE n = 3) WHERE n > 0),
+placed AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY turn NULLS FIRST, role, text) AS i,
+                  rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM damaged),
+judged AS (
+  SELECT *, left(role, 1) AS role1, CASE WHEN body = '' THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY g, role, text ORDER BY i) > 1 THEN 'duplicate'
+      WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+    lag(left(role, 1)) OVER (PARTITION BY g ORDER BY i) AS before FROM placed),
+steps AS MATERIALIZED (
+  SELECT g, i, role1, fault IN ('blank', 'duplicate') AS forced, CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS more FROM judged),
+walk AS (
+  SELECT DISTINCT g, 0::BIGINT AS i, {{'c': 0::BIGINT, 'a': ''}} AS s0, {{'c': 1000000::BIGINT, 'a': ''}} AS s1,
+         {{'c': 5::BIGINT, 'a': 'I'}} AS s2, {{'c': 10::BIGINT, 'a': 'II'}} AS s3 FROM said
+  UNION ALL
+  SELECT g, i, d0, d1, u, least(d3, {edit("u", "5", "I")})
+  FROM (SELECT *, least(d2, {edit("d0", "5", "I")}, {edit("d1", "5", "I")}, {edit("d3", "5", "I")}) AS u
+        FROM (SELECT steps.g, steps.i, {edit("s0", "2", "D")} AS d0, least({edit("s1", "2", "D")}, {edit("s0", free.format("s"), "K")}) AS d1,
+                     least({user}) AS d2,
+                     least({edit("s3", "2", "D")}, {edit("s2", free.format("a"), "K")}, {edit("s2", anew, "R")}) AS d3
+              FROM walk JOIN steps ON steps.g = walk.g AND steps.i = walk.i + 1))),
+best AS (SELECT g, least(s0, s3).c AS cost, least(s0, s3).a AS audit FROM walk QUALIFY row_number() OVER (PARTITION BY g ORDER BY i DESC) = 1),
+letters AS (
+  SELECT g, unnest(string_split(audit, '')) AS letter, unnest(range(1, len(audit) + 1)) AS j FROM best WHERE audit <> ''),
+counted AS (
+  SELECT *, sum((letter <> 'I')::INT) OVER w AS i, sum((letter <> 'D')::INT) OVER w AS e FROM letters WINDOW w AS (PARTITION BY g ORDER BY j)),
+met AS (
+  SELECT c.g, letter, e, role, text, max((letter = 'K' AND role1 = 's')::INT) OVER (PARTITION BY c.g) AS sys
+  FROM counted c LEFT JOIN judged r ON r.g = c.g AND r.i = c.i AND letter <> 'I'),
+written AS (
+  SELECT g, string_agg(CASE WHEN letter = 'K' THEN role WHEN (e - coalesce(sys, 0)) % 2 = 1 THEN 'user' ELSE 'assistant' END
+                       || ':' || coalesce(text, ''), chr(10) ORDER BY e) AS lines FROM met WHERE letter <> 'D' GROUP BY g),
+told AS (
+  SELECT g, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (before IS NOT NULL AND before || role1 NOT IN ('su', 'ua', 'au')) AS illegal FROM judged GROUP BY g)
+SELECT conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, cost::BIGINT AS cost, audit,
+       sha256(coalesce(lines, '')) AS repaired_sha256
+FROM (SELECT DISTINCT g, conv_id FROM said) LEFT JOIN told USING (g) LEFT JOIN best USING (g) LEFT JOIN written USING (g)
+"""
+
+
 SQL = {
     "op2_licence_diagonals": LICENCES,
     "op3_secret_ledger": SECRETS,
     "op7_line_bitmaps": LINES,
     "op10_decontamination": LEAKS,
+    "op11_vector_codes": _vector_codes(),
+    "op12_zip_warc": ARCHIVES,
+    "op13_conversation_repair": _conversations(),
 }

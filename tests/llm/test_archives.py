@@ -136,3 +136,13 @@ def test_scan_without_index_by_small_steps():
         assert [d for _, _, d in found] == whole and [n for _, n, _ in found] == [len(p) for p in parts]
         with pytest.raises(ValueError, match="ends within"):
             list(archives.scanned(lambda at, n, data=data: data[at:at + n], len(data) - 3, packed, step=7))
+
+
+def test_same_as_sql(spark, tmp_path):
+    import duckdb
+
+    from murmur.llm.oracle import SQL
+    found = told(spark, tmp_path, pages())
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    assert found == sorted(db.execute(SQL["op12_zip_warc"]).fetchall(), key=repr)

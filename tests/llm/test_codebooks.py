@@ -101,3 +101,15 @@ def test_large_numbers_stay_exact():
 def test_new_columns_get_other_names(spark, tmp_path):
     rows = spark.createDataFrame([(1, [0.5] * 8, 1, "x", 5)], SCHEMA)
     assert codebooks.compress(rows)[0].columns == ["vec_id", "embedding", "label", "codes", "Error", "codes_", "error_", "label_error"]
+
+
+def test_same_as_sql(spark, tmp_path):
+    import duckdb
+
+    from murmur.llm.oracle import SQL
+    found = table(spark, tmp_path, vectors())
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    result = db.execute(SQL["op11_vector_codes"])
+    names = [d[0] for d in result.description]
+    assert ordered(found) == ordered([dict(zip(names, r)) for r in result.fetchall()])

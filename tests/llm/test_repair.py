@@ -173,3 +173,15 @@ def test_chunks_that_remember_their_end_need_few_passes(spark, monkeypatch):
     found = repair.repair(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, dropped boolean")).collect()
     assert [(r.cost, r.audit) for r in found] == [(200, "R" * 200)]
     assert passes.count("known") <= 4
+
+
+def test_same_as_sql(tmp_path, spark):
+    import duckdb
+
+    from murmur.llm.oracle import SQL
+    spark.createDataFrame([(*r, 1, "x") for r in conversations()], SCHEMA).write.parquet(f"{tmp_path}/conversations.parquet")
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW conversations AS SELECT * FROM read_parquet('{tmp_path}/conversations.parquet/*.parquet')")
+    result = db.execute(SQL["op13_conversation_repair"])
+    names = [d[0] for d in result.description]
+    assert {r[0]: dict(zip(names, r)) for r in result.fetchall()} == plain(conversations())
