@@ -124,54 +124,6 @@ def code(spark: SparkSession, text: Column, path: str = RANKS) -> Column:
     return run(text)
 
 
-def decode(self, ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
-        """Each text's bytes: its tokens' letters gathered to their offsets."""
-        width = self.width[ids]
-        total = np.r_[0, np.cumsum(width, dtype=np.int64)]
-        text = total[ends]
-        place = self.place[ids] - starts - np.repeat(text[:-1], np.diff(ends))
-        data = self.letters[np.arange(total[-1]) + np.repeat(place, width)].tobytes()
-        return [data[i:j] for i, j in zip(text.tolist(), text[1:].tolist())]
-
-
-def strips(texts: list, size) -> Iterator[list]:
-    """Runs of texts of about STRIP, one text at least."""
-    part, total = [], 0
-    for text in texts:
-        part.append(text)
-        total += size(text)
-        if total >= STRIP:
-            yield part
-            part, total = [], 0
-    if part:
-        yield part
-
-
-def encode(spark: SparkSession, text: Column, path: str = RANKS) -> Column:
-    """ids and starts of a text: token ids, and the UTF-8 byte at which each token begins.
-
-    Null and empty texts have empty lists; a text of any length is encoded whole. The result
-    depends on nothing but the text, so repeated rows are alike.
-    """
-    prepare(spark)
-
-    @F.arrow_udf(ENCODED)
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own = held(Coder, path)
-        for batch in batches:
-            ids, starts, ends = [], [], [np.zeros(1, np.int64)]
-            for part in strips([t or "" for t in batch.to_pylist()], len):
-                i, s, e = own.encode(part)
-                ids.append(i)
-                starts.append(s)
-                ends.append(e[1:] + ends[-1][-1])
-            offsets = pa.array(np.concatenate(ends).astype(np.int32))
-            lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(x) if x else np.zeros(0, np.int32), pa.int32()))
-                     for x in (ids, starts)]
-            yield pa.StructArray.from_arrays(lists, ["ids", "starts"])
-    return run(text)
-
-
 def decode(spark: SparkSession, encoded: Column, path: str = RANKS) -> Column:
     """The bytes of `encode`'s ids, put together by their offsets."""
     prepare(spark)
