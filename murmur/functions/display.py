@@ -27,6 +27,18 @@ def spreadsheet_safe(text: Column) -> Column:
     return F.when(text.rlike(r"^[ \t\r\n]*[=+\-@]"), F.concat(F.lit("'"), text)).otherwise(text)
 
 
+def decimal_text(number: Column) -> Column:
+    """A double in plain decimals, never with an exponent, as long as that is still the same double."""
+    text = number.cast("string")
+
+    def same(places: int) -> Column:
+        digits = text.try_cast(f"decimal(38,{places})").cast("string")
+        digits = F.regexp_replace(digits, r"0+$", "") if places else F.concat(digits, F.lit("."))
+        shown = F.when(digits.endswith("."), F.concat(digits, F.lit("0"))).otherwise(digits)
+        return F.when(shown.try_cast("double") == number, shown)
+    return F.when(text.contains("E"), F.coalesce(same(37), same(18), same(0), text)).otherwise(text)
+
+
 def tweet_hash(timestamp: Column, tweet: Column) -> Column:
     """The identity of a mention; a missing timestamp or text counts as empty."""
     return F.sha2(F.concat(F.coalesce(timestamp, F.lit("")), F.lit("|"), F.coalesce(tweet, F.lit(""))), 256)

@@ -45,14 +45,22 @@ def score_by_join(df: DataFrame, lexicon: DataFrame, key: str, text: str) -> Dat
 
 
 def score_batch(rows: DataFrame, lexicon: DataFrame, text: str = "tweet") -> DataFrame:
-    """`rows` with clean_tweet and the four score columns; each distinct text is scored once.
+    """`rows` with clean_tweet and the four score columns.
 
     For tables and for the batches of a stream, whatever the size of the lexicon. A text
-    goes by a digest, so copies meet as one row before the words are made.
+    goes by a digest: only digests and sums of hits are shuffled, and the texts themselves at
+    most once, when they meet their scores. Copies of a text add up to a multiple of its
+    sums, which is divided by their number; an empty word that each row has counts them.
     """
-    digest = F.sha2(F.coalesce(text, F.lit("")), 256)
-    keyed = rows.withColumn("_text", digest)
-    texts = keyed.groupBy("_text").agg(F.first(text).alias(text))
-    scores = score_by_join(texts, lexicon, "_text", text)
+    keyed = rows.withColumn("_text", F.sha2(F.coalesce(text, F.lit("")), 256))
+    zero = F.lit(0).cast("bigint")
+    words = lexicon.select("word", to_micro(F.col("polarity")).alias("p"), to_micro(F.col("subjectivity")).alias("s"))
+    words = words.unionAll(lexicon.sparkSession.range(1).select(F.lit(""), zero, zero))
+    kept = F.filter(all_tokens(F.col(text)), lambda w: (F.length(w) > 1) & ~w.isin(list(stopwords())))
+    hits = keyed.select("_text", F.explode(F.concat(F.array(F.lit("")), F.coalesce(kept, F.array().cast("array<string>")))).alias("word"))
+    sums = hits.join(words, "word").groupBy("_text").agg(
+        F.sum("p").alias("p"), F.sum("s").alias("s"), F.count_if(F.col("word") != "").alias("n"),
+        F.count_if(F.col("word") == "").alias("copies"))
+    scores = sums.select("_text", score_struct(*[F.expr(f"{c} div copies") for c in "psn"]).alias("_score"))
     return (keyed.join(scores, "_text").withColumn("clean_tweet", clean_tweet(F.col(text)))
-            .select(*rows.columns, "clean_tweet", *[c for c in scores.columns if c != "_text"]))
+            .select(*rows.columns, "clean_tweet", "_score.*"))

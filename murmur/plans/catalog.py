@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -759,12 +761,12 @@ def scored_rows(spark, sf):
 
 @query
 def s4_latest_snapshot(spark, sf):
-    """Three snapshots written one after the other; only the last one's rows are seen."""
+    """Three snapshots of several files written one after the other; only the last one's rows are seen."""
     path = scratch_folder(spark, "snapshots")
     for part in range(3):
         rows = table(spark, sf, "documents").filter(F.col("doc_id") % 3 == part)
-        rows.select("doc_id", "lang", "source").coalesce(1).write.mode("append").parquet(path)
-    return files.newest_file_rows(spark.read.parquet(path))
+        rows.select("doc_id", "lang", "source").repartition(4).write.parquet(f"{path}/{part}")
+    return files.newest_snapshot_rows(spark.read.option("recursiveFileLookup", "true").parquet(path))
 
 
 @query
@@ -878,13 +880,14 @@ def t6_replay_cyclic(spark, sf):
 
 @query
 def t6_replay_stream(spark, sf):
-    """The same as a stream at half the clock's pace, ended after 300 rows sent over all repeats."""
+    """The same as a stream at half the clock's pace, ended in the middle of the third repeat."""
     docs = table(spark, sf, "documents").select(F.col("doc_id").alias("row_id"), "lang", "source")
     schema = table(spark, sf, "events").schema
     ticks = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf).select(
         F.col("event_id").alias("value"), F.col("ts").alias("timestamp"))
     base = scratch_folder(spark, "t6")
-    rows = replay.replay(replay.paced(ticks, 4.0), docs, docs.count(), 300)
+    n = docs.count()
+    rows = replay.replay(replay.paced(ticks, 4.0), docs, n, 5 * n // 2)
     done = (rows.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
             .trigger(**ONCE).start())
     done.awaitTermination()
@@ -955,12 +958,17 @@ def k1_sink_csv_append(spark, sf):
 
 @query
 def k2_console(spark, sf):
-    """The console mirror of the parsed messages; what it was given, by its progress."""
+    """The console mirror of the parsed messages: by brand, the lines it printed and the sum of their ids."""
     stream = ingest.parse_json_payload(message_stream(spark, sf)).select("tweet_id", "brand")
-    done = sinks.to_console(stream, **ONCE)
-    done.awaitTermination()
-    rows = sum(p["numInputRows"] for p in done.recentProgress)
-    return events(spark, sf).agg(F.count("*").alias("events"), F.lit(rows).cast("bigint").alias("shown"))
+    shown: dict[str, list[int]] = {}
+
+    def write(line: str) -> None:
+        row = json.loads(line)
+        own = shown.setdefault(row["brand"], [0, 0])
+        own[0] += 1
+        own[1] += row["tweet_id"]
+    sinks.to_console(stream, write, **ONCE).awaitTermination()
+    return spark.createDataFrame([(b, *v) for b, v in shown.items()], "brand STRING, shown BIGINT, ids BIGINT")
 
 
 @query
@@ -1003,31 +1011,35 @@ def st4_one_query_all_sinks(spark, sf):
     return rows.groupBy(*rows.columns).agg(F.count("*").alias("n"))
 
 
-def chunks_as_stream(spark, chunks):
-    """Frames written one after the other, one file and one micro-batch each."""
+def run_in_chunks(spark, chunks, start):
+    """Run a stream once for each frame, from its checkpoint: a frame is all files it is written to, and a micro-batch.
+
+    `start` gets the stream of all files and returns the started query.
+    """
     path = scratch_folder(spark, "chunks")
     for chunk in chunks:
-        chunk.coalesce(1).write.mode("append").parquet(path)
-    return spark.readStream.schema(chunks[0].schema).option("maxFilesPerTrigger", 1).parquet(path)
+        chunk.write.mode("append").parquet(path)
+        start(spark.readStream.schema(chunk.schema).parquet(path)).awaitTermination()
 
 
-def mention_stream(spark, sf, rows=None):
-    """Scored mentions as a stream in six micro-batches of some days each."""
+def mention_chunks(spark, sf, rows=None):
+    """Scored mentions in six frames of some days each."""
     rows = settle(scored_rows(spark, sf) if rows is None else rows)
     day = F.datediff(F.to_date("timestamp"), F.to_date(F.lit("2024-01-01")))
     part = F.least(F.greatest(F.floor(day / 5), F.lit(0)), F.lit(5))
-    return chunks_as_stream(spark, [rows.filter(part == n) for n in range(6)])
+    return [rows.filter(part == n) for n in range(6)]
 
 
 @query
 def st1_stream_tumbling(spark, sf):
     """Windows of the stream over several batches; the batch job must give the same."""
     base = scratch_folder(spark, "st1")
-    stream = jobs.window_fact_stream(mention_stream(spark, sf), HOUR)
-    done = (stream.writeStream.outputMode("update").trigger(**ONCE).option("checkpointLocation", f"{base}/checkpoint")
-            .foreachBatch(lambda rows, batch: sinks.write_batch(
-                rows.withColumn("day", F.to_date("window_start")), f"{base}/facts", batch)).start())
-    done.awaitTermination()
+
+    def start(stream):
+        return (jobs.window_fact_stream(stream, HOUR).writeStream.outputMode("update").trigger(**ONCE)
+                .option("checkpointLocation", f"{base}/checkpoint").foreachBatch(lambda rows, batch: sinks.write_batch(
+                    rows.withColumn("day", F.to_date("window_start")), f"{base}/facts", batch)).start())
+    run_in_chunks(spark, mention_chunks(spark, sf), start)
     rows = windows.window_metrics(jobs.current_facts(spark.read.parquet(f"{base}/facts")))
     return rows.select(stamp("window_start"), "volume", "mean_polarity",
                        F.round("negative_ratio", 6).alias("negative_ratio"))
@@ -1050,9 +1062,9 @@ def st2_watermark_dedup(spark, sf):
     one = rows.filter("mention_id = 0")
     chunks = [later(rows, "first", "0 SECONDS").unionByName(later(rows, "first", "5 MINUTES")),
               later(one, "gap", "100 DAYS", "a"), later(one, "gap", "200 DAYS", "b"), later(rows, "again", "300 DAYS")]
-    done = (jobs.first_seen(chunks_as_stream(spark, chunks)).writeStream.format("parquet").option("path", f"{base}/out")
-            .trigger(**ONCE).option("checkpointLocation", f"{base}/checkpoint").outputMode("append").start())
-    done.awaitTermination()
+    run_in_chunks(spark, chunks, lambda stream: (
+        jobs.first_seen(stream).writeStream.format("parquet").option("path", f"{base}/out")
+        .trigger(**ONCE).option("checkpointLocation", f"{base}/checkpoint").outputMode("append").start()))
     return spark.read.parquet(f"{base}/out").groupBy("chunk", "brand").agg(F.count("*").alias("n"))
 
 
@@ -1060,8 +1072,8 @@ def st2_watermark_dedup(spark, sf):
 def st3_stream_alerts(spark, sf):
     """Alerts the stream logs over several batches, with a spike some days before the end."""
     base = scratch_folder(spark, "st3")
-    stream = jobs.window_fact_stream(mention_stream(spark, sf, with_spike(spark, sf, "2024-01-20 12:00:00")), HOUR)
-    jobs.alert_job(stream, f"{base}/facts", f"{base}/alerts", f"{base}/checkpoint", HOUR, **ONCE).awaitTermination()
+    run_in_chunks(spark, mention_chunks(spark, sf, with_spike(spark, sf, "2024-01-20 12:00:00")), lambda stream: jobs.alert_job(
+        jobs.window_fact_stream(stream, HOUR), f"{base}/facts", f"{base}/alerts", f"{base}/checkpoint", HOUR, **ONCE))
     log = spark.read.schema(schemas.ALERT_LOG).parquet(f"{base}/alerts")
     return alert_ops.fold_alert_log(log).select("alert_id", "title", "detail", "severity", "status")
 
@@ -1075,6 +1087,16 @@ def k5_export_csv(spark, sf):
     return back.withColumn("timestamp", F.date_format(F.col("timestamp").cast("timestamp"), MICROS))
 
 
+@query
+def k5_export_neutral(spark, sf):
+    """The rows that carry small numbers; numbers stand in plain decimals."""
+    path = scratch_folder(spark, "k5")
+    D.export_csv(with_tweet(mentions(spark, sf), sf), path, sentiment="Neutral", days=30)
+    back = spark.read.options(**files.DIALECT, header="true").csv(path)
+    return back.select("brand", "username", F.md5("tweet").alias("digest"), "polarity", "subjectivity", "confidence",
+                       F.date_format(F.col("timestamp").cast("timestamp"), MICROS).alias("timestamp"))
+
+
 @query
 def k6_chart_datasets(spark, sf):
     folder = scratch_folder(spark, "k6")

@@ -457,7 +457,7 @@ SQL = {
     "t5_limit_rows": """SELECT doc_id, length(t)::integer AS chars FROM (SELECT doc_id, regexp_replace(text, '^\\s+|\\s+$', '', 'g') AS t
       FROM documents ORDER BY doc_id LIMIT 50) WHERE t <> ''""",
     "t6_replay_cyclic": with_(EVENTS, "SELECT lang, source, count(*) AS n, max(mention_id) AS last FROM ev JOIN documents USING (doc_id) GROUP BY ALL"),
-    "t6_replay_stream": """SELECT lang, source, count(*) AS n, max(k) AS last FROM (SELECT event_id // 2 AS k FROM events WHERE event_id % 2 = 1 AND event_id // 2 < 300) t
+    "t6_replay_stream": """SELECT lang, source, count(*) AS n, max(k) AS last FROM (SELECT event_id // 2 AS k FROM events WHERE event_id % 2 = 1 AND event_id // 2 < (SELECT 5 * count(*) // 2 FROM documents)) t
       JOIN documents ON doc_id = k % (SELECT count(*) FROM documents) GROUP BY ALL""",
     "t7_inject_spike": with_(SPIKED + window_ctes(HOUR, "with_spike"), f"SELECT * FROM alerts WHERE \"window\" = (SELECT strftime(max(window_start), {ISO}) FROM win)"),
     "t7_spike_alerts": with_(SPIKED, """SELECT 'demo-' || (i + 1) AS id, 'Negative sentiment spike - ' || brand AS title,
@@ -466,7 +466,7 @@ SQL = {
       (SELECT CASE WHEN count(*) <= 5000 THEN count(*) ELSE 4001 + (count(*) - 5001) % 1000 END FROM events)""",
     "k1_sink_csv_append": with_(MENTIONS, """SELECT mention_id::varchar AS tweet_id, md5(text) AS digest, brand, sentiment,
       polarity::varchar AS polarity, confidence::varchar AS confidence FROM m JOIN documents USING (doc_id)"""),
-    "k2_console": "SELECT count(*) AS events, count(*) AS shown FROM events",
+    "k2_console": "SELECT event_type AS brand, count(*) AS shown, sum(event_id)::bigint AS ids FROM events GROUP BY ALL",
     "k3_sink_history": with_(EVENTS, "SELECT brand, count(*) AS n, sum(length(text))::bigint AS chars FROM ev JOIN documents USING (doc_id) GROUP BY ALL"),
     "k4_sink_live_batch": with_(MENTIONS, """SELECT 0::bigint AS batch_id, true AS bounded, mention_id::integer AS tweet_id, md5(text) AS tweet,
       brand, sentiment, polarity FROM m JOIN documents USING (doc_id)"""),
@@ -483,6 +483,10 @@ SQL = {
     "k5_export_csv": with_(MENTIONS + ", k AS (SELECT m.*, text FROM m JOIN documents USING (doc_id) WHERE brand = 'click' AND sentiment = 'Negative')",
                            f"""SELECT strftime(timestamp, {MICROS}) AS timestamp, subjectivity::varchar AS subjectivity, CASE WHEN regexp_matches(text, '^[ \\t\\r\\n]*[=+\\-@]') THEN '''' || text ELSE text END AS tweet, brand, username, sentiment,
       polarity::varchar AS polarity, confidence::varchar AS confidence FROM k WHERE timestamp >= {RECENT.format('k', '30 DAYS')}"""),
+    "k5_export_neutral": with_(MENTIONS + ", k AS (SELECT m.*, text FROM m JOIN documents USING (doc_id) WHERE sentiment = 'Neutral')",
+                               f"""SELECT brand, username, md5(CASE WHEN regexp_matches(text, '^[ \\t\\r\\n]*[=+\\-@]') THEN chr(39) || text ELSE text END) AS digest,
+      polarity::varchar AS polarity, subjectivity::varchar AS subjectivity, confidence::varchar AS confidence, strftime(timestamp, {MICROS}) AS timestamp
+      FROM k WHERE timestamp >= {RECENT.format('k', '30 DAYS')}"""),
     "k6_chart_datasets": with_(MENTIONS + "," + DISTRIBUTION + "," + MINUTES + "," + TOKENS, """SELECT 'sentiment_distribution' AS chart, sentiment AS item, n FROM dist
       UNION ALL (SELECT 'word_frequency', word, sum(times)::bigint AS c FROM words JOIN (SELECT doc_id, count(*) AS times FROM ev GROUP BY ALL) USING (doc_id) GROUP BY ALL ORDER BY c DESC, word LIMIT 20)
       UNION ALL SELECT 'time_series', minute, volume FROM filled"""),

@@ -157,3 +157,29 @@ def test_first_seen(spark, tmp_path):
     (jobs.first_seen(stream, "2 hours").writeStream.format("parquet").option("path", str(tmp_path / "out"))
      .option("checkpointLocation", str(tmp_path / "cp")).trigger(**ONCE).start()).awaitTermination()
     assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+def test_csv_sinks_give_back_what_they_were_given(spark, tmp_path):
+    """Outer blanks, quotes, line breaks, nulls and empty texts, and numbers without exponents."""
+    from murmur.plans.dashboard import export_csv
+    from murmur.sources.files import DIALECT
+    texts = ["  lead and trail  ", "\tx", "", None, 'say "so", twice""', "two\nlines\r\nand\rmore", "'q", "\\", "\\N", ",", " ", "é漢", '"']
+    numbers = [0.0008, -0.0001, 0.0, 1e-5, 1.25e-7, 0.1 + 0.2, None, 12345678.9, 1e15, -1.0, 1.7976931348623157e308, 5e-324, float("nan")]
+    rows = [(START + timedelta(seconds=i), t, "B", "u", "Neutral", n, n, n) for i, (t, n) in enumerate(zip(texts, numbers))]
+    frame = spark.createDataFrame(rows, "timestamp TIMESTAMP, tweet STRING, brand STRING, username STRING, sentiment STRING, "
+                                        "polarity DOUBLE, subjectivity DOUBLE, confidence DOUBLE")
+    export_csv(frame, str(tmp_path / "export"))
+    sinks.write_batch(frame.select(*sinks.csv_columns(frame)), str(tmp_path / "sink"), 0, "csv", **sinks.CSV)
+    for folder in ("export", "sink/batch_id=0"):
+        back = spark.read.options(**DIALECT, header="true").csv(f"{tmp_path}/{folder}").orderBy("timestamp").collect()
+        assert [r["tweet"] for r in back] == texts
+        assert [repr(r["polarity"] and float(r["polarity"])) for r in back] == [repr(n) for n in numbers]
+        assert [r["polarity"] for r in back[:5]] == ["0.0008", "-0.0001", "0.0", "0.00001", "0.000000125"]
+        assert back[7]["polarity"] == "12345678.9" and back[8]["polarity"] == "1000000000000000.0"
+
+
+def test_console_shows_every_row(spark, tmp_path):
+    lines = []
+    rows = stream_of(spark, messages(spark), str(tmp_path / "in"), 3)
+    sinks.to_console(ingest.parse_json_payload(rows), lines.append, **ONCE).awaitTermination()
+    assert len(lines) == 40 and all('"tweet_id"' in line for line in lines)
