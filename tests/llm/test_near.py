@@ -5,15 +5,16 @@ import re
 import zlib
 from collections import Counter
 from itertools import combinations
-from math import log2
+from math import ceil, log2
 
 import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
+import tiktoken
 import xxhash
 
-from murmur.llm import fertility, languages, simhash
+from murmur.llm import bpe, fertility, languages, simhash
 from murmur.llm.components import components
 from pyspark.sql import functions as F
 
@@ -146,9 +147,80 @@ def test_fences_by_language(spark, answer, tmp_path):
 
 def test_large_numbers_of_words_are_numbered_anew():
     rng = random.Random(1)
-    words = [b"%d" % rng.randrange(3_000_000) for _ in range(20_000)]
-    again = words + words[:50]
-    assert fertility.repeated_words(words) == 0 and fertility.repeated_words(again) == 100
+    words = [rng.randrange(3_000_000) for _ in range(20_000)]
+    texts = [words, words + words[:50], [7, 8], [], [7, 8, 9, 7, 8, 9], [1, 1, 1], [1, 1, 1, 1]]
+    ends = np.cumsum([0, *map(len, texts)])
+    found = np.add.reduceat(np.r_[fertility.in_repeats(np.array(sum(texts, [])), ends), 0], ends[:-1])
+    assert [int(n) if t else 0 for n, t in zip(found, texts)] == [0, 100, 0, 0, 6, 0, 4]
+
+
+def vote_of(words):
+    hashed = [xxhash.xxh64_intdigest(w.encode()) >> 1 for w in words]
+    out = []
+    for window in zip(hashed, hashed[1:], hashed[2:]):
+        h = 0
+        for x in window:
+            h = (h ^ x) * 0x9E3779B97F4A7C15 % 2 ** 64
+            h ^= h >> 29
+        out.append(h >> 1)
+    return min(out, default=0)
+
+
+def plain_kept(rows):
+    """The fences and the verdict in plain Python, over (doc_id, text, lang)."""
+    model = sentencepiece.SentencePieceProcessor(model_file=fertility.VOCABULARY)
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=bpe.Coder(bpe.RANKS).ranks, special_tokens={})
+    measured, groups = [], {}
+    for i, text, lang in rows:
+        words = re.findall("[^\x20\x09-\x0D]+", text or "")
+        windows = Counter(zip(words, words[1:], words[2:]))
+        inside = {p for n in range(len(words) - 2) if windows[tuple(words[n:n + 3])] > 1 for p in range(n, n + 3)}
+        ids = [t for w in words for t in model.encode(w)]
+        chars, second = sum(map(len, words)), sum(len(library._encode_single_piece((" " + w).encode())) for w in words)
+        script = fertility.script_of(text or "")
+        failed = len(words) < 50 or 100 * len(inside) > 50 * len(words)
+        entropy = -sum(c / len(ids) * log2(c / len(ids)) for c in Counter(ids).values())
+        size = len(words).bit_length()
+        measured.append((i, lang, script, size, failed, chars, len(ids), second, sum(map(model.is_byte, ids)), entropy))
+        if not failed and ids and script:
+            key, own = vote_of(words), groups.setdefault((lang, script, size), {})
+            own[key] = min(own.get(key, (chars, len(ids), second)), (chars, len(ids), second))
+
+    def ends(votes, prior):
+        out = []
+        for k in (1, 2):
+            ratio = sorted(v[0] / v[k] for v in votes)
+            q1, q3 = (ratio[ceil(p * len(ratio)) - 1] for p in (0.25, 0.75))
+            out += [q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)]
+        return [(len(votes) * e + 20 * p) / (len(votes) + 20) for e, p in zip(out, prior)]
+    kept = {}
+    for i, lang, script, size, failed, chars, tokens, second, spelt, entropy in measured:
+        if failed or not tokens or not script:
+            kept[i] = False
+            continue
+        band = fertility.BANDS.get(script, fertility.OTHER_BAND)
+        every = [v for (_, s, c), g in groups.items() if (s, c) == (script, size) for v in g.values()]
+        low, high, low2, high2 = ends(groups[lang, script, size].values(), ends(every, [band[0], band[1]] * 2))
+        kept[i] = (low <= chars / tokens <= high and low2 <= chars / second <= high2 and spelt / tokens <= band[2]
+                   and entropy >= 0.3 * log2(min(tokens, 32_000)))
+    return kept
+
+
+def test_kept_is_the_verdict_in_plain_python(answer):
+    sf = "/root/testdata/sf0.001"
+    import duckdb
+    rows = duckdb.sql(f"SELECT doc_id, text, lang FROM '{sf}/documents.parquet'").fetchall()
+    found = {r["doc_id"]: r["kept"] for r in answer("op1_tokeniser_fertility", sf)}
+    assert found == plain_kept(rows) and 50 < sum(found.values()) < len(found) - 10
+
+
+def test_good_short_documents_stay_and_junk_goes(answer):
+    sf = "/root/testdata/sf0.01"
+    import duckdb
+    labels = dict(duckdb.sql(f"SELECT doc_id, quality FROM '{sf}/labels.parquet'").fetchall())
+    found = [r for r in answer("op1_tokeniser_fertility", sf) if not r["base_failed"] and r["doc_id"] in labels]
+    good, junk = ([r["kept"] for r in found if labels[r["doc_id"]] == q] for q in (1, 0))
+    assert sum(good) >= 0.97 * len(good) and sum(junk) < 0.5 * len(junk)
 
 
 def test_languages_of_held_out_documents(answer):
@@ -163,10 +235,58 @@ def test_languages_of_held_out_documents(answer):
     assert all(0 <= r["score"] <= 1 for r in found)
 
 
+def test_long_texts_are_counted_as_uncut(spark, monkeypatch):
+    text = "".join(random.Random(2).choices("ab é ü.\n漢", k=(1 << 20) + 400_000))
+    whole = np.unique(languages.grams(languages.letters(text)), return_counts=True)
+    assert len(languages.letters(text)) > languages.STRIP
+    for strip in (languages.STRIP, 1000, 7):
+        monkeypatch.setattr(languages, "STRIP", strip)
+        own = text if strip > 100 else text[:5000]
+        expected = whole if strip > 100 else np.unique(languages.grams(languages.letters(own)), return_counts=True)
+        assert all((a == b).all() for a, b in zip(languages.gram_counts(own), expected))
+
+
+def test_too_many_languages_are_an_error(spark):
+    rows = spark.range(300).select(F.lit("some text").alias("text"), F.col("id").cast("string").alias("lang"))
+    with pytest.raises(ValueError, match="300"):
+        languages.train(rows)
+
+
+def test_shares_of_a_mixture_are_those_of_plain_em():
+    texts = {"de": "das wetter war schön und sie gingen mit ihren freunden hinaus an den fluss ", "en": "the weather was fine and they went out ",
+             "fr": "il faisait beau et ils sont sortis avec leurs amis au bord de la rivière "}
+    counts = np.array([np.bincount(languages.grams(languages.letters(t * 5)), minlength=1 << languages.BUCKET_BITS) for t in texts.values()])
+    model = languages.Model(list(texts), counts)
+
+    def plain(text, names):
+        found = Counter(languages.grams(languages.letters(text)).tolist())
+        like = {g: [(counts[list(texts).index(n)][g] + 0.05) / (counts[list(texts).index(n)].sum() + 0.05 * (1 << 16)) for n in names] for g in found}
+        share = [1 / len(names)] * len(names)
+        for _ in range(25 if len(names) > 1 else 0):
+            new = [0.0] * len(names)
+            for g, c in found.items():
+                total = sum(s * p for s, p in zip(share, like[g]))
+                for k in range(len(names)):
+                    new[k] += c * share[k] * like[g][k] / total / sum(found.values())
+            still, share = max(abs(a - b) for a, b in zip(new, share)) < 1e-3, new
+            if still:
+                break
+        return share, sum(c * np.log(sum(s * p for s, p in zip(share, like[g]))) for g, c in found.items()), sum(found.values())
+    for text in (texts["de"] * 2, texts["de"] + texts["en"], texts["fr"] * 2 + texts["en"] * 3 + texts["de"], "amis wetter"):
+        order = [n for _, n in sorted(zip(plain(text, list(texts))[0], texts), reverse=True)]
+        chosen = 1
+        while chosen < 3 and plain(text, order[:chosen + 1])[1] - plain(text, order[:chosen])[1] > 6 * np.log(plain(text, order[:1])[2]):
+            chosen += 1
+        shares = dict(zip(order[:chosen], plain(text, order[:chosen])[0]))
+        name, score, names, found = model.predict(text)
+        assert set(names) == set(shares) and name == max(shares, key=shares.get) and abs(score - max(shares.values())) < 1e-9
+        assert all(abs(shares[n] - s) < 1e-9 for n, s in zip(names, found))
+
+
 def test_mixtures_and_texts_without_letters():
     english = "the weather was fine and they went out to the river with their friends " * 6
     german = "das wetter war schön und sie gingen mit ihren freunden hinaus an den fluss " * 6
-    counts = np.array([np.bincount(languages.grams(t), minlength=1 << languages.BUCKET_BITS) for t in (german, english)])
+    counts = np.array([np.bincount(languages.grams(languages.letters(t)), minlength=1 << languages.BUCKET_BITS) for t in (german, english)])
     model = languages.Model(["de", "en"], counts)
     assert model.predict(english)[0] == "en" and model.predict(english)[2] == ["en"]
     name, share, names, shares = model.predict(english + german[:200])
