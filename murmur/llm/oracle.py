@@ -20,46 +20,50 @@ base AS (
       WHEN w[i] = 'mit' AND w[i + 1] = 'license' THEN 'mit' END AS label
   FROM (SELECT row_id, w, unnest(range(1, len(w) + 1)) AS i FROM texts)),
 places AS (SELECT * FROM base WHERE label IS NOT NULL),
-templates(template, label, body) AS (VALUES
-  (0, 'apache-2.0', 'licensed under the apache license version 2 0'),
-  (1, 'apache-2.0', 'licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at'),
-  (2, 'bsd', 'redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met'),
-  (3, 'cc-by-4.0', 'licensed under cc by 4 0'),
-  (4, 'cc-by-nc-4.0', 'licensed under cc by nc 4 0'),
-  (5, 'cc-by-sa-4.0', 'licensed under cc by sa 4 0'),
-  (6, 'gpl-3.0', 'this work is licensed under the gnu general public license version 3'),
-  (7, 'gpl-notice', 'this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation'),
-  (8, 'isc', 'permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted'),
-  (9, 'mit-notice', 'released under the mit license'),
-  (10, 'mit-text', 'permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction'),
-  (11, 'mpl-2.0', 'this source code form is subject to the terms of the mozilla public license v 2 0')),
+templates(template, label, body, keys) AS (VALUES
+  (0, 'apache-2.0', 'licensed under the apache license version 2 0', 'apache'),
+  (1, 'apache-2.0', 'licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license you may obtain a copy of the license at', 'apache'),
+  (2, 'bsd', 'redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met', ''),
+  (3, 'cc-by-4.0', 'licensed under cc by 4 0', 'cc by'),
+  (4, 'cc-by-nc-4.0', 'licensed under cc by nc 4 0', 'cc by nc'),
+  (5, 'cc-by-sa-4.0', 'licensed under cc by sa 4 0', 'cc by sa'),
+  (6, 'gpl-3.0', 'this work is licensed under the gnu general public license version 3', 'gnu public'),
+  (7, 'gpl-notice', 'this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation', 'gnu'),
+  (8, 'isc', 'permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted', ''),
+  (9, 'mit-notice', 'released under the mit license', 'mit'),
+  (10, 'mit-text', 'permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction', ''),
+  (11, 'mpl-2.0', 'this source code form is subject to the terms of the mozilla public license v 2 0', 'mozilla')),
+cut AS (SELECT template, label, string_split(body, ' ') AS t, string_split(keys, ' ') AS keys, CASE WHEN len(string_split(body, ' ')) >= 12 THEN 4 ELSE 2 END AS g
+        FROM templates),
+t_words AS (SELECT template, unnest(t) AS word, unnest(range(0, len(t))) AS j, list_contains(keys, unnest(t)) AS key FROM cut),
 grams AS (
-  SELECT template, label, len(t) AS t_words, j - 1 AS t_pos, array_to_string(t[j:j + 3], ' ') AS gram
-  FROM (SELECT template, label, t, unnest(range(1, len(t) - 2)) AS j
-        FROM (SELECT template, label, string_split(body, ' ') AS t FROM templates))),
+  SELECT template, j AS t_pos, g, array_to_string(t[j + 1:j + g], ' ') AS gram
+  FROM (SELECT *, unnest(range(0, len(t) - g + 1)) AS j FROM cut) WHERE g = 4 OR len(list_intersect(t[j + 1:j + g], keys)) > 0),
 scanned AS (
-  SELECT row_id, i - 1 AS pos, array_to_string(w[i:i + 3], ' ') AS gram
-  FROM (SELECT row_id, w, unnest(range(1, len(w) - 2)) AS i FROM texts)),
-hits AS (SELECT DISTINCT row_id, template, label, t_words, pos, t_pos, pos - t_pos AS diagonal FROM scanned JOIN grams USING (gram)),
+  SELECT row_id, i - 1 AS pos, g, array_to_string(w[i:i + g - 1], ' ') AS gram
+  FROM (SELECT row_id, w, g, unnest(range(1, len(w) - g + 2)) AS i FROM texts, (VALUES (2), (4)) AS lengths(g))),
 diagonals AS (
-  SELECT row_id, template, label, t_words, diagonal, min(pos) AS lo, max(pos) AS hi
-  FROM hits GROUP BY ALL),
+  SELECT row_id, template, g, pos - t_pos AS diagonal, min(pos) AS lo, max(pos) AS hi FROM scanned JOIN grams USING (g, gram) GROUP BY ALL),
 marked AS (
-  SELECT *, CASE WHEN diagonal - lag(diagonal) OVER d <= 3 AND lo <= lag(hi) OVER d + 7 AND hi >= lag(lo) OVER d - 7
+  SELECT *, CASE WHEN diagonal - lag(diagonal) OVER d <= 3 AND lo <= lag(hi) OVER d + g + 3 AND hi >= lag(lo) OVER d - g - 3
                  THEN 0 ELSE 1 END AS fresh
   FROM diagonals WINDOW d AS (PARTITION BY row_id, template ORDER BY diagonal)),
 numbered AS (
   SELECT *, sum(fresh) OVER (PARTITION BY row_id, template ORDER BY diagonal ROWS UNBOUNDED PRECEDING) AS span FROM marked),
-extent AS (
-  SELECT row_id, template, label, t_words, span, min(lo) AS first_pos, max(hi) + 4 AS end_pos FROM numbered GROUP BY ALL),
-inside AS (
-  SELECT row_id, template, span, count(DISTINCT p) AS n
-  FROM (SELECT h.row_id, h.template, m.span, unnest(range(h.t_pos, h.t_pos + 4)) AS p
-        FROM hits h JOIN numbered m ON h.row_id = m.row_id AND h.template = m.template AND h.diagonal = m.diagonal)
-  GROUP BY ALL),
+extent AS (SELECT row_id, template, span, min(lo) AS first_pos, max(hi) + any_value(g) AS end_pos FROM numbered GROUP BY ALL),
+verified AS (
+  SELECT m.row_id, m.template, m.span, count(DISTINCT j) AS n, count(DISTINCT j) FILTER (key) AS n_keys
+  FROM numbered m JOIN texts x ON x.row_id = m.row_id JOIN t_words tw ON tw.template = m.template JOIN range(-3, 4) AS near(e) ON true
+  WHERE j + diagonal + e >= 0 AND w[(j + diagonal + e + 1)::BIGINT] = word GROUP BY ALL),
+holding AS (
+  SELECT row_id, template, label, span, first_pos, end_pos, n, n::DOUBLE / len(t) AS share
+  FROM extent JOIN verified USING (row_id, template, span) JOIN cut USING (template)
+  WHERE n >= 0.75 * len(t) AND n_keys = (SELECT count(*) FROM t_words k WHERE k.template = cut.template AND key)
+    AND end_pos - first_pos <= len(t) * 1.5 + 3),
 spans AS (
-  SELECT row_id, label, n::DOUBLE / t_words AS share FROM extent JOIN inside USING (row_id, template, span)
-  WHERE n::DOUBLE / t_words >= 0.75 AND end_pos - first_pos <= t_words * 1.5),
+  SELECT * FROM holding h WHERE NOT EXISTS (
+    SELECT 1 FROM holding o WHERE o.row_id = h.row_id AND o.first_pos < h.end_pos AND h.first_pos < o.end_pos
+      AND (o.n > h.n OR (o.n = h.n AND (o.share > h.share OR (o.share = h.share AND o.template < h.template)))))),
 named AS (
   SELECT row_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
   FROM (SELECT row_id, label FROM places UNION SELECT row_id, label FROM spans) GROUP BY row_id),
