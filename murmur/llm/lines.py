@@ -9,8 +9,6 @@ from murmur.llm.common import BLANKS, bind, fresh, lower_ascii
 
 #: Code points of the shortest line key that counts.
 MIN_KEY = 10
-#: 2 ** BLOCK_BITS neighbouring ids share a block: a common line is split by block.
-BLOCK_BITS = 12
 #: A bitmap word stands for 2 ** WORD_BITS lines.
 WORD_BITS = 6
 
@@ -34,19 +32,20 @@ def repeated_lines(documents: DataFrame, min_key: int = MIN_KEY) -> DataFrame:
     `place` is the text's variant in the high and the line number in the low 32 bits.
     Keys are 128 bits of hash. Lines are range-partitioned by key and block of documents
     and sorted by document and place; the first document of a run keeps its lines, later
-    ones lose theirs. As a key has one run for each block, a line that a third of all
-    documents hold is spread over many tasks; a second pass over the runs' first documents
-    alone finds the first of all.
+    ones lose theirs. Blocks are dealt by a hash of the id, as many as there are partitions:
+    a line that a third of all documents hold is spread over many tasks, however the ids
+    lie, and a second pass over the runs' first documents alone, one for each block at
+    most, finds the first of all.
     """
+    spark = documents.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     lines = documents.where(F.col("doc_id").isNotNull()).select(
         F.col("doc_id"), _variant(F.col("text")).alias("_variant"),
         F.posexplode(F.transform(text_lines(F.col("text")), line_key)).alias("_at", "_key"))
     hashed = lines.where(F.length("_key") >= min_key).select(
         F.xxhash64("_key").alias("h1"), F.xxhash64(F.lit("line"), "_key").alias("h2"),
-        F.shiftright(F.col("doc_id").cast("long"), BLOCK_BITS).alias("block"), "doc_id",
+        F.pmod(F.xxhash64("doc_id"), F.lit(parts)).cast("int").alias("block"), "doc_id",
         F.shiftleft("_variant", 32).bitwiseOR(F.col("_at").cast("long")).alias("place"))
-    spark = documents.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     order = ["h1", "h2", "block", "doc_id", "place"]
     ranged = hashed.repartitionByRange(parts, "h1", "h2", "block").sortWithinPartitions(*order)
     run = Window.partitionBy("h1", "h2", "block").orderBy("doc_id", "place").rowsBetween(Window.unboundedPreceding, 0)
@@ -106,8 +105,7 @@ def drop_repeated_lines(documents: DataFrame, min_key: int = MIN_KEY) -> DataFra
     v, d = fresh(documents, "_variant"), fresh(documents, "_dropped")
     i = fresh(documents, "_id")
     marked = documents.withColumn(v, _variant(F.col("text"))).join(
-        bitmaps.select(F.col("doc_id").alias(i), F.col("variant").alias(f"{v}b"), F.col("dropped").alias(d))
-        .hint("shuffle_hash"),
+        bitmaps.select(F.col("doc_id").alias(i), F.col("variant").alias(f"{v}b"), F.col("dropped").alias(d)),
         (F.col("doc_id") == F.col(i)) & (F.col(v) == F.col(f"{v}b")), "left")
     lines = text_lines(F.col("text"))
     n_dropped = F.coalesce(F.aggregate(F.col(d), F.lit(0).cast("long"), lambda n, w: n + F.bit_count(w["bits"])), F.lit(0))
