@@ -11,12 +11,11 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute
-import pyarrow.fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from murmur.llm.common import held, prepare, settled
+from murmur.llm.common import held, prepare, qualified, settled, store_of
 from murmur.llm.merging import Memo
 from murmur.llm.token_counts import byte_symbols
 from murmur.session import scratch_folder
@@ -65,21 +64,16 @@ class WordEncoder:
         return np.frombuffer(b"".join(map(self.words.__getitem__, (text or "").encode().split())), self.type)
 
 
-def _store(path: str) -> tuple[pa.fs.FileSystem, str]:
-    if "://" in path or path.startswith("file:"):
-        return pa.fs.FileSystem.from_uri(path)
-    return pa.fs.LocalFileSystem(), path
-
-
 def sequence_schema(kind: np.dtype, length: int) -> pa.Schema:
-    return pa.schema([("ids", pa.list_(pa.from_numpy_dtype(kind), length)), ("mask", pa.list_(pa.bool_(), length))])
+    """Masks are bytes, 1 for an id and 0 for filling: a list of bits would have to be copied to be used."""
+    return pa.schema([("ids", pa.list_(pa.from_numpy_dtype(kind), length)), ("mask", pa.list_(pa.uint8(), length))])
 
 
 class SequenceWriter:
-    """Packs ids into sequences of `length`, the last filled up with mask false; one batch in memory at a time."""
+    """Packs ids into sequences of `length`, the last filled up with mask 0; one batch in memory at a time."""
 
     def __init__(self, path: str, kind: np.dtype, length: int):
-        store, place = _store(path)
+        store, place = store_of(path)
         self.file = store.open_output_stream(place)
         self.length, self.kind = length, kind
         self.schema = sequence_schema(kind, length)
@@ -87,7 +81,7 @@ class SequenceWriter:
         self.held, self.n_held = [], 0
 
     def _write(self, ids: np.ndarray, real: int) -> None:
-        mask = np.arange(len(ids)) < real
+        mask = (np.arange(len(ids)) < real).astype(np.uint8)
         columns = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (ids, mask)]
         self.out.write_batch(pa.record_batch(columns, schema=self.schema))
 
@@ -117,7 +111,8 @@ def write_sequences(documents: DataFrame, folder: str | None = None, path: str =
                     length: int = LENGTH, parts: int | None = None) -> DataFrame:
     """Encode `documents` and write one pair of files for each range of doc_id; returns the manifest.
 
-    A range's ids stand in a row in ascending doc_id order (nulls first, equal ids by text),
+    A range's ids stand in a row in ascending doc_id order (nulls first, equal ids by text;
+    ranges are of both, so many rows of one id or without id are several ranges),
     each document ended by `end`, cut into sequences of `length` ids of which only the
     file's last is filled up. `sequences` is an Arrow file of fixed-size lists: sequence n is
     row n % 256 of record batch n // 256, found through the footer without reading others.
@@ -128,8 +123,8 @@ def write_sequences(documents: DataFrame, folder: str | None = None, path: str =
     """
     spark = documents.sparkSession
     prepare(spark)
-    folder = folder or scratch_folder(spark, "sequences")
-    store, place = _store(folder)
+    folder = qualified(spark, folder or scratch_folder(spark, "sequences"))
+    store, place = store_of(folder)
     store.create_dir(place, recursive=True)
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -143,7 +138,7 @@ def write_sequences(documents: DataFrame, folder: str | None = None, path: str =
                 continue
             if out is None:
                 out = SequenceWriter(names[0], encoder.type, length)
-                store, place = _store(names[1])
+                store, place = store_of(names[1])
                 index_file = store.open_output_stream(place)
                 index = pa.ipc.new_file(index_file, DOCUMENTS)
             counts = []
@@ -161,21 +156,21 @@ def write_sequences(documents: DataFrame, folder: str | None = None, path: str =
             index_file.close()
             yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "sequences": [names[0]], "documents": [names[1]],
                                               "n_documents": [n_documents], "n_tokens": [start]})
-    ordered = documents.select("doc_id", "text").repartitionByRange(parts, "doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = documents.select("doc_id", "text").repartitionByRange(parts, "doc_id", "text").sortWithinPartitions("doc_id", "text")
     return settled(ordered.mapInArrow(write, MANIFEST), "manifest")
 
 
 def open_file(path: str) -> pa.ipc.RecordBatchFileReader:
     """A file on local or mounted storage is mapped, so that reading copies nothing; others are read through Arrow."""
-    store, place = _store(path)
+    store, place = store_of(path)
     return pa.ipc.open_file(pa.memory_map(place) if isinstance(store, pa.fs.LocalFileSystem) else store.open_input_file(place))
 
 
 def sequence(file: pa.ipc.RecordBatchFileReader, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and mask of the n-th sequence: the ids are a view of the file."""
+    """Ids and mask of the n-th sequence, both views of the file."""
     batch = file.get_batch(n // BATCH)
     return (batch.column("ids")[n % BATCH].values.to_numpy(),
-            batch.column("mask")[n % BATCH].values.to_numpy(zero_copy_only=False))
+            batch.column("mask")[n % BATCH].values.to_numpy())
 
 
 def read_documents(manifest: DataFrame) -> DataFrame:
