@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 
 from murmur.llm.common import prepare
 
-#: Characters of an n-gram, and the counters n-grams are hashed to; a model is 4 * 2 ** BUCKET_BITS bytes a language.
+#: Characters of an n-gram, and the counters n-grams are hashed to; a model is 8 * 2 ** BUCKET_BITS bytes a language.
 ORDERS, BUCKET_BITS = (2, 3), 16
+#: Languages of a model at most: counters of more don't fit the driver.
+LANGUAGES = 256
 #: Characters whose n-grams are in memory at a time.
 STRIP = 1 << 20
 #: Added to every count of the model.
@@ -27,13 +29,18 @@ UNKNOWN = "und"
 PREDICTION = "lang_pred string, score double, languages array<string>, shares array<double>"
 
 
-def grams(text: str) -> np.ndarray:
-    """Hashed n-grams of the whole text, letters lower-cased and whatever is between words as one blank."""
+def letters(text: str) -> np.ndarray:
+    """The text's code points, letters lower-cased and whatever is between words as one blank."""
     words = "".join([c if c.isalpha() else " " for c in text.lower()]) if not text.isascii() else text.lower().translate(_BLANKED)
-    code = np.frombuffer((" " + " ".join(words.split()) + " ").encode("utf-32-le"), "<u4").astype(np.uint64)
-    out = []
+    return np.frombuffer((" " + " ".join(words.split()) + " ").encode("utf-32-le"), "<u4")
+
+
+def grams(code: np.ndarray, first: int | None = None) -> np.ndarray:
+    """Hashed n-grams of code points: those that begin within the `first` ones."""
+    code, out = code.astype(np.uint64), []
     for order in ORDERS:
-        h = np.zeros(max(len(code) - order + 1, 0), np.uint64)
+        n = max(len(code) - order + 1, 0)
+        h = np.zeros(n if first is None else min(n, first), np.uint64)
         for k in range(order):
             h = (h ^ code[k:k + len(h)]) * np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(29)
@@ -42,12 +49,16 @@ def grams(text: str) -> np.ndarray:
 
 
 def gram_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """The buckets of the whole text and how often each occurs; a very long text is counted strip by strip."""
-    if len(text) <= STRIP:
-        return np.unique(grams(text), return_counts=True)
+    """The buckets of the whole text and how often each occurs.
+
+    A very long text is counted strip by strip; a strip sees the characters after it that its last n-grams reach.
+    """
+    code = letters(text)
+    if len(code) <= STRIP:
+        return np.unique(grams(code), return_counts=True)
     counts = np.zeros(1 << BUCKET_BITS, np.int64)
-    for at in range(0, len(text), STRIP):
-        counts += np.bincount(grams(text[at:at + STRIP]), minlength=1 << BUCKET_BITS)
+    for at in range(0, len(code), STRIP):
+        counts += np.bincount(grams(code[at:at + STRIP + max(ORDERS) - 1], STRIP), minlength=1 << BUCKET_BITS)
     used = np.flatnonzero(counts)
     return used, counts[used]
 
@@ -99,9 +110,13 @@ def train(labelled: DataFrame) -> Model:
     """A model from all rows (text, lang); rows without text or lang teach nothing.
 
     Each task counts buckets for each language, Spark adds them up, and only the sums, a
-    fixed number for a language, come to the driver.
+    fixed number for a language, come to the driver. More than LANGUAGES values of lang are
+    an error: such a column holds something else.
     """
     prepare(labelled.sparkSession)
+    n = labelled.select("lang").dropna().distinct().count()
+    if n > LANGUAGES:
+        raise ValueError(f"lang has {n} values, a model holds {LANGUAGES}")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -127,7 +142,7 @@ def predict(frame: DataFrame, model: Model, text: Column) -> Column:
     """lang_pred, score, languages and shares of a text.
 
     `und` with score 0 for a null text or one without a letter, or if nothing was learned.
-    The whole text counts; equal texts are alike whatever their other columns.
+    The whole text counts, whatever its length; equal texts are alike whatever their other columns.
     """
     prepare(frame.sparkSession)
     shared = frame.sparkSession.sparkContext.broadcast(model)

@@ -76,7 +76,8 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    # A document without an id is none of those held out.
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
     model = languages.train(docs.where(~held_out))
     told = docs.select("doc_id", held_out.alias("held_out"), languages.predict(docs, model, F.col("text")).alias("p"))
     return told.select("doc_id", "held_out", "p.lang_pred", "p.score", F.array_join("p.languages", ",").alias("languages"))
