@@ -9,7 +9,7 @@ from murmur.llm.common import ascii_words, bind, fresh, gram_text, row_key, same
 
 #: Words of a window; an item of fewer words is one window.
 WINDOW = 10
-#: Bytes of benchmark windows that may be broadcast; beyond it the same join shuffles.
+#: Bytes of benchmark windows that may be broadcast; beyond it the windows' hashes are shuffled.
 BROADCAST_BYTES = 64 << 20
 
 
@@ -36,7 +36,9 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     """Hits: k1, k2 (see `row_key`), pos, length, gram, for every document window that is a benchmark window.
 
     Window texts are compared by hash in the join and then word for word. The set of
-    benchmark windows is broadcast if its measured bytes allow, else the join shuffles.
+    benchmark windows is broadcast if its measured bytes allow. Else only places and hashes
+    of windows are shuffled, and the words of those texts alone that have a window of a
+    benchmark hash; the rows are the same.
     """
     windows, _ = item_windows(benchmark, window)
     grams = windows.select("length", "gram").distinct()
@@ -45,11 +47,16 @@ def find_leaks(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
     keyed = documents.select(*row_key(F.col("doc_id"), F.col("text")), ascii_words(F.col("text")).alias("words"))
     scanned = word_windows(keyed, ["k1", "k2"], "words", lengths)
     targets = grams.select(F.col("gram").alias("target"), window_hash(F.split("gram", " "), lengths).alias("code"))
-    if sum(r["bytes"] for r in known) <= broadcast_bytes:
-        targets = F.broadcast(targets)
     gram = gram_text(F.col("words"), F.col("pos"), F.col("length"))
-    found = (F.col("h") == F.col("code")) & same_text(gram, F.col("target"))
-    return scanned.join(targets, found).select("k1", "k2", "pos", "length", F.col("target").alias("gram"))
+    if sum(r["bytes"] for r in known) <= broadcast_bytes:
+        found = (F.col("h") == F.col("code")) & same_text(gram, F.col("target"))
+        return scanned.join(F.broadcast(targets), found).select("k1", "k2", "pos", "length", F.col("target").alias("gram"))
+    targets = settled(targets, "targets")
+    likely = settled(scanned.select("k1", "k2", "pos", "length", "h").join(targets, F.col("h") == F.col("code"))
+                     .select("k1", "k2", "pos", "length", "target"), "likely")
+    texts = settled(keyed.join(likely.select("k1", "k2").distinct(), ["k1", "k2"], "left_semi").dropDuplicates(["k1", "k2"]), "texts")
+    return likely.join(texts, ["k1", "k2"]).where(gram == F.col("target")).select(
+        "k1", "k2", "pos", "length", F.col("target").alias("gram")).distinct()
 
 
 def covered(spans: Column) -> Column:
