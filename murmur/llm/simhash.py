@@ -256,5 +256,5 @@ def drop_near_duplicates(documents: DataFrame, shingle: int = SHINGLE, max_bits:
     names = [fresh(documents, n) for n in ("_k1", "_k2")]
     keys = [k.alias(n) for k, n in zip(row_key(F.col("doc_id"), F.col("text")), names)]
     groups = group_near_duplicates(documents, shingle, max_bits, *keys)
-    keep = groups.where("doc_id <=> component_id").select(*names).distinct().hint("shuffle_hash")
+    keep = groups.where("doc_id <=> component_id").select(*names).distinct()
     return documents.select("*", *keys).join(keep, names, "left_semi").select(*documents.columns)
