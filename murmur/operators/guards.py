@@ -1,24 +1,29 @@
 """Rate limits, sign-in bursts and lock-outs over a log of attempts.
 
 Times are whole seconds. A user may own a third of the log, so attempts are first
-summed per user and second. What is then sequential walks over at most one row per
-second of the log's span, and only within stretches whose start state is known.
+summed per user and second. What is then sequential runs over at most one row per
+second of the log's span, only within stretches whose start state is known, and within
+these in blocks of time that run at the same time; see `machines`.
 """
 
 from __future__ import annotations
 
-from collections import deque
-from collections.abc import Callable, Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from murmur import settings as S
+from murmur.functions.text import bind
+from murmur.operators.machines import Rule, run_rule
 from murmur.operators.spans import last_seen, running_max, sliding_sum
 
 FAR = 1 << 40
+#: Seconds of a block, drawn up to a whole number of the rule's own spans: a steady key then meets each block alike.
+BLOCK = 86_400
+
+
+def _block(seconds: int) -> int:
+    return -(-BLOCK // seconds) * seconds
 
 
 def per_second(log: DataFrame, key: str) -> DataFrame:
@@ -67,28 +72,39 @@ def _stretches(seen: DataFrame, limit: int, span: int) -> DataFrame:
     return marked.select("key", "second", "attempts", stretch.alias("stretch"))
 
 
-def _walk(stretches: DataFrame, walker: Callable, schema: str) -> DataFrame:
-    """Feed each stretch's rows in order of time to a fresh `walker()`; yield what it returns.
+HELD = "struct<stretch:bigint,held:array<struct<second:bigint,n:bigint>>>"
 
-    Sorted partitions are read batch by batch, so a stretch is never held whole, and
-    many short ones cost no more than one long one.
-    """
-    names = [c.split()[0] for c in schema.split(", ")]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, step = None, None
-        for pdf in batches:
-            rows = []
-            for row in pdf.itertuples(index=False):
-                if (row.key, row.stretch) != current:
-                    current, step = (row.key, row.stretch), walker()
-                found = step(row)
-                if found is not None:
-                    rows.append((row.key, row.second, *found))
-            yield pd.DataFrame(rows, columns=names)
+def _limiter(limit: int, seconds: int) -> Rule:
+    """The sliding limiter: its state is what it admitted in the span, refused attempts are not in it."""
+    def state(stretch: Column, held: Column) -> Column:
+        return F.struct(stretch.alias("stretch"), held.alias("held")).cast(HELD)
+
+    def held_at(s: Column, row: Column) -> Column:
+        fresh = F.filter(s["held"], lambda x: row["second"] - x["second"] < seconds)
+        return F.when(s["stretch"] == row["stretch"], fresh).otherwise(F.array().cast("array<struct<second:bigint,n:bigint>>"))
 
-    ordered = stretches.repartition("key", "stretch").sortWithinPartitions("key", "stretch", "second")
-    return ordered.mapInPandas(run, schema)
+    def step(s: Column, row: Column) -> Column:
+        def admitted(held: Column) -> Column:
+            used = F.aggregate(held, F.lit(0).cast("bigint"), lambda n, x: n + x["n"])
+            return F.least(row["attempts"], F.lit(limit).cast("bigint") - used)
+
+        def told(x: Column) -> Column:
+            more = F.array(F.struct(row["second"].alias("second"), x["n"].alias("n")))
+            refused = F.array(F.struct(row["second"].alias("second"), row["attempts"].alias("attempts"), (row["attempts"] - x["n"]).alias("refused")))
+            return F.struct(state(row["stretch"], F.when(x["n"] > 0, F.concat(x["held"], more)).otherwise(x["held"])).alias("state"),
+                            F.when(row["attempts"] > x["n"], refused).otherwise(F.array().cast(REFUSALS)).alias("out"))
+        return bind(held_at(s, row), lambda held: bind(F.struct(held.alias("held"), admitted(held).alias("n")), told))
+    def apart(a: Column, b: Column) -> Column:
+        return F.when((a["stretch"] == b["stretch"]) & (F.size(a["held"]) == F.size(b["held"])), F.aggregate(
+            F.zip_with(a["held"], b["held"], lambda x, y: F.abs(x["second"] - y["second"])), F.lit(0).cast("bigint"), lambda n, x: n + x))
+    return Rule(
+        start=state(F.lit(None), F.array()), step=step, apart=apart,
+        enter=lambda s, first: bind(held_at(s, first), lambda held: state(F.when(F.size(held) > 0, s["stretch"]), held)),
+        moved=lambda s, by: state(s["stretch"], F.transform(s["held"], lambda x: F.struct((x["second"] + by).alias("second"), x["n"].alias("n")))))
+
+
+REFUSALS = "array<struct<second:bigint,attempts:bigint,refused:bigint>>"
 
 
 def sliding_window_refusals(log: DataFrame, key: str, limit: int = S.SIGNUP_LIMIT[0],
@@ -97,23 +113,8 @@ def sliding_window_refusals(log: DataFrame, key: str, limit: int = S.SIGNUP_LIMI
 
     For sign-in bursts pass the log of failed attempts: only those are recorded.
     """
-    def limiter():
-        recent: deque[tuple[int, int]] = deque()
-        held = 0
-
-        def step(row):
-            nonlocal held
-            while recent and row.second - recent[0][0] >= seconds:
-                held -= recent.popleft()[1]
-            admitted = min(row.attempts, limit - held)
-            if admitted:
-                recent.append((row.second, admitted))
-                held += admitted
-            return (row.attempts, row.attempts - admitted) if row.attempts > admitted else None
-        return step
-
-    return _walk(_stretches(per_second(log, key), limit, seconds - 1), limiter,
-                 "key STRING, second BIGINT, attempts BIGINT, refused BIGINT")
+    walked = _stretches(per_second(log, key), limit, seconds - 1)
+    return run_rule(walked, _limiter(limit, seconds), REFUSALS, _block(seconds))
 
 
 def outcome_seconds(log: DataFrame, key: str, order: str, failed: Column) -> DataFrame:
@@ -143,27 +144,65 @@ def lockouts(log: DataFrame, key: str, order: str, failed: Column,
     the next failure locks again; a success resets it. A success with no failure in
     the span before it is surely let through, which makes it a safe cut.
     """
-    def account():
-        counter, until = 0, -1
-
-        def step(row):
-            nonlocal counter, until
-            if row.second < until:
-                return None
-            if row.lead and counter + row.lead >= failures:
-                counter = max(counter + 1, failures)
-            elif row.lead < row.attempts and row.longest >= failures:
-                counter = failures
-            else:
-                counter = row.tail + (counter if row.lead == row.attempts else 0)
-                return None
-            until = row.second + seconds
-            return until, counter
-        return step
-
     seen = outcome_seconds(log, key, order, failed)
     recent = last_seen(seen, ["key"], "second", seconds - 1, F.col("failures") > 0, "before", strict=True)
     cut = F.when((F.col("lead") == 0) & F.col("before").isNull(), F.col("second"))
     stretches = running_max(recent, ["key"], "second", cut, "stretch").fillna(-1, ["stretch"])
-    return _walk(stretches, account,
-                 "key STRING, locked_at BIGINT, locked_until BIGINT, failures BIGINT")
+    rows = stretches.select("key", "second", "attempts", "lead", "longest", "tail", "stretch")
+    return run_rule(rows, _account(failures, seconds), LOCKS, _block(seconds))
+
+
+LOCKS = "array<struct<locked_at:bigint,locked_until:bigint,failures:bigint>>"
+ACCOUNT = "struct<stretch:bigint,counter:bigint,until:bigint,extra:bigint,reset:boolean>"
+
+
+def _account(failures: int, seconds: int) -> Rule:
+    """An account's failure counter and lock.
+
+    From `failures` on, how high the counter is changes nothing but what is reported, so it
+    counts up to there and `extra` beyond; `reset` tells that this no longer adds to what an
+    earlier block brought.
+    """
+    def state(stretch, counter, until, extra, reset) -> Column:
+        return F.struct(stretch.alias("stretch"), counter.alias("counter"), until.alias("until"), extra.alias("extra"),
+                        reset.alias("reset")).cast(ACCOUNT)
+    none, no, yes = F.lit(-1), F.lit(False), F.lit(True)
+
+    def current(s: Column, row: Column) -> Column:
+        return F.when(s["stretch"] == row["stretch"], s).otherwise(state(row["stretch"], F.lit(0), none, F.lit(0), yes))
+
+    def step(before: Column, row: Column) -> Column:
+        def told(s: Column) -> Column:
+            until = row["second"] + seconds
+            again = s["counter"] >= failures
+            by_lead = (row["lead"] > 0) & (s["counter"] + row["lead"] >= failures)
+            by_later = (row["lead"] < row["attempts"]) & (row["longest"] >= failures)
+            full = F.lit(failures)
+            unbroken = row["lead"] == row["attempts"]
+            after = (F.when(row["second"] < s["until"], s)
+                     .when(by_lead, state(s["stretch"], full, until, F.when(again, s["extra"] + 1).otherwise(0), s["reset"] | ~again))
+                     .when(by_later, state(s["stretch"], full, until, F.lit(0), yes))
+                     .otherwise(state(s["stretch"], row["tail"] + F.when(unbroken, s["counter"]).otherwise(0), none, F.lit(0), yes)))
+            locked = (row["second"] >= s["until"]) & (by_lead | by_later)
+            return bind(after, lambda a: F.struct(a.alias("state"), F.when(locked, F.array(F.struct(
+                row["second"].alias("locked_at"), until.alias("locked_until"), (a["counter"] + a["extra"]).alias("failures"))).cast(LOCKS))
+                .otherwise(F.array().cast(LOCKS)).alias("out")))
+        return bind(current(before, row), told)
+
+    def alone(s: Column) -> Column:
+        return state(s["stretch"], s["counter"], s["until"], F.lit(0), no)
+
+    def enter(s: Column, first: Column) -> Column:
+        until = F.when(s["until"] > first["second"], s["until"]).otherwise(-1)
+        seen = state(s["stretch"], s["counter"], until, s["extra"], no)
+        nothing = (s["stretch"] != first["stretch"]) | s["stretch"].isNull() | ((until < 0) & (s["counter"] == 0))
+        return F.when(nothing, start).otherwise(seen)
+    start = state(F.lit(None), F.lit(0), none, F.lit(0), no)
+    def apart(a: Column, b: Column) -> Column:
+        same = (a["stretch"] == b["stretch"]) & (a["counter"] == b["counter"]) & (a["until"] > 0) & (b["until"] > 0)
+        return F.when(same, F.abs(a["until"] - b["until"]))
+    return Rule(
+        start=start, step=step, enter=enter, alone=alone, apart=apart,
+        moved=lambda s, by: state(s["stretch"], s["counter"], F.when(s["until"] > 0, s["until"] + by).otherwise(-1), s["extra"], no),
+        joined=lambda s, end: state(end["stretch"], end["counter"], end["until"],
+                                    end["extra"] + F.when(end["reset"], 0).otherwise(s["extra"]), no))
