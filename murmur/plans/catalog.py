@@ -22,7 +22,7 @@ from murmur.plans.mentions import (documents, events, few_with_tweet, lexicon, m
                                    table, with_document, with_tweet)
 from murmur.session import scratch_folder, settle, spread
 from murmur.sources import files, history, normalise
-from murmur.streaming import ingest, jobs, sinks
+from murmur.streaming import ingest, jobs, limits, sinks
 
 # The driver's events are sparse: an hour holds about as many as a live minute does.
 HOUR = 3600
@@ -1078,6 +1078,43 @@ def st3_stream_alerts(spark, sf):
     return alert_ops.fold_alert_log(log).select("alert_id", "title", "detail", "severity", "status")
 
 
+def event_chunks(spark, sf):
+    """The log of attempts in six frames of some days each."""
+    rows = settle(events(spark, sf).select("mention_id", "timestamp", "username", "brand"))
+    day = F.datediff(F.to_date("timestamp"), F.to_date(F.lit("2024-01-01")))
+    part = F.least(F.greatest(F.floor(day / 5), F.lit(0)), F.lit(5))
+    return [rows.filter(part == n) for n in range(6)]
+
+
+def kept_of_stream(spark, sf, name, rule):
+    """What a keyed rule reports over six batches, each by a query restarted from its checkpoint."""
+    base = scratch_folder(spark, name)
+    with limits.keyed_state(spark):
+        run_in_chunks(spark, event_chunks(spark, sf), lambda stream: (
+            rule(stream).writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/checkpoint")
+            .trigger(**ONCE).start()))
+    return spark.read.parquet(f"{base}/out")
+
+
+@query
+def r5_stream(spark, sf):
+    """The sliding limiter live; the batch job must give the same."""
+    found = kept_of_stream(spark, sf, "r5", lambda log: limits.sliding_refusals(log, "username", 3, 86_400))
+    return found.groupBy("key", "second").agg(F.sum("attempts").alias("attempts"), F.sum("refused").alias("refused"))
+
+
+@query
+def r6_stream(spark, sf):
+    found = kept_of_stream(spark, sf, "r6", lambda log: limits.sliding_refusals(log.filter("brand = 'error'"), "username", 2, 432_000))
+    return found.groupBy("key", "second").agg(F.sum("attempts").alias("attempts"), F.sum("refused").alias("refused"))
+
+
+@query
+def r7_stream(spark, sf):
+    """Lock-outs live; the batch job must give the same."""
+    return kept_of_stream(spark, sf, "r7", lambda log: limits.locks(log, "username", "mention_id", F.col("brand") != "signup", 5, 86_400))
+
+
 @query
 def k5_export_csv(spark, sf):
     path = scratch_folder(spark, "k5")

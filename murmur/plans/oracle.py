@@ -429,6 +429,9 @@ SQL = {
     "r5_sliding_exact": per_second_limiter("true", 3, 86_400),
     "r6_login_burst": per_second_limiter("event_type = 'error'", 2, 432_000),
     "r7_lockout_intervals": LOCKS,
+    "r5_stream": per_second_limiter("true", 3, 86_400),
+    "r6_stream": per_second_limiter("event_type = 'error'", 2, 432_000),
+    "r7_stream": LOCKS,
     "s2_csv_detect_headerless": RAW,
     "s2_csv_detect_header": RAW,
     "s2_csv_to_messages": """SELECT key, md5(t) AS digest, brand, 'community' AS username, '2024-01-01T00:00:00.000000+00:00' AS produced_at FROM (
