@@ -1,14 +1,18 @@
-"""Isolation forest over window metrics (Liu, Ting, Zhou 2008).
+"""Isolation forest over window metrics (Liu, Ting, Zhou 2008), for the latest window or for each.
 
-Trees are grown from samples of fixed size, one group per tree; the forest has a
-fixed number of nodes, so it travels to the scoring tasks whole. The windows stay
-distributed throughout.
+A window is scored by a forest fitted on the windows before it. All that is drawn comes
+from digests: a tree's sample of the first p windows is those of the smallest digests of
+(seed, tree, rank), so it changes by single windows as p grows, and a node's feature and cut
+come from (seed, tree, node). A score depends on nothing else, so a repeated task, another
+engine or a later run gives the same. Of a tree only the path of the scored window is grown.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 from collections.abc import Iterator
+from heapq import heappush, heappushpop
 
 import numpy as np
 import pandas as pd
@@ -20,7 +24,8 @@ from murmur.functions.display import iso_utc
 from murmur.operators.spans import calendar_rank
 
 FEATURES = ["volume", "mean_polarity", "negative_ratio"]
-NODE = "tree INT, node INT, feature INT, cut DOUBLE, depth INT, size INT"
+#: Bits of a digest that count.
+BITS = 52
 
 
 def average_path(size):
@@ -31,102 +36,118 @@ def average_path(size):
     return np.where(n <= 1, 0.0, np.where(n == 2, 1.0, long))
 
 
-def _samples(n: int, trees: int, sample: int, seed: int):
-    """`sample` distinct ranks of 1..n for each tree."""
-    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for tree in pdf["tree"]:
-                rng = np.random.default_rng([seed, int(tree)])
-                size = min(sample, n)
-                if n <= 4 * sample:
-                    ranks = rng.permutation(n)[:size]
-                else:
-                    ranks = np.array([], dtype=np.int64)
-                    while len(ranks) < size:
-                        ranks = np.unique(np.append(ranks, rng.integers(0, n, size - len(ranks))))
-                yield pd.DataFrame({"tree": np.int32(tree), "rank": ranks.astype(np.int64) + 1})
-    return draw
-
-
-def _grow(sample: int, seed: int):
-    def grow(pdf: pd.DataFrame) -> pd.DataFrame:
-        tree = int(pdf["tree"].iat[0])
-        rng = np.random.default_rng([seed, tree, 1])
-        points = pdf.sort_values("rank")[FEATURES].to_numpy(dtype=float)
-        limit = math.ceil(math.log2(max(2, min(sample, len(points)))))
-        rows, todo = [], [(1, points, 0)]
-        while todo:
-            node, here, depth = todo.pop()
-            low, high = here.min(axis=0), here.max(axis=0)
-            usable = np.flatnonzero(high > low)
-            if depth >= limit or len(here) <= 1 or not len(usable):
-                rows.append((tree, node, -1, 0.0, depth, len(here)))
-                continue
-            feature = int(rng.choice(usable))
-            cut = float(rng.uniform(low[feature], high[feature]))
-            left = here[:, feature] <= cut
-            rows.append((tree, node, feature, cut, depth, len(here)))
-            todo += [(2 * node, here[left], depth + 1), (2 * node + 1, here[~left], depth + 1)]
-        return pd.DataFrame(rows, columns=["tree", "node", "feature", "cut", "depth", "size"])
-    return grow
-
-
-def grow_forest(windows: DataFrame, n: int, trees: int = S.FOREST_TREES, sample: int = S.FOREST_SAMPLE,
-                seed: int = S.FOREST_SEED) -> DataFrame:
-    """Nodes of a forest fitted on `windows` (rank 1..n and the features)."""
-    picks = (windows.sparkSession.range(trees).select(F.col("id").cast("int").alias("tree"))
-             .mapInPandas(_samples(n, trees, sample, seed), "tree INT, rank BIGINT"))
-    # At most trees x sample rows, whatever the number of windows.
-    points = windows.select("rank", *FEATURES).join(F.broadcast(picks), "rank")
-    return points.groupBy("tree").applyInPandas(_grow(sample, seed), NODE)
-
-
-def isolation_scores(windows: DataFrame, forest: DataFrame, sample_size: int) -> DataFrame:
-    """`windows` with isolation_score: 2^(-mean depth / expected depth) - 0.5."""
-    # At most trees x (2 x sample) nodes.
-    nodes = forest.toPandas()
-    shape = (int(nodes["tree"].max()) + 1, int(nodes["node"].max()) + 1)
-    feature, cut, leaf = np.full(shape, -1), np.zeros(shape), np.zeros(shape)
-    at = (nodes["tree"].to_numpy(), nodes["node"].to_numpy())
-    feature[at], cut[at] = nodes["feature"], nodes["cut"]
-    leaf[at] = nodes["depth"] + average_path(nodes["size"])
-    expected = float(average_path(sample_size))
+def digest(*parts) -> int:
+    """The first 52 bits of the digest of the parts, joined by colons."""
+    return int(hashlib.md5(":".join(map(str, parts)).encode()).hexdigest()[:BITS // 4], 16)
 
-    @F.pandas_udf("double")
-    def score(volume: pd.Series, polarity: pd.Series, negative: pd.Series) -> pd.Series:
-        points = np.column_stack([volume, polarity, negative]).astype(float)
-        total = np.zeros(len(points))
-        for tree in range(shape[0]):
-            node = np.ones(len(points), dtype=int)
-            while True:
-                f = feature[tree, node]
-                inner = np.flatnonzero(f >= 0)
-                if not len(inner):
-                    break
-                right = points[inner, f[inner]] > cut[tree, node[inner]]
-                node[inner] = 2 * node[inner] + right
-            total += leaf[tree, node]
-        return pd.Series(np.exp2(-total / shape[0] / expected) - 0.5)
-
-    return windows.withColumn("isolation_score", score(*FEATURES))
-
-
-def latest_isolation(metrics: DataFrame, seconds: int = S.WINDOW_SECONDS, trees: int = S.FOREST_TREES,
-                     sample: int = S.FOREST_SAMPLE, seed: int = S.FOREST_SEED) -> DataFrame:
-    """The latest window with its score by a forest fitted on all windows before it.
-
-    With fewer than FOREST_MIN_WINDOWS windows the score is 0. The metrics are read
-    several times: settle the facts they come from.
+
+def sampled(windows: DataFrame, n: int, trees: int, sample: int, seed: int) -> DataFrame:
+    """(tree, rank, until): the windows 1..n that are ever among the `sample` smallest digests of a prefix.
+
+    A window enters with its own rank and is out from the prefix `until` on. A tree needs
+    nothing of the windows but their number; it keeps `sample` digests and yields, as
+    digests are drawn evenly, about sample x (1 + ln(n / sample)) rows.
     """
-    metrics = metrics.select("window_start", *FEATURES)
+    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for tree in (int(t) for pdf in batches for t in pdf["tree"]):
+            held: list[tuple[int, int]] = []  # the largest digest first
+            rows = []
+            for rank in range(1, n + 1):
+                entry = (-digest(seed, tree, rank), -rank)
+                if len(held) < sample:
+                    heappush(held, entry)
+                elif entry > held[0]:
+                    rows.append((tree, -heappushpop(held, entry)[1], rank))
+            rows += [(tree, -rank, n + 1) for _, rank in held]
+            yield pd.DataFrame(rows, columns=["tree", "rank", "until"])
+    spark = windows.sparkSession
+    parts = min(trees, spark.sparkContext.defaultParallelism)
+    return spark.range(0, trees, 1, parts).select(F.col("id").cast("int").alias("tree")).mapInPandas(draw, "tree INT, rank BIGINT, until BIGINT")
+
+
+class Forest:
+    """The windows any tree ever samples, and each node's draws."""
+
+    def __init__(self, points: pd.DataFrame, trees: int, sample: int, seed: int):
+        points = points.sort_values(["tree", "rank"])
+        counts = np.bincount(points["tree"], minlength=trees)
+        place = (points["tree"].to_numpy(), np.arange(len(points)) - np.repeat(np.cumsum(counts) - counts, counts))
+        shape = (trees, int(counts.max()))
+        self.rank, self.until = np.full(shape, np.iinfo(np.int64).max), np.zeros(shape, np.int64)
+        self.values = np.zeros((*shape, len(FEATURES)))
+        self.rank[place], self.until[place] = points["rank"], points["until"]
+        self.values[place] = points[FEATURES].to_numpy(float)
+        depth = math.ceil(math.log2(max(2, sample)))
+        draws = [[[digest(seed, t, node, what) / 2 ** BITS for node in range(1 << depth)] for t in range(trees)] for what in "fc"]
+        self.choice, self.cut = np.array(draws)
+        self.trees, self.sample = trees, sample
+
+    def score(self, rank: int, point: np.ndarray) -> float:
+        """2^(-mean depth / expected depth) - 0.5 of a window by the windows before it, along its path in all trees at a time."""
+        size = min(self.sample, rank - 1)
+        inside = (self.rank < rank) & (self.until >= rank)
+        points = self.values[inside].reshape(self.trees, size, len(FEATURES))
+        here = np.ones((self.trees, size), bool)
+        node, depth, every = np.ones(self.trees, int), np.zeros(self.trees), np.arange(self.trees)
+        growing = np.ones(self.trees, bool)
+        for _ in range(math.ceil(math.log2(max(2, size)))):
+            low = np.where(here[:, :, None], points, np.inf).min(1)
+            high = np.where(here[:, :, None], points, -np.inf).max(1)
+            usable = high > low
+            n = usable.sum(1)
+            growing &= (n > 0) & (here.sum(1) > 1)
+            if not growing.any():
+                break
+            nth = np.floor(self.choice[every, node] * n)
+            feature = (usable & (np.cumsum(usable, 1) - 1 == nth[:, None])).argmax(1)
+            lowest = low[every, feature]
+            cut = lowest + self.cut[every, node] * (high[every, feature] - lowest)
+            left = point[feature] <= cut
+            side = (points[every, :, feature] <= cut[:, None]) == left[:, None]
+            here = np.where(growing[:, None], here & side, here)
+            node = np.where(growing, 2 * node + ~left, node)
+            depth = depth + growing
+        path = float((depth + average_path(here.sum(1))).sum())
+        return float(np.exp2(-path / self.trees / float(average_path(size))) - 0.5)
+
+
+def ranked_windows(metrics: DataFrame, seconds: int) -> DataFrame:
     position = F.floor(F.unix_timestamp("window_start") / seconds)
-    ranked = calendar_rank(metrics.withColumn("_pos", position), "_pos").drop("_pos")
+    return calendar_rank(metrics.select("window_start", *FEATURES).withColumn("_pos", position), "_pos").drop("_pos")
+
+
+def isolation_scores(metrics: DataFrame, seconds: int = S.WINDOW_SECONDS, latest: bool = False, trees: int = S.FOREST_TREES,
+                     sample: int = S.FOREST_SAMPLE, seed: int = S.FOREST_SEED, only: DataFrame | None = None) -> DataFrame:
+    """Windows with their rank and isolation_score by the windows before them.
+
+    All windows, only the last one if `latest`, or those of column window_start in `only`.
+
+    With fewer than FOREST_MIN_WINDOWS windows up to it, itself included, a window's score is
+    0. What travels to the scoring tasks are the windows that any tree ever samples: for the
+    latest window trees x sample of them at most, for all a logarithm of their number times as
+    many. The metrics are read several times: settle the facts they come from.
+    """
+    ranked = ranked_windows(metrics, seconds)
     n = ranked.agg(F.coalesce(F.max("rank"), F.lit(0))).first()[0]
-    last = ranked.filter(F.col("rank") == n)
+    wanted = ranked.filter(F.col("rank") == n) if latest else ranked if only is None else ranked.join(only, "window_start", "left_semi")
     if n < S.FOREST_MIN_WINDOWS:
-        return last.withColumn("isolation_score", F.lit(0.0))
-    forest = grow_forest(ranked.filter(F.col("rank") < n), n - 1, trees, sample, seed)
-    return isolation_scores(last, forest, min(sample, n - 1))
+        return wanted.withColumn("isolation_score", F.lit(0.0))
+    picks = sampled(metrics, n - 1, trees, sample, seed)
+    if latest:
+        picks = picks.filter(F.col("until") == n)
+    points = picks.join(ranked, "rank").select("tree", "rank", "until", *FEATURES).toPandas()
+    forest = metrics.sparkSession.sparkContext.broadcast(Forest(points, trees, sample, seed))
+
+    @F.pandas_udf("double")
+    def score(rank: pd.Series, volume: pd.Series, polarity: pd.Series, negative: pd.Series) -> pd.Series:
+        points = np.column_stack([volume, polarity, negative]).astype(float)
+        return pd.Series([forest.value.score(r, p) if r >= S.FOREST_MIN_WINDOWS else 0.0 for r, p in zip(rank.tolist(), points)], dtype=float)
+    return wanted.withColumn("isolation_score", score("rank", *FEATURES))
+
+
+def latest_isolation(metrics: DataFrame, seconds: int = S.WINDOW_SECONDS, **forest) -> DataFrame:
+    """The latest window with its score by a forest fitted on all windows before it; see `isolation_scores`."""
+    return isolation_scores(metrics, seconds, True, **forest)
 
 
 def isolation_alerts(scored: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from murmur.functions.fixed import plain
 from murmur.operators import aggregates as A
 from murmur.operators import alerts as alert_ops
 from murmur.operators import filters, guards, isolation, paging, replay, windows
-from murmur.operators.detector import score_windows
+from murmur.operators.detector import score_all_windows, score_windows
 from murmur.operators.scoring import score_batch, token_rows
 from murmur.plans import dashboard as D
 from murmur.plans.mentions import (documents, events, few_with_tweet, lexicon, mentions, scored_documents,
@@ -418,7 +418,14 @@ def w6_brand_volume(spark, sf):
 def w7_isolation_forest(spark, sf):
     metrics = windows.window_metrics(facts(spark, sf))
     scored = isolation.latest_isolation(metrics, HOUR)
-    return scored.select(stamp("window_start"), *isolation.FEATURES, "isolation_score")
+    return scored.select(stamp("window_start"), *isolation.FEATURES, F.round("isolation_score", 9).alias("isolation_score"))
+
+
+@query
+def w7_isolation_all(spark, sf):
+    """Every window by the forest of those before it."""
+    scored = isolation.isolation_scores(windows.window_metrics(facts(spark, sf)), HOUR)
+    return scored.select(stamp("window_start"), "rank", F.round("isolation_score", 9).alias("isolation_score"))
 
 
 @query
@@ -430,20 +437,16 @@ def w7_isolation_flag(spark, sf):
                          (score >= S.FOREST_ALERT).alias("flagged"))
 
 
-def drawn_score(rows):
-    """The forest's score is drawn; its alerts are compared without it."""
-    return rows.withColumn("score", F.when(F.col("metric") != "multivariate", F.col("score")))
-
-
 @query
 def w8_score_windows(spark, sf):
     """The latest window, the one with the spike, under all rules, the forest included."""
-    return drawn_score(score_windows(spiked_facts(spark, sf), HOUR))
+    return score_windows(spiked_facts(spark, sf), HOUR)
 
 
 @query
 def w8_back_test(spark, sf):
-    return windows.all_window_alerts(facts(spark, sf), HOUR)
+    """Every window under all rules, the forest included."""
+    return score_all_windows(facts(spark, sf), HOUR)
 
 
 @query
@@ -1157,7 +1160,6 @@ def k7_report_rows(spark, sf):
 def k8_dashboard_bundle(spark, sf):
     """The dashboard with a spike in the latest hour, so that there are anomalies to show."""
     parts = D.dashboard(settle(with_spike(spark, sf)), alert_state(spark, sf), seconds=HOUR)
-    parts["anomalies"] = drawn_score(parts["anomalies"])
     return D.dashboard_rows(parts)
 
 

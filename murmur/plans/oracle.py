@@ -255,10 +255,52 @@ with_spike AS (SELECT timestamp, brand, sentiment, polarity, pm FROM m UNION ALL
 
 
 SPIKED = spiked("2024-01-31 00:00:00")
+def forest(latest: bool) -> str:
+    """isolation (window_start, r, score) over metrics: of the last window, or of every one by those before it."""
+    ctes = ["""
+pts AS MATERIALIZED (SELECT row_number() OVER (ORDER BY window_start) AS r, window_start, volume::double AS f0, mean_polarity AS f1, negative_ratio AS f2 FROM metrics),
+digests AS MATERIALIZED (SELECT t, r, ('0x' || substr(md5('31:' || t || ':' || r), 1, 13))::bigint AS d FROM range(100) trees(t), pts),
+wanted AS (SELECT r, f0, f1, f2 FROM pts WHERE r >= 8 """ + ("AND r = (SELECT max(r) FROM pts)" if latest else "") + ")"]
+    if latest:
+        ctes.append("""
+members AS (SELECT t, r AS i, NULL::bigint AS until FROM digests WHERE r < (SELECT max(r) FROM pts)
+  QUALIFY row_number() OVER (PARTITION BY t ORDER BY d, r) <= 256)""")
+    else:
+        ctes.append("""
+members AS MATERIALIZED (SELECT t, a.r AS i, until FROM digests a LEFT JOIN (
+  SELECT a.t, a.r, b.r AS until FROM digests a JOIN digests b ON a.t = b.t AND (b.d < a.d OR (b.d = a.d AND b.r < a.r))
+  QUALIFY row_number() OVER (PARTITION BY a.t, a.r ORDER BY b.r) = 256) USING (t, r))""")
+    ctes.append("""
+p0 AS MATERIALIZED (SELECT w.r, t, i, p.f0, p.f1, p.f2 FROM wanted w JOIN members m ON m.i < w.r AND (until IS NULL OR until >= w.r) JOIN pts p ON p.r = m.i),
+n0 AS (SELECT r, t, 1::bigint AS node FROM wanted, range(100) trees(t))""")
+    draw = "('0x' || substr(md5('31:' || t || ':' || node || ':{}'), 1, 13))::bigint::double / 4503599627370496.0::double"
+    leaves = []
+    for k in range(9):
+        ctes.append(f"""
+s{k} AS MATERIALIZED (SELECT r, t, node, n, list_filter([CASE WHEN h0 > l0 THEN 0 END, CASE WHEN h1 > l1 THEN 1 END, CASE WHEN h2 > l2 THEN 2 END],
+    lambda x: x IS NOT NULL) AS usable, [l0, l1, l2] AS low, [h0, h1, h2] AS high
+  FROM n{k} JOIN (SELECT r, t, count(*) AS n, min(f0) AS l0, max(f0) AS h0, min(f1) AS l1, max(f1) AS h1, min(f2) AS l2, max(f2) AS h2
+    FROM p{k} GROUP BY ALL) USING (r, t)),
+g{k} AS MATERIALIZED (SELECT *, len(usable) > 0 AND n > 1 AND {k} < ceil(log2(greatest(2, least(256, r - 1)))) AS grows FROM s{k}),
+c{k} AS MATERIALIZED (SELECT r, t, node, f, low[f + 1] + u * (high[f + 1] - low[f + 1]) AS cut, [f0, f1, f2][f + 1] AS x
+  FROM (SELECT *, usable[floor({draw.format("f")} * len(usable))::int + 1] AS f, {draw.format("c")} AS u FROM g{k} WHERE grows) JOIN wanted USING (r)),
+n{k + 1} AS (SELECT r, t, 2 * node + CASE WHEN x <= cut THEN 0 ELSE 1 END AS node FROM c{k}),
+p{k + 1} AS MATERIALIZED (SELECT r, t, i, f0, f1, f2 FROM p{k} JOIN c{k} USING (r, t) WHERE ([f0, f1, f2][f + 1] <= cut) = (x <= cut))""")
+        leaves.append(f"SELECT r, {k} AS depth, n FROM g{k} WHERE NOT grows")
+    path = "CASE WHEN {0} <= 1 THEN 0.0 WHEN {0} = 2 THEN 1.0 ELSE 2 * (ln({0} - 1) + 0.5772156649015329) - 2 * ({0} - 1) / {0}::double END"
+    ctes.append(f"""
+depths AS (SELECT r, sum(depth + {path.format("n")}) AS total FROM ({" UNION ALL ".join(leaves)}) GROUP BY r),
+isolation AS (SELECT window_start, r, coalesce(pow(2.0, -total / 100 / ({path.format("least(256, r - 1)")})) - 0.5, 0.0)::double AS score
+  FROM pts LEFT JOIN depths USING (r) {"WHERE r = (SELECT max(r) FROM pts)" if latest else ""}),
+flagged AS (SELECT 'window-isolation-' || strftime(window_start, {ISO}) AS id, 'Unusual sentiment pattern' AS title, 'Medium' AS severity,
+  'Isolation Forest flagged an atypical combination of volume and sentiment metrics.' AS reason, round_even(least(score, 1.0::double), 3) AS score,
+  'multivariate' AS metric, NULL::varchar AS brand, strftime(window_start, {ISO}) AS "window" FROM isolation WHERE score >= 0.08)""")
+    return ",".join(ctes)
+
+
 LATEST = f"""latest AS (SELECT strftime(max(window_start), {ISO}) AS "window" FROM win),
-found AS (SELECT * FROM alerts WHERE "window" = (SELECT "window" FROM latest)
-  UNION ALL SELECT 'window-isolation-' || "window", 'Unusual sentiment pattern', 'Medium',
-    'Isolation Forest flagged an atypical combination of volume and sentiment metrics.', NULL, 'multivariate', NULL, "window" FROM latest)"""
+{forest(True).strip()},
+found AS (SELECT * FROM alerts WHERE "window" = (SELECT "window" FROM latest) UNION ALL SELECT * FROM flagged)"""
 TOKENS = f"words AS (SELECT doc_id, unnest({kept('text')}) AS word FROM documents)"
 MINUTES = f"""minutes AS (SELECT unnest(generate_series(date_trunc('minute', min(timestamp)), date_trunc('minute', max(timestamp)), INTERVAL 1 MINUTE)) AS minute FROM m),
 seen AS (SELECT date_trunc('minute', timestamp) AS minute, count(*) AS volume, {mean('sum(pm)', 'count(*)', 6)} AS avg_polarity FROM m GROUP BY ALL),
@@ -369,7 +411,10 @@ SQL = {
     "w7_isolation_flag": with_(SPIKED + window_ctes(HOUR, "with_spike"), f"""SELECT strftime(window_start, {SECONDS}) AS window_start, volume,
       mean_polarity, negative_ratio, true AS in_range, true AS flagged FROM metrics ORDER BY metrics.window_start DESC LIMIT 1"""),
     "w8_score_windows": with_(SPIKED + window_ctes(HOUR, "with_spike") + "," + LATEST, "SELECT * FROM found"),
-    "w8_back_test": with_(WINDOWS, "SELECT * FROM alerts"),
+    "w7_isolation_forest": with_(WINDOWS + "," + forest(True), f"""SELECT strftime(window_start, {SECONDS}) AS window_start, volume, mean_polarity, negative_ratio,
+      round(score, 9) AS isolation_score FROM isolation JOIN metrics USING (window_start)"""),
+    "w7_isolation_all": with_(WINDOWS + "," + forest(False), f"SELECT strftime(window_start, {SECONDS}) AS window_start, r AS rank, round(score, 9) AS isolation_score FROM isolation"),
+    "w8_back_test": with_(WINDOWS + "," + forest(False), "SELECT * FROM alerts UNION ALL SELECT * FROM flagged"),
     "w9_brand_bar_norm": with_(MENTIONS + "," + BY_BRAND + ", top AS (SELECT * FROM by_brand ORDER BY total DESC, brand LIMIT 6)",
                                "SELECT *, round(greatest(5.0::double, abs(polarity) / greatest(0.1::double, max(abs(polarity)) OVER ()) * 100), 6) AS width FROM top"),
     "l1_page": with_(MENTIONS + ", p AS (SELECT * FROM m WHERE brand = 'click' ORDER BY timestamp DESC, mention_id DESC LIMIT 12 OFFSET 24)",
@@ -482,7 +527,8 @@ SQL = {
     "st1_stream_tumbling": with_(WINDOWS, f"SELECT strftime(window_start, {SECONDS}) AS window_start, volume, mean_polarity, round(negative_ratio, 6) AS negative_ratio FROM metrics"),
     "st2_watermark_dedup": """SELECT chunk, event_type AS brand, count(*) AS n FROM events, (VALUES ('first'), ('again')) c(chunk) GROUP BY ALL
       UNION ALL SELECT 'gap', event_type, 2 FROM events WHERE event_id = 0""",
-    "st3_stream_alerts": with_(spiked("2024-01-20 12:00:00") + window_ctes(HOUR, "with_spike"), "SELECT id AS alert_id, title, reason AS detail, severity, 'Open' AS status FROM alerts"),
+    "st3_stream_alerts": with_(spiked("2024-01-20 12:00:00") + window_ctes(HOUR, "with_spike") + "," + forest(False),
+      "SELECT id AS alert_id, title, reason AS detail, severity, 'Open' AS status FROM (SELECT * FROM alerts UNION ALL SELECT * FROM flagged)"),
     "k5_export_csv": with_(MENTIONS + ", k AS (SELECT m.*, text FROM m JOIN documents USING (doc_id) WHERE brand = 'click' AND sentiment = 'Negative')",
                            f"""SELECT strftime(timestamp, {MICROS}) AS timestamp, subjectivity::varchar AS subjectivity, CASE WHEN regexp_matches(text, '^[ \\t\\r\\n]*[=+\\-@]') THEN '''' || text ELSE text END AS tweet, brand, username, sentiment,
       polarity::varchar AS polarity, confidence::varchar AS confidence FROM k WHERE timestamp >= {RECENT.format('k', '30 DAYS')}"""),

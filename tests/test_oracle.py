@@ -17,7 +17,7 @@ def db():
 
 def test_sql_belongs_to_queries():
     assert set(SQL) <= set(QUERIES)
-    assert set(catalog.QUERIES) - set(SQL) == {"w7_isolation_forest"}
+    assert set(catalog.QUERIES) == set(oracle.SQL)
 
 
 @pytest.mark.parametrize("name", sorted(oracle.SQL))

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from murmur.operators.scoring import default_lexicon, score_batch
-from murmur.operators.windows import all_window_alerts, window_facts
+from murmur.operators.detector import score_all_windows
+from murmur.operators.windows import window_facts
 from murmur.sources import history
 from murmur.streaming import ingest, jobs, sinks
 
@@ -137,7 +138,7 @@ def test_alerts_of_every_window_a_batch_touches(spark, tmp_path):
     hours = [(10 * h + i, START + timedelta(hours=h), "A", "Positive", 0.1) for h in range(40) for i in range(2 + h % 2)]
     spike = [(1000 + i, START + timedelta(hours=33), "A", "Negative", -0.8) for i in range(30)]
     rows = spark.createDataFrame(hours + spike, "mention_id BIGINT, timestamp TIMESTAMP, brand STRING, sentiment STRING, polarity DOUBLE")
-    expected = {r["id"] for r in all_window_alerts(window_facts(rows, 3600), 3600).collect()}
+    expected = {r["id"] for r in score_all_windows(window_facts(rows, 3600), 3600).collect()}
     assert len(expected) >= 3
     for name, chunks in (("one", 1), ("many", 5)):
         folder = str(tmp_path / name)
