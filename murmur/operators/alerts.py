@@ -1,16 +1,18 @@
 """Alert rules over all mentions, the alert log and its states.
 
-State is kept as append-only logs; the current state is a fold of the log, a
-group-by with a partial aggregate, so no row is ever updated in place.
+The current state is a fold of an append-only log, a group-by with a partial aggregate, or
+a stored table that batches of the log are merged into; no row is ever updated in place.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from murmur import settings as S
 from murmur.functions.fixed import ratio
+from murmur.schemas import ALERTS
+from murmur.sources.states import hash_bucket, merge_batch, read_state
 
 # Actions on an alert and the status each leads to.
 ACTIONS = {"acknowledge": "Acknowledged", "resolve": "Resolved"}
@@ -62,6 +64,21 @@ def upsert_alerts(state: DataFrame, batch: DataFrame) -> DataFrame:
         F.coalesce("b.at", "s.updated_at").alias("updated_at"))
 
 
+def store_alerts(batch: DataFrame, batch_id: int, path: str) -> bool:
+    """Merge a batch of the alert log into the stored alerts; a batch that is in them changes nothing."""
+    return merge_batch(path, ALERTS, batch.select("alert_id", "title", "detail", "severity", "status", "at"), batch_id,
+                       hash_bucket("alert_id"), upsert_alerts)
+
+
+def store_transitions(actions: DataFrame, batch_id: int, path: str) -> bool:
+    """Merge a batch of actions into the stored alerts, under the next batch id."""
+    return merge_batch(path, ALERTS, actions, batch_id, hash_bucket("alert_id"), apply_transitions)
+
+
+def stored_alerts(spark: SparkSession, path: str) -> DataFrame:
+    return read_state(spark, path, ALERTS)
+
+
 def latest_status(actions: DataFrame) -> DataFrame:
     """Newest status per alert of a log (alert_id, action, at); unknown actions are no error here."""
     status = F.when(F.col("action") == "acknowledge", ACTIONS["acknowledge"]) \

@@ -556,6 +556,30 @@ def r2_alert_upsert(spark, sf):
     return shown_state(alert_ops.upsert_alerts(old, log.filter("at >= '2024-01-16'")))
 
 
+def stored_alerts(spark, sf, name):
+    """The alert log merged batch by batch into a stored table, every batch twice; its path."""
+    path = scratch_folder(spark, name)
+    log = settle(alert_log(spark, sf))
+    for number, (since, until) in enumerate((("2000-01-01", "2024-01-08"), ("2024-01-08", "2024-01-16"), ("2024-01-16", "2024-01-24"), ("2024-01-24", "2100-01-01"))):
+        batch = log.filter((F.col("at") >= since) & (F.col("at") < until))
+        for _ in range(2):
+            alert_ops.store_alerts(batch, number, path)
+    return path
+
+
+@query
+def r2_stored_alerts(spark, sf):
+    """Alerts kept in a table; a batch that comes again changes nothing."""
+    return shown_state(alert_ops.stored_alerts(spark, stored_alerts(spark, sf, "r2")))
+
+
+@query
+def r3_stored_transitions(spark, sf):
+    path = stored_alerts(spark, sf, "r3")
+    alert_ops.store_transitions(alert_actions(spark, sf), 4, path)
+    return shown_state(alert_ops.stored_alerts(spark, path))
+
+
 @query
 def r3_alert_transition(spark, sf):
     return shown_state(alert_ops.apply_transitions(alert_state(spark, sf), alert_actions(spark, sf)))
@@ -1071,6 +1095,25 @@ def st2_watermark_dedup(spark, sf):
     return spark.read.parquet(f"{base}/out").groupBy("chunk", "brand").agg(F.count("*").alias("n"))
 
 
+@query
+def st2_late_rows(spark, sf):
+    """How many rows came after the watermark, by batch: all mentions, then those of the first days once more."""
+    base = scratch_folder(spark, "late")
+    rows = settle(scored_rows(spark, sf).select("mention_id", "timestamp", "brand"))
+    hashed = rows.withColumn("tweet_hash", F.sha2(F.col("mention_id").cast("string"), 256))
+
+    def start(stream):
+        started.append(jobs.first_seen(stream).writeStream.format("parquet").option("path", f"{base}/out").trigger(**ONCE)
+                       .option("checkpointLocation", f"{base}/checkpoint").outputMode("append").start())
+        return started[-1]
+    started = []
+    run_in_chunks(spark, [hashed, hashed.filter("timestamp < '2024-01-11'")], start)
+    for done in started:
+        jobs.late_rows(done, f"{base}/late")
+    late = spark.read.schema(schemas.LATE_ROWS).parquet(f"{base}/late")
+    return late.agg(F.sum("late").alias("late"), F.count_if(F.col("late") > 0).alias("batches"))
+
+
 @query
 def st3_stream_alerts(spark, sf):
     """Alerts the stream logs over several batches, with a spike some days before the end."""

@@ -432,8 +432,11 @@ SQL = {
       ({ratio('negative * 100', 'total', 0)})::bigint || '% of the current stream is negative.' AS detail, 'High' AS severity FROM kpi WHERE negative > total * 0.3"""),
     "r2_alert_fold": with_(ALERT_LOG, f"SELECT {STATE_COLUMNS} FROM state"),
     "r2_alert_upsert": with_(ALERT_LOG, f"SELECT {STATE_COLUMNS} FROM state"),
+    "r2_stored_alerts": with_(ALERT_LOG, f"SELECT {STATE_COLUMNS} FROM state"),
     "r3_alert_transition": with_(ALERT_LOG + """, moved AS (SELECT s.* REPLACE (coalesce(v.status, s.status) AS status,
       coalesce(v.seen_at, s.updated_at) AS updated_at) FROM state s LEFT JOIN moves v USING (alert_id))""", f"SELECT {STATE_COLUMNS} FROM moved"),
+    "r3_stored_transitions": with_(ALERT_LOG + """, moved AS (SELECT s.* REPLACE (coalesce(v.status, s.status) AS status,
+      coalesce(v.seen_at, s.updated_at) AS updated_at) FROM state s LEFT JOIN moves v USING (alert_id))""", f"SELECT {STATE_COLUMNS} FROM moved"),
     "r3_loose_statuses": with_(ALERT_LOG, f"""SELECT alert_id, status, strftime(seen_at, {MICROS}) AS at FROM moves
       WHERE alert_id NOT IN (SELECT alert_id FROM log WHERE seen_at < TIMESTAMP '2024-01-02')"""),
     "j1_u3_alert_status_overlay": with_(WINDOWS + LISTS, """SELECT cur.*, CASE WHEN id IN (SELECT id FROM ses) THEN 'Resolved'
@@ -529,6 +532,7 @@ SQL = {
       UNION ALL SELECT 'gap', event_type, 2 FROM events WHERE event_id = 0""",
     "st3_stream_alerts": with_(spiked("2024-01-20 12:00:00") + window_ctes(HOUR, "with_spike") + "," + forest(False),
       "SELECT id AS alert_id, title, reason AS detail, severity, 'Open' AS status FROM (SELECT * FROM alerts UNION ALL SELECT * FROM flagged)"),
+    "st2_late_rows": "SELECT count(*) FILTER (ts < TIMESTAMP '2024-01-11') AS late, 1::bigint AS batches FROM events",
     "k5_export_csv": with_(MENTIONS + ", k AS (SELECT m.*, text FROM m JOIN documents USING (doc_id) WHERE brand = 'click' AND sentiment = 'Negative')",
                            f"""SELECT strftime(timestamp, {MICROS}) AS timestamp, subjectivity::varchar AS subjectivity, CASE WHEN regexp_matches(text, '^[ \\t\\r\\n]*[=+\\-@]') THEN '''' || text ELSE text END AS tweet, brand, username, sentiment,
       polarity::varchar AS polarity, confidence::varchar AS confidence FROM k WHERE timestamp >= {RECENT.format('k', '30 DAYS')}"""),

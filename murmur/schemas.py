@@ -16,7 +16,9 @@ HISTORY = ("tweet_hash STRING, timestamp TIMESTAMP, tweet STRING, brand STRING,
            "sentiment STRING, polarity DOUBLE, subjectivity DOUBLE, confidence DOUBLE, day DATE")
 ALERT_LOG = ("alert_id STRING, title STRING, detail STRING, severity STRING, status STRING, "
              "at TIMESTAMP")
-WINDOW_FACTS = ("window_start TIMESTAMP, brand STRING, mentions BIGINT, negatives BIGINT, polarity_micro BIGINT, "
-                "batch_id BIGINT, day DATE")
+ALERTS = ("alert_id STRING, title STRING, detail STRING, severity STRING, status STRING, "
+          "created_at TIMESTAMP, updated_at TIMESTAMP")
+WINDOW_FACTS = "window_start TIMESTAMP, brand STRING, mentions BIGINT, negatives BIGINT, polarity_micro BIGINT, batch_id BIGINT"
+LATE_ROWS = "run STRING, batch_id BIGINT, late BIGINT"
 STATUS_LOG = "alert_id STRING, status STRING, at TIMESTAMP"
 AUDIT = "id BIGINT, user_id STRING, event STRING, detail STRING, created_at TIMESTAMP"

@@ -80,7 +80,7 @@ def test_windows_of_stream_and_batch_agree(spark, tmp_path):
     stream = spark.readStream.schema(batch.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
     facts = jobs.window_fact_stream(stream, 60, "1 hour")
     jobs.alert_job(facts, str(tmp_path / "facts"), str(tmp_path / "alerts"), str(tmp_path / "cp"), **ONCE).awaitTermination()
-    got = jobs.current_facts(jobs.read_facts(spark, str(tmp_path / "facts")))
+    got = jobs.current_facts(spark.read.parquet(str(tmp_path / "facts")))
     assert sorted(got.collect()) == sorted(window_facts(batch).select(*got.columns).collect())
     assert spark.read.parquet(str(tmp_path / "alerts")).columns[0] == "alert_id"
 
@@ -184,3 +184,40 @@ def test_console_shows_every_row(spark, tmp_path):
     rows = stream_of(spark, messages(spark), str(tmp_path / "in"), 3)
     sinks.to_console(ingest.parse_json_payload(rows), lines.append, **ONCE).awaitTermination()
     assert len(lines) == 40 and all('"tweet_id"' in line for line in lines)
+
+
+def test_stored_state_is_merged_once_and_compacted(spark, tmp_path):
+    """Batches touch some buckets; a repeated batch, a batch that failed before its manifest, and readers of the one before."""
+    from murmur.sources import states
+    path, schema = str(tmp_path / "state"), "k BIGINT, day STRING, n BIGINT"
+
+    def merge(old, new):
+        return old.unionByName(new).groupBy("k", "day").agg(F.sum("n").alias("n"))
+
+    def put(number, rows, **how):
+        return states.merge_batch(path, schema, spark.createDataFrame(rows, schema), number, F.col("day"), merge, **how)
+
+    def table(of=None):
+        return sorted(map(tuple, (of or states.read_state(spark, path, schema)).collect()))
+    assert table() == []
+    assert put(0, [(1, "a", 5), (2, "b", 1)]) and not put(0, [(1, "a", 5), (2, "b", 1)])
+    before = states.read_state(spark, path, schema)
+    (tmp_path / "state" / "batch-1-left-by-a-lost-driver").mkdir()
+    assert put(1, [(1, "a", 2), (3, "c", 1)])
+    assert table() == [(1, "a", 7), (2, "b", 1), (3, "c", 1)] and table(before) == [(1, "a", 5), (2, "b", 1)]
+    assert put(2, [(4, "d", 1)], drop=lambda day: day < "b")
+    assert table() == [(2, "b", 1), (3, "c", 1), (4, "d", 1)]
+    for number in range(3, 12):
+        put(number, [(number, "d", 1)])
+    assert len(table()) == 11 and len(states.manifest(spark, path)["buckets"]) == 3
+    assert len([p for p in (tmp_path / "state").iterdir() if p.name.startswith("batch-")]) <= 6  # however many batches came
+    assert put(12, []) and len(table()) == 11
+
+
+def test_facts_of_a_long_run_lie_in_few_files(spark, tmp_path):
+    rows = spark.createDataFrame([(START + timedelta(hours=i), "A", 1, 0, 0, 0) for i in range(30)], jobs.schemas.WINDOW_FACTS)
+    for number in range(6):
+        jobs.merge_batch(str(tmp_path / "f"), jobs.schemas.WINDOW_FACTS, rows.withColumn("batch_id", F.lit(number).cast("bigint")), number,
+                         jobs.day_of("window_start"), lambda old, new: jobs.newest_facts(old.unionByName(new)))
+    stored = jobs.read_facts(spark, str(tmp_path / "f"))
+    assert stored.count() == 30 and len(stored.inputFiles()) <= 2 and jobs.read_facts(spark, str(tmp_path / "f"), "2026-01-02").count() == 16
