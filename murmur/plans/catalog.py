@@ -14,7 +14,7 @@ from murmur.functions import display, sentiment, text
 from murmur.functions.fixed import plain
 from murmur.operators import aggregates as A
 from murmur.operators import alerts as alert_ops
-from murmur.operators import filters, guards, isolation, paging, replay, windows
+from murmur.operators import cube, filters, guards, isolation, paging, replay, windows
 from murmur.operators.detector import score_all_windows, score_windows
 from murmur.operators.scoring import score_batch, token_rows
 from murmur.plans import dashboard as D
@@ -22,6 +22,7 @@ from murmur.plans.mentions import (documents, events, few_with_tweet, lexicon, m
                                    table, with_document, with_tweet)
 from murmur.session import scratch_folder, settle, spread
 from murmur.sources import files, history, normalise
+from murmur.sources.states import merge_batch, read_state
 from murmur.streaming import ingest, jobs, limits, sinks
 
 # The driver's events are sparse: an hour holds about as many as a live minute does.
@@ -1202,10 +1203,22 @@ def k7_report_rows(spark, sf):
 @query
 def k8_dashboard_bundle(spark, sf):
     """The dashboard with a spike in the latest hour, so that there are anomalies to show."""
-    parts = D.dashboard(settle(with_spike(spark, sf)), alert_state(spark, sf), seconds=HOUR)
+    parts = D.dashboard(with_spike(spark, sf), alert_state(spark, sf), seconds=HOUR)
     return D.dashboard_rows(parts)
 
 
+@query
+def k8_cube_by_batch(spark, sf):
+    """The cube kept as a table by day, six batches merged into it, the third one twice."""
+    path = scratch_folder(spark, "cube")
+    for number, rows in enumerate(mention_chunks(spark, sf)):
+        for _ in range(2 if number == 2 else 1):
+            merge_batch(path, cube.CUBE, cube.cube(rows), number, jobs.day_of("minute"), cube.merged)
+    kept = read_state(spark, path, cube.CUBE)
+    return kept.groupBy("brand", "sentiment").agg(F.count("*").alias("minutes"), F.sum("n").alias("n"), F.sum("polarity_micro").alias("polarity_micro"),
+                                                  F.sum("confidence_n").alias("scored"))
+
+
 @query
 def k9_sink_audit(spark, sf):
     path = scratch_folder(spark, "k9")

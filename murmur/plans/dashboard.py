@@ -10,10 +10,10 @@ from murmur import settings as S
 from murmur.functions.display import html_escape, report_snippet
 from murmur.functions.fixed import plain
 from murmur.operators import aggregates as A
+from murmur.operators import cube as C
 from murmur.operators import filters
 from murmur.operators.paging import NEWEST, latest
 from murmur.operators.detector import score_windows
-from murmur.operators.windows import window_facts
 from murmur.session import settle
 from murmur.streaming.sinks import CSV, safe_columns
 
@@ -23,20 +23,25 @@ def dashboard(mentions: DataFrame, alerts: DataFrame, brand: str = "all", search
     """The parts of the dashboard.
 
     Figures, brands, timeline and anomalies follow the filters; the brand list and the
-    gauges cover all mentions. Brands and timeline come from one pre-aggregate each of
-    the filtered rows; cache `filtered` when its source is costly to read again.
+    gauges cover all mentions. All parts but `filtered` come from one cube, settled once, of
+    the filtered rows, and a second one of all rows where a filter is set.
     """
     rows = filters.filtered(mentions, brand, "all", search, days)
-    figures = rows.agg(F.count("*").alias("total"), *A.label_counts(), A.mean(F.col("polarity"), 3).alias("avg_polarity"))
+    return {"filtered": rows, **cube_parts(
+        settle(C.cube(rows), "cube"), alerts, seconds,
+        None if (brand, search, days) == ("all", "", "all") else settle(C.cube(mentions), "cube"))}
+
+
+def cube_parts(rows: DataFrame, alerts: DataFrame, seconds: int = S.WINDOW_SECONDS, every: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The parts from a cube of the rows shown and, if that is another, one of all mentions. Cubes are read several times."""
+    every = rows if every is None else every
     return {
-        "filtered": rows,
-        "figures": A.kpi_shares(figures).withColumn(
-            "tweets_per_min", A.ratio(F.col("total"), F.lit(30), 1)),
-        "brands": A.by_brand(rows),
-        "timeline": A.timeline_minute_of_day(rows),
-        "anomalies": score_windows(settle(window_facts(rows, seconds)), seconds),
-        "brands_list": filters.brands_list(mentions),
-        "gauges": mentions.agg(F.count("*").alias("available_total")).withColumn(
+        "figures": C.figures(rows),
+        "brands": C.by_brand(rows),
+        "timeline": C.timeline_minute_of_day(rows),
+        "anomalies": score_windows(settle(C.window_facts(rows, seconds), "facts"), seconds),
+        "brands_list": filters.brands_list(every),
+        "gauges": every.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("available_total")).withColumn(
             "active_alerts", alerts.agg(F.count_if(F.col("status") == "Open")).scalar()),
     }
 

@@ -557,5 +557,7 @@ SQL = {
       UNION ALL SELECT 'anomalies', id, 'score', score FROM found
       UNION ALL SELECT 'brands_list', brand, 'listed', 1 FROM (SELECT DISTINCT brand FROM with_spike WHERE brand <> 'Other')
       UNION ALL SELECT 'gauges', '', metric, value FROM (UNPIVOT (SELECT COLUMNS(*)::double FROM gau) ON COLUMNS(*) INTO NAME metric VALUE value)"""),
+    "k8_cube_by_batch": with_(MENTIONS, """SELECT brand, sentiment, count(DISTINCT date_trunc('minute', timestamp)) AS minutes, count(*) AS n,
+      sum(pm)::bigint AS polarity_micro, count(confidence) AS scored FROM m GROUP BY ALL"""),
     "k9_sink_audit": "SELECT event_id AS id, user_id::varchar AS user_id, event_type AS event, 2000::integer AS chars FROM events",
 }
