@@ -14,7 +14,7 @@ from murmur.functions import display, sentiment, text
 from murmur.functions.fixed import plain
 from murmur.operators import aggregates as A
 from murmur.operators import alerts as alert_ops
-from murmur.operators import cube, filters, guards, isolation, paging, replay, windows
+from murmur.operators import cube, filters, guards, isolation, paging, replay, search, windows
 from murmur.operators.detector import score_all_windows, score_windows
 from murmur.operators.scoring import score_batch, token_rows
 from murmur.plans import dashboard as D
@@ -142,6 +142,15 @@ def f3_filter_search(spark, sf):
     return rows.filter(F.col("text_hit") | filters.holds(F.col("brand"), NEEDLE)).select("mention_id", "brand")
 
 
+@query
+def f3_index_search(spark, sf):
+    """The same by an index of trigrams, for a needle that few documents hold."""
+    path = scratch_folder(spark, "index")
+    search.build_index(documents(spark, sf), path, "doc_id", "tweet")
+    hits = search.search(spark, path, "Apache License", "tweet").select("doc_id")
+    return events(spark, sf).join(hits, "doc_id").select("mention_id", "brand")
+
+
 @query
 def f4_filter_days(spark, sf):
     return filters.last_days(events(spark, sf), 7).select("mention_id", stamp("timestamp", MICROS))
@@ -470,6 +479,15 @@ def l1_page_after(spark, sf):
     return rows.select("mention_id", stamp("timestamp", MICROS))
 
 
+@query
+def l1_far_page(spark, sf):
+    """A page from the middle of all rows, found by counts of minutes."""
+    rows = settle(events(spark, sf))
+    counts = rows.groupBy(F.date_trunc("minute", "timestamp").alias("minute")).agg(F.count("*").alias("n"))
+    middle = rows.count() // 2 // S.PAGE_SIZE
+    return paging.far_page(rows, counts, middle + 1).select("mention_id", stamp("timestamp", MICROS))
+
+
 @query
 def l1_page_info(spark, sf):
     rows = events(spark, sf)
@@ -1096,6 +1114,17 @@ def st2_watermark_dedup(spark, sf):
     return spark.read.parquet(f"{base}/out").groupBy("chunk", "brand").agg(F.count("*").alias("n"))
 
 
+@query
+def a22_stream_sliding(spark, sf):
+    """Five minutes before every minute, as a stream over six batches; the newest version of a window counts."""
+    base = scratch_folder(spark, "a22")
+    run_in_chunks(spark, mention_chunks(spark, sf), lambda stream: (
+        jobs.sliding_polarity_stream(stream).writeStream.outputMode("update").trigger(**ONCE).option("checkpointLocation", f"{base}/checkpoint")
+        .foreachBatch(lambda rows, batch: sinks.write_batch(rows, f"{base}/out", batch)).start()))
+    found = spark.read.parquet(f"{base}/out").groupBy("until").agg(F.max_by(F.struct("n", "rolling_avg_polarity"), "batch_id").alias("v"))
+    return found.select(stamp("until"), "v.*")
+
+
 @query
 def st2_late_rows(spark, sf):
     """How many rows came after the watermark, by batch: all mentions, then those of the first days once more."""

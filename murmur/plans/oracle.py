@@ -338,6 +338,7 @@ SQL = {
     "f2_filter_sentiment": with_(MENTIONS, "SELECT mention_id, sentiment FROM m WHERE sentiment = 'Negative'"),
     "f3_filter_search": with_(EVENTS, """SELECT mention_id, brand FROM ev JOIN documents USING (doc_id)
       WHERE contains(lower(text), '#') OR contains(lower(brand), '#')"""),
+    "f3_index_search": with_(EVENTS, "SELECT mention_id, brand FROM ev JOIN documents USING (doc_id) WHERE contains(lower(text), 'apache license')"),
     "f4_filter_days": with_(EVENTS, f"SELECT mention_id, strftime(timestamp, {MICROS}) AS timestamp FROM ev WHERE timestamp >= {RECENT.format('ev', '7 DAYS')}"),
     "f5_filtered": with_(MENTIONS + """, hit AS (SELECT m.* FROM m JOIN documents USING (doc_id)
       WHERE sentiment = 'Negative' AND (contains(lower(text), '#') OR contains(lower(brand), '#')))""",
@@ -397,6 +398,8 @@ SQL = {
     "a22_rolling_avg_polarity": with_(MENTIONS, f"""SELECT strftime(to_timestamp(second) AT TIME ZONE 'UTC', {SECONDS}) AS second, n, {mean('p', 'n', 6)} AS rolling_avg_polarity FROM (
       SELECT DISTINCT second, count(*) OVER w AS n, sum(pm) OVER w AS p FROM (SELECT floor(epoch(timestamp))::bigint AS second, pm FROM m)
       WINDOW w AS (ORDER BY second RANGE BETWEEN 300 PRECEDING AND CURRENT ROW))"""),
+    "a22_stream_sliding": with_(MENTIONS, f"""SELECT strftime(until, {SECONDS}) AS until, count(*) AS n, {mean('sum(pm)', 'count(*)', 6)} AS rolling_avg_polarity
+      FROM (SELECT time_bucket(INTERVAL 60 SECONDS, timestamp) + INTERVAL 60 SECONDS * (k + 1) AS until, pm FROM m, range(5) t(k)) GROUP BY ALL"""),
     "w1_trailing_baseline": with_(WINDOWS, f"SELECT strftime(window_start, {SECONDS}) AS window_start, rank, n FROM win"),
     "w2_zscore": with_(WINDOWS, f"SELECT strftime(window_start, {SECONDS}) AS window_start, round(volume_z, 6) + 0.0::double AS volume_z, round(negative_z, 6) + 0.0::double AS negative_z FROM win"),
     "w2_zscore_gap_filled": with_(MENTIONS + window_ctes(300), f"""SELECT strftime(window_start, {SECONDS}) AS window_start, volume, round({z('volume', 'n', 's', 'q')}, 6) + 0.0::double AS volume_z
@@ -420,6 +423,7 @@ SQL = {
     "l1_page": with_(MENTIONS + ", p AS (SELECT * FROM m WHERE brand = 'click' ORDER BY timestamp DESC, mention_id DESC LIMIT 12 OFFSET 24)",
                      f"SELECT mention_id, strftime(timestamp, {MICROS}) AS timestamp, text AS tweet, sentiment FROM p JOIN documents USING (doc_id)"),
     "l1_page_after": with_(EVENTS, f"SELECT mention_id, strftime(timestamp, {MICROS}) AS timestamp FROM ev WHERE timestamp < TIMESTAMP '2024-01-15' ORDER BY ev.timestamp DESC, mention_id DESC LIMIT 12"),
+    "l1_far_page": with_(EVENTS, f"SELECT mention_id, strftime(timestamp, {MICROS}) AS timestamp FROM ev ORDER BY ev.timestamp DESC, mention_id DESC LIMIT 12 OFFSET (SELECT count(*) // 2 // 12 * 12 FROM events)"),
     "l1_page_info": """SELECT count(*) FILTER (event_type = 'click') AS total, 3::bigint AS page,
       greatest(1, ceil(count(*) FILTER (event_type = 'click') / 12))::bigint AS pages, count(*) AS available_total FROM events""",
     "l2_latest_feed": with_(EVENTS + ", p AS (SELECT * FROM ev ORDER BY timestamp DESC, mention_id DESC LIMIT 100)",

@@ -1,5 +1,6 @@
 """Filters, paging, sources, alerts and display: hand cases."""
 
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -7,7 +8,7 @@ from pyspark.sql import functions as F
 
 from murmur import schemas
 from murmur.functions import display
-from murmur.operators import aggregates, alerts, filters, paging, replay
+from murmur.operators import aggregates, alerts, filters, paging, replay, search
 from murmur.plans import dashboard
 from murmur.sources import files, history, normalise
 
@@ -249,3 +250,25 @@ def test_exports(spark, tmp_path):
     assert [r["brand"] for r in parts["brands_list"].collect()] == ["Acme"]
     report = dashboard.report_rows(df, lambda few: few).collect()
     assert [r["mention_id"] for r in report] == [2, 1] and report[0]["polarity"] == "0.00"
+
+
+def test_far_pages_are_those_of_offset(spark):
+    """Minutes with many rows, days without any, and rows without a timestamp at the end."""
+    rng = random.Random(4)
+    rows = [(i, None if i % 17 == 0 else datetime(2026, 1, 1) + timedelta(days=rng.choice([0, 0, 3, 9]), seconds=rng.randrange(400))) for i in range(300)]
+    df = spark.createDataFrame(rows, "mention_id BIGINT, timestamp TIMESTAMP")
+    counts = df.groupBy(F.date_trunc("minute", "timestamp").alias("minute")).agg(F.count("*").alias("n"))
+    for number in (1, 2, 7, 20, 24, 25, 26, 40):
+        assert paging.far_page(df, counts, number, 12).collect() == paging.page(df, number, 12).collect()
+
+
+def test_index_search_is_a_scan(spark, tmp_path):
+    texts = [(i, f"Mention {i} of Öl, 100% naïve \U0001F600 x") for i in range(200)] + [(200, None), (201, ""), (202, "ab"), (203, "rare NEEDLE here"), (204, "nee dle")]
+    df = spark.createDataFrame(texts, "id BIGINT, tweet STRING")
+    search.build_index(df, str(tmp_path), "id", "tweet", 32)
+    for needle in ("needle", "öl, 100%", "\U0001F600 x", "ab", "mention 19", "no such", "é", "İ", "%"):
+        found = {r["id"] for r in search.search(spark, str(tmp_path), needle, "tweet").collect()}
+        assert found == {r["id"] for r in df.filter(filters.holds(F.col("tweet"), needle)).collect()}, needle
+    assert search.candidates(spark, str(tmp_path), "needle").count() <= 2
+    plan = search.search(spark, str(tmp_path), "needle", "tweet")._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan  # only the candidates' folders are read
