@@ -65,8 +65,12 @@ class WordEncoder:
 
 
 def sequence_schema(kind: np.dtype, length: int) -> pa.Schema:
-    """Masks are bytes, 1 for an id and 0 for filling: a list of bits would have to be copied to be used."""
-    return pa.schema([("ids", pa.list_(pa.from_numpy_dtype(kind), length)), ("mask", pa.list_(pa.uint8(), length))])
+    """Masks are bytes, 1 for an id and 0 for filling, as a list of bits would have to be copied to be used.
+
+    All sequences of a file but the last have the same mask, so a sequence names one of the file's masks.
+    """
+    masks = pa.dictionary(pa.int8(), pa.list_(pa.uint8(), length))
+    return pa.schema([("ids", pa.list_(pa.from_numpy_dtype(kind), length)), ("mask", masks)])
 
 
 class SequenceWriter:
@@ -77,13 +81,17 @@ class SequenceWriter:
         self.file = store.open_output_stream(place)
         self.length, self.kind = length, kind
         self.schema = sequence_schema(kind, length)
-        self.out = pa.ipc.new_file(self.file, self.schema)
+        # The last batch adds its own mask to the file's.
+        self.out = pa.ipc.new_file(self.file, self.schema, options=pa.ipc.IpcWriteOptions(emit_dictionary_deltas=True))
         self.held, self.n_held = [], 0
 
     def _write(self, ids: np.ndarray, real: int) -> None:
-        mask = (np.arange(len(ids)) < real).astype(np.uint8)
-        columns = [pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (ids, mask)]
-        self.out.write_batch(pa.record_batch(columns, schema=self.schema))
+        which, masks = np.zeros(len(ids) // self.length, np.int8), [np.ones(self.length, np.uint8)]
+        if real < len(ids):
+            which[-1] = 1
+            masks.append((np.arange(len(ids) - self.length, len(ids)) < real).astype(np.uint8))
+        rows, known = (pa.FixedSizeListArray.from_arrays(pa.array(x), self.length) for x in (ids, np.concatenate(masks)))
+        self.out.write_batch(pa.record_batch([rows, pa.DictionaryArray.from_arrays(pa.array(which), known)], schema=self.schema))
 
     def add(self, ids: np.ndarray) -> None:
         self.held.append(ids)
@@ -111,8 +119,8 @@ def write_sequences(documents: DataFrame, folder: str | None = None, path: str =
                     length: int = LENGTH, parts: int | None = None) -> DataFrame:
     """Encode `documents` and write one pair of files for each range of doc_id; returns the manifest.
 
-    A range's ids stand in a row in ascending doc_id order (nulls first, equal ids by text;
-    ranges are of both, so many rows of one id or without id are several ranges),
+    A range's ids stand in a row in ascending doc_id order (nulls first, equal ids by a
+    hash of the text, then the text; ranges are of both, so many rows of one id are several),
     each document ended by `end`, cut into sequences of `length` ids of which only the
     file's last is filled up. `sequences` is an Arrow file of fixed-size lists: sequence n is
     row n % 256 of record batch n // 256, found through the footer without reading others.
@@ -156,7 +164,8 @@ def write_sequences(documents: DataFrame, folder: str | None = None, path: str =
             index_file.close()
             yield pa.RecordBatch.from_pydict({"part": pa.array([part], pa.int32()), "sequences": [names[0]], "documents": [names[1]],
                                               "n_documents": [n_documents], "n_tokens": [start]})
-    ordered = documents.select("doc_id", "text").repartitionByRange(parts, "doc_id", "text").sortWithinPartitions("doc_id", "text")
+    keyed = documents.select("doc_id", "text", F.xxhash64("text").alias("h"))
+    ordered = keyed.repartitionByRange(parts, "doc_id", "h").sortWithinPartitions("doc_id", "h", "text").select("doc_id", "text")
     return settled(ordered.mapInArrow(write, MANIFEST), "manifest")
 
 
@@ -169,8 +178,8 @@ def open_file(path: str) -> pa.ipc.RecordBatchFileReader:
 def sequence(file: pa.ipc.RecordBatchFileReader, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids and mask of the n-th sequence, both views of the file."""
     batch = file.get_batch(n // BATCH)
-    return (batch.column("ids")[n % BATCH].values.to_numpy(),
-            batch.column("mask")[n % BATCH].values.to_numpy())
+    mask = batch.column("mask")
+    return batch.column("ids")[n % BATCH].values.to_numpy(), mask.dictionary[mask.indices[n % BATCH].as_py()].values.to_numpy()
 
 
 def read_documents(manifest: DataFrame) -> DataFrame:
