@@ -23,6 +23,10 @@ from murmur.functions.text import bind
 from murmur.session import settle
 
 
+#: Rows that a block may hold where rows are few in time: blocks are then several times as long, and so fewer.
+ROWS = 8192
+
+
 class Rule(NamedTuple):
     """What a rule does, in column expressions over a state and a row.
 
@@ -57,8 +61,12 @@ def run_rule(rows: DataFrame, rule: Rule, out: str, block: int = 86_400) -> Data
     """(key, out) for every report of `rule` over rows (key, second, ...), one row a key and second at most.
 
     `out` is the type of the reports, an array of structs. A block holds at most `block`
-    rows of a key. Of a key only a row for each block passes through one task.
+    rows of a key, and is as many times `block` long as the fullest one allows by ROWS. Of a
+    key only a row for each block passes through one task.
     """
+    rows = settle(rows, "rows")
+    fullest = rows.groupBy("key", F.floor(F.col("second") / block)).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    block *= max(1, ROWS // (fullest or ROWS))
     at = F.floor(F.col("second") / block)
     values = F.struct("second", *[c for c in rows.columns if c not in ("key", "second")])
     blocks = settle(rows.groupBy("key", at.alias("block")).agg(F.array_sort(F.collect_list(values)).alias("rows")), "blocks")

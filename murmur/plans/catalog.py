@@ -1068,12 +1068,12 @@ def run_in_chunks(spark, chunks, start):
         start(spark.readStream.schema(chunk.schema).parquet(path)).awaitTermination()
 
 
-def mention_chunks(spark, sf, rows=None):
-    """Scored mentions in six frames of some days each."""
+def mention_chunks(spark, sf, rows=None, frames=6):
+    """Scored mentions in frames of some days each."""
     rows = settle(scored_rows(spark, sf) if rows is None else rows)
     day = F.datediff(F.to_date("timestamp"), F.to_date(F.lit("2024-01-01")))
-    part = F.least(F.greatest(F.floor(day / 5), F.lit(0)), F.lit(5))
-    return [rows.filter(part == n) for n in range(6)]
+    part = F.least(F.greatest(F.floor(day * frames / 30), F.lit(0)), F.lit(frames - 1))
+    return [rows.filter(part == n) for n in range(frames)]
 
 
 @query
@@ -1148,7 +1148,7 @@ def st2_late_rows(spark, sf):
 def st3_stream_alerts(spark, sf):
     """Alerts the stream logs over several batches, with a spike some days before the end."""
     base = scratch_folder(spark, "st3")
-    run_in_chunks(spark, mention_chunks(spark, sf, with_spike(spark, sf, "2024-01-20 12:00:00")), lambda stream: jobs.alert_job(
+    run_in_chunks(spark, mention_chunks(spark, sf, with_spike(spark, sf, "2024-01-20 12:00:00"), 3), lambda stream: jobs.alert_job(
         jobs.window_fact_stream(stream, HOUR), f"{base}/facts", f"{base}/alerts", f"{base}/checkpoint", HOUR, **ONCE))
     log = spark.read.schema(schemas.ALERT_LOG).parquet(f"{base}/alerts")
     return alert_ops.fold_alert_log(log).select("alert_id", "title", "detail", "severity", "status")

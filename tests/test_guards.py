@@ -29,6 +29,12 @@ def second(row):
     return BASE + int((row[1] - EPOCH).total_seconds())
 
 
+@pytest.fixture(autouse=True)
+def several_blocks(monkeypatch):
+    monkeypatch.setattr(guards, "BLOCK", 1000)
+    monkeypatch.setattr(machines, "ROWS", 1)
+
+
 @pytest.mark.parametrize("seed, limit, seconds", [(1, 3, 60), (2, 5, 120), (3, 1, 10), (4, 15, 300)])
 def test_sliding_log(spark, seed, limit, seconds):
     rows = attempts(seed, 900, 6000)
@@ -73,6 +79,7 @@ def counted_passes(monkeypatch):
 def test_a_key_refused_throughout_is_run_in_blocks(spark, monkeypatch, gaps):
     """Two users try every second or nearly so, over 20 blocks of 20 spans; a steady one never forgets how it began."""
     monkeypatch.setattr(guards, "BLOCK", 200)
+    monkeypatch.setattr(machines, "ROWS", 1)
     passes = counted_passes(monkeypatch)
     rng = random.Random(8)
     rows = [(i, EPOCH + timedelta(seconds=i // 2), "ab"[i % 2], True) for i in range(8000) if not (gaps and rng.random() < 0.1)]
