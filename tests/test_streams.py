@@ -221,3 +221,32 @@ def test_facts_of_a_long_run_lie_in_few_files(spark, tmp_path):
                          jobs.day_of("window_start"), lambda old, new: jobs.newest_facts(old.unionByName(new)))
     stored = jobs.read_facts(spark, str(tmp_path / "f"))
     assert stored.count() == 30 and len(stored.inputFiles()) <= 2 and jobs.read_facts(spark, str(tmp_path / "f"), "2026-01-02").count() == 16
+
+
+def live(spark, folder, rule, *frames):
+    """What a keyed rule reports over frames, each run from its checkpoint."""
+    from murmur.streaming import limits
+    with limits.keyed_state(spark):
+        for frame in frames:
+            frame.coalesce(1).write.mode("append").parquet(f"{folder}/in")
+            stream = spark.readStream.schema(frame.schema).parquet(f"{folder}/in")
+            (rule(stream).writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/cp")
+             .trigger(**ONCE).start()).awaitTermination()
+    return sorted(map(tuple, spark.read.parquet(f"{folder}/out").collect()), key=repr)
+
+
+ATTEMPTS = "id BIGINT, timestamp TIMESTAMP, user STRING, failed BOOLEAN"
+
+
+def test_locks_of_attempts_in_one_second(spark, tmp_path):
+    """Several attempts of an account share a second or a moment; their order is that of the batch job."""
+    from murmur.operators import guards
+    from murmur.streaming import limits
+    rows = [(i, START + timedelta(seconds=i // 4, microseconds=i % 4 // 2), "abc"[i % 3], i % 11 > 0) for i in range(120)]
+    rows += [(200 + i, START + timedelta(seconds=50 + i // 2), None, True) for i in range(6)]
+    log = spark.createDataFrame(rows, ATTEMPTS)
+    expected = sorted(map(tuple, guards.lockouts(log, "user", "id", F.col("failed"), 3, 10).dropna().collect()), key=repr)
+    got = live(spark, str(tmp_path), lambda s: limits.locks(s, "user", "id", F.col("failed"), 3, 10),
+               log.filter("timestamp < '2026-01-01 10:00:15'"), log.filter("timestamp >= '2026-01-01 10:00:15'"))
+    assert [r for r in got if r[0]] == expected and len(expected) > 3
+    assert [r[1] - r[2] for r in got if r[0] is None] == [-10]
