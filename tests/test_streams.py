@@ -263,3 +263,18 @@ def test_limiter_of_many_keys_in_few_buckets(spark, tmp_path, monkeypatch):
     got = live(spark, str(tmp_path), lambda s: limits.sliding_refusals(s, "user", 2, 9), log.filter("timestamp < '2026-01-01 10:00:20'"),
                log.filter("timestamp >= '2026-01-01 10:00:20'"))
     assert got == expected and len(expected) > 20
+
+
+def test_console_rows_are_made_by_all_tasks_at_once(spark, tmp_path):
+    """What is fetched partition by partition was stored before, and goes when it is printed."""
+    read, shown = [], []
+    rows = stream_of(spark, messages(spark), str(tmp_path / "in"), 3)
+    before = sinks.print_rows
+    try:
+        sinks.print_rows = lambda batch, write: (read.extend(batch.inputFiles()), before(batch, write))
+        sinks.to_console(ingest.parse_json_payload(rows), shown.append, **ONCE).awaitTermination()
+    finally:
+        sinks.print_rows = before
+    assert len(shown) == 40 and read and all("/console-" in file for file in read)
+    from pathlib import Path
+    assert not any(Path(file.removeprefix("file:")).exists() for file in read)
