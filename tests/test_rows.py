@@ -272,3 +272,18 @@ def test_index_search_is_a_scan(spark, tmp_path):
     assert search.candidates(spark, str(tmp_path), "needle").count() <= 2
     plan = search.search(spark, str(tmp_path), "needle", "tweet")._jdf.queryExecution().executedPlan().toString()
     assert "dynamicpruning" in plan  # only the candidates' folders are read
+
+
+def test_csv_copies_are_packed_and_cut_by_rows(spark, monkeypatch):
+    """A task's rows go to several files, as one with line breaks in its cells is read whole; a result folder reads both kinds."""
+    from murmur.plans import catalog
+    from murmur.sources import files
+    from murmur.streaming import sinks
+    monkeypatch.setitem(sinks.PACKED, "maxRecordsPerFile", "10")
+    rows = spark.range(45).select(F.lit("2024-01-01 00:00:00").alias("timestamp"), F.concat(F.lit('a "b",\n'), F.col("id").cast("string")).alias("tweet")).coalesce(1)
+    path = catalog.csv_copy(spark, "", rows, "cut", True)
+    parts = spark.read.format("binaryFile").load(path).select("path", "length").collect()
+    assert len(parts) == 5 and all(p["path"].endswith(".csv.gz") for p in parts)
+    rows.limit(3).write.mode("append").csv(path, header=True, escape='"', quoteAll=True)
+    back = [r["tweet"] for r in files.read_result_folder(spark, path).collect()]
+    assert len(back) == 48 and set(back) == {f'a "b",\n{i}' for i in range(45)}
