@@ -214,6 +214,24 @@ def test_history_takes_each_row_once(spark, tmp_path):
     assert len(rows) == 3 and sum(r["brand"] == "first" for r in rows) == 1
 
 
+def test_history_stores_a_text_once(spark, tmp_path):
+    """However many rows, loads and writers share a text; rows of a table from before texts lay apart keep theirs."""
+    path = str(tmp_path / "history")
+    texts = ["said by many", "", None, "said once"]
+    rows = [mention(i, NOW + timedelta(hours=i), tweet=texts[min(i % 4, 2 + i // 39)]) for i in range(40)]
+    old = history.with_hash(frame(spark, rows[:3])).withColumn("day", F.to_date("timestamp")).select(*history.COLUMNS)
+    old.write.partitionBy("day").parquet(path)
+    assert history.read_history(spark, path).count() == 3
+    for load in (rows[:20], rows[10:], rows):
+        history.insert_unseen(frame(spark, load), path, "mention_id")
+    stored = spark.read.parquet(f"{path}/_texts")
+    assert sorted(r["text"] for r in stored.collect()) == ["", "said by many", "said once"]
+    stored.limit(1).write.mode("append").parquet(f"{path}/_texts")  # as a load leaves it that failed before its rows
+    assert history.stored_rows(spark, path).filter("tweet IS NOT NULL").count() == 2
+    got = sorted((r["timestamp"], r["tweet"]) for r in history.read_history(spark, path).collect())
+    assert [t for _, t in got] == [r["tweet"] for r in frame(spark, rows).orderBy("timestamp").collect()] and len(got) == 40
+
+
 def test_replay_and_spike(spark):
     source = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "row_id BIGINT, tweet STRING")
     ticks = spark.range(7).select(F.col("id").alias("value"), F.lit(NOW).alias("timestamp"))
