@@ -1,6 +1,7 @@
 """Stored state: a table in buckets, merged batch by batch without touching what readers read.
 
-A bucket (a hash of the key, or a day) is one folder of one generation. A batch reads the
+A bucket (a hash of the key, or a day) is one folder of one generation, laid out as partition
+columns so that tools can read the whole folder, with generations side by side. A batch reads the
 buckets it touches, writes them anew as a further generation, and then tells by a manifest
 which generation of each bucket is valid. Manifests are numbered by batch: a batch that comes
 again changes nothing, one that failed half-way left no manifest. Readers follow the newest
@@ -91,7 +92,7 @@ def merge_batch(path: str, schema: str, batch: DataFrame, batch_id: int, bucket:
     batch = settle(batch, "batch")
     touched = {r[0] for r in batch.select(bucket).distinct().collect()}
     old = read_state(spark, path, schema, lambda b: b in touched)
-    generation = f"batch-{batch_id}-{uuid.uuid4().hex}"
+    generation = f"batch-of={batch_id}-{uuid.uuid4().hex}"
     rows = merge(old, batch).withColumn(BUCKET, bucket)
     rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{path}/{generation}")
     valid = {b: g for b, g in last["buckets"].items() if b not in touched} | {b: f"{generation}/{BUCKET}={b}" for b in touched}
