@@ -278,3 +278,37 @@ def test_console_rows_are_made_by_all_tasks_at_once(spark, tmp_path):
     assert len(shown) == 40 and read and all("/console-" in file for file in read)
     from pathlib import Path
     assert not any(Path(file.removeprefix("file:")).exists() for file in read)
+
+
+def test_live_batch_is_stored_in_shares(spark, tmp_path, monkeypatch):
+    """Packed, each row once and in order over all shares, with its own texts; a repeated batch replaces them."""
+    monkeypatch.setattr(sinks, "LIVE_ROWS", 100)
+    held = F.when(F.col("id") % 7 > 0, F.concat(F.lit("text "), (F.col("id") % 7).cast("string")))
+    rows = spark.range(500).select(F.col("id").alias("tweet_id"), F.timestamp_seconds(F.col("id") % 90).alias("timestamp"), held.alias("tweet"),
+                                   F.when(F.col("id") % 2 == 0, held).alias("clean_tweet")).repartition(3)
+    for _ in range(2):
+        sinks.write_live(rows, str(tmp_path), 7, 32)
+    stored = spark.read.text(str(tmp_path))
+    assert all(f.endswith(".txt.gz") for f in stored.inputFiles()) and sinks.texts_of(rows).count() == 13
+    found = stored.select(F.from_json("value", "batch_id BIGINT, part BIGINT, tweets ARRAY<STRUCT<tweet_id: BIGINT, timestamp: TIMESTAMP, "
+                                               "tweet: STRING, clean_tweet: STRING>>").alias("e")).select("e.*").collect()
+    assert all(e["batch_id"] == 7 and 0 < len(e["tweets"]) <= 32 for e in found)
+    seen = [tuple(t) for e in sorted(found, key=lambda e: e["part"]) for t in e["tweets"]]
+    assert [(t[1], t[0]) for t in seen] == sorted(((t[1], t[0]) for t in seen), reverse=True)
+    assert sorted(seen) == sorted(map(tuple, rows.collect()))
+
+
+def test_rows_are_scored_without_a_shuffle_of_their_texts(spark):
+    """A shuffle holds rows or texts, never both; null and empty texts stay apart."""
+    import re
+    rows = spark.createDataFrame([(i, [None, "", "love it", "worst game"][i % 4]) for i in range(40)], "tweet_id INT, tweet STRING")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        scored = score_batch(rows, default_lexicon(spark))
+        dealt = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*)\]", scored._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")))
+        assert any("tweet_id#" in d for d in dealt) and not any("tweet_id#" in d and "tweet#" in d for d in dealt)
+        assert sorted(map(str, scored.select("tweet_id", "tweet").collect())) == sorted(map(str, rows.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
