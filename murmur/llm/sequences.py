@@ -5,7 +5,9 @@ from __future__ import annotations
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import batched, chain
 
 import numpy as np
 import public_tokenizers
@@ -24,44 +26,84 @@ VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END = 1
 #: Ids of a sequence, and sequences of a record batch.
 LENGTH, BATCH = 1024, 256
+#: Bytes of rows whose words are looked up together.
+GATHERED = 4 << 20
 #: Words of printable ASCII and the letters of Latin-1 are parted here as this vocabulary's pre-tokeniser parts them;
 #: composing changes nothing in them. Other words go to the library whole.
-_PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
-_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-z0-9ß-öø-ÿ]+")
+_OTHER = r"[^!-~À-ÖØ-öø-ÿ]|<\|"
+#: Words stand one on a line; the line's end is a piece of its own.
+_PIECES = re.compile("\n|'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\na-z0-9ß-öø-ÿ]+")
 MANIFEST = "part int, sequences string, documents string, n_documents long, n_tokens long"
 
 
 class WordEncoder:
-    """Ids by the tokenizers library, remembered by word.
+    """Ids by the tokenizers library, remembered by piece and, where words are not plain, by word.
 
     White space always parts words here and is dropped, so a text's ids are its words' ids
-    in a row. Plain words are parted once more, as the vocabulary's pattern does.
+    in a row. Each distinct word of the texts given at once is encoded once: plain words are
+    parted once more, as the vocabulary's pattern does, and the pieces' ids put together.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.library = Tokenizer.from_file(path)
-        self.type = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
+        # The largest number of the type is no id: it stands after each word.
+        self.type = np.dtype("<u2" if max(self.library.get_vocab().values()) < (1 << 16) - 1 else "<u4")
+        self.stop = int(np.iinfo(self.type).max)
         self.model = self.library.model
         self.symbols = byte_symbols()
-        self.pieces = Memo(self._piece, 200_000)
-        self.words = Memo(self._word)
+        self.pieces = Memo(self._piece)
+        self.words = Memo(self._word, 200_000)
 
     def _pack(self, ids: list[int]) -> bytes:
-        return np.array(ids, self.type).tobytes()
+        return array(self.type.char, ids).tobytes()
 
     def _piece(self, piece: str) -> bytes:
+        if piece == "\n":
+            return self._pack([self.stop])
         symbols = piece if piece.isascii() else "".join([self.symbols[b] for b in piece.encode()])
         return self._pack([t.id for t in self.model.tokenize(symbols)])
 
-    def _word(self, word: bytes) -> bytes:
-        text = word.decode()
-        if "<|" not in text and _PLAIN.fullmatch(text):
-            return b"".join(map(self.pieces.__getitem__, _PIECES.findall(text.lower())))
-        return self._pack(self.library.encode(text, add_special_tokens=False).ids)
-
-    def encode(self, text: str | None) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.words.__getitem__, (text or "").encode().split())), self.type)
+    def _word(self, word: str) -> bytes:
+        return self._pack([*self.library.encode(word, add_special_tokens=False).ids, self.stop])
+
+    def _lists(self, words: pa.Array) -> pa.Array:
+        """Each word's ids."""
+        other = pa.compute.match_substring_regex(words, _OTHER)
+        plain = words.filter(pa.compute.invert(other))
+        lines = pa.compute.binary_join(pa.ListArray.from_arrays(pa.array([0, len(plain)], pa.int32()), plain), "\n")[0].as_py()
+        found = chain(map(self.pieces.__getitem__, _PIECES.findall(lines.lower() + "\n" * (len(plain) > 0))),
+                      map(self.words.__getitem__, words.filter(other).to_pylist()))
+        # To join takes 80 bytes more for each part, so few are joined at once.
+        flat = np.frombuffer(b"".join(map(b"".join, batched(found, 1 << 10))), self.type)
+        stops = flat == self.stop
+        ends = np.flatnonzero(stops) - np.arange(len(words))
+        lists = pa.ListArray.from_arrays(pa.array(np.r_[0, ends], pa.int32()), pa.array(flat[~stops]))
+        # The plain words came first.
+        place = np.empty(len(words), np.int64)
+        place[np.argsort(other.to_numpy(zero_copy_only=False), kind="stable")] = np.arange(len(words))
+        return lists.take(pa.array(place))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids in a row, and where those of each text end; null has none."""
+        words = pa.compute.ascii_split_whitespace(texts.fill_null(""))
+        coded = words.values.dictionary_encode()
+        ids = self._lists(coded.dictionary.cast(pa.string())).take(coded.indices)
+        return ids.values.to_numpy(), ids.offsets.to_numpy()[words.offsets.to_numpy()[1:]].astype(np.int64)
+
+
+def gathered(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
+    """The batches put together until they have `size` bytes; none is empty."""
+    some, held = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            some.append(batch)
+            held += batch.nbytes
+        if held >= size:
+            yield pa.concat_batches(some)
+            some, held = [], 0
+    if some:
+        yield pa.concat_batches(some)
 
 
 def sequence_schema(kind: np.dtype, length: int) -> pa.Schema:
@@ -141,22 +183,17 @@ def write_sequences(documents: DataFrame, folder: str | None = None, path: str =
         stem = f"{folder.rstrip('/')}/part-{part:06d}-{uuid.uuid4().hex}"
         names = f"{stem}.sequences.arrow", f"{stem}.documents.arrow"
         out, start, n_documents = None, 0, 0
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in gathered(batches, GATHERED):
             if out is None:
                 out = SequenceWriter(names[0], encoder.type, length)
                 store, place = store_of(names[1])
                 index_file = store.open_output_stream(place)
                 index = pa.ipc.new_file(index_file, DOCUMENTS)
-            counts = []
-            for text in batch.column("text").to_pylist():
-                ids = np.append(encoder.encode(text), encoder.type.type(end))
-                out.add(ids)
-                counts.append(len(ids))
-            starts = start + np.cumsum([0, *counts])
+            ids, ends = encoder.encode(batch.column("text"))
+            out.add(np.insert(ids, ends, end))
+            starts = start + np.r_[0, ends + np.arange(1, len(ends) + 1)]
             index.write_batch(pa.record_batch([batch.column("doc_id").cast(pa.int64()), pa.array(starts[:-1], pa.int64()),
-                                               pa.array(counts, pa.int64())], schema=DOCUMENTS))
+                                               pa.array(np.diff(starts), pa.int64())], schema=DOCUMENTS))
             start, n_documents = int(starts[-1]), n_documents + batch.num_rows
         if out is not None:
             out.close()

@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 import tiktoken
@@ -121,3 +122,34 @@ def test_sequences_are_views_with_masks(spark, corpus, rows):
             real += int(mask.sum())
         assert real <= len(stream)
     assert read == stream
+
+
+def test_words_are_looked_up_once_for_many_texts():
+    class Counted(merging.Memo):
+        asked = 0
+
+        def __getitem__(self, key):
+            Counted.asked += 1
+            return super().__getitem__(key)
+    coder, library = sequences.WordEncoder(sequences.VOCABULARY), Tokenizer.from_file(sequences.VOCABULARY)
+    coder.pieces, coder.words = Counted(coder._piece, 5), Counted(coder._word, 5)
+    rng = random.Random(2)
+    words = ["alpha", "It's", "x1", "Größe.", "漢字", "\xa0", "ΑΣ", "<|endoftext|>", "e\u0301", "''s", "#$%", "\0", "z" * 300]
+    texts = [None, "", " \t\x0b ", *["\n".join(rng.choices(words, k=200)) for _ in range(50)], None, "  alpha", "alpha\r"]
+    for kind in (pa.string(), pa.large_string()):
+        Counted.asked = 0
+        ids, ends = coder.encode(pa.array(["left out", *texts], kind).slice(1))
+        want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
+        assert [ids[a:b].tolist() for a, b in zip([0, *ends], ends)] == want
+        assert Counted.asked <= sum(map(len, words[:-1])) + 2 * len(words)
+    ids, ends = coder.encode(pa.array([None, ""], pa.string()))
+    assert len(ids) == 0 and ends.tolist() == [0, 0]
+
+
+def test_batches_are_gathered_by_bytes():
+    batches = [pa.record_batch({"doc_id": range(n, n + k), "text": ["x" * 100] * k}) for n, k in ((0, 3), (3, 0), (3, 4), (7, 1), (8, 2))]
+    for size, parts in ((1, [3, 4, 1, 2]), (500, [7, 3]), (1 << 20, [10])):
+        found = list(sequences.gathered(iter(batches), size))
+        assert [b.num_rows for b in found] == parts
+        assert [i for b in found for i in b.column("doc_id").to_pylist()] == list(range(10))
+    assert list(sequences.gathered(iter(batches[1:2]), 1)) == []
