@@ -312,3 +312,36 @@ def test_rows_are_scored_without_a_shuffle_of_their_texts(spark):
         assert sorted(map(str, scored.select("tweet_id", "tweet").collect())) == sorted(map(str, rows.collect()))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_history_rows_are_told_apart_without_other_texts(spark, tmp_path, monkeypatch):
+    """A struct of a row holds no column that isn't stored; the order's column may be one of those."""
+    dealt = []
+    monkeypatch.setattr(history, "first_per_hash", lambda rows, order, old=history.first_per_hash: dealt.append(rows.columns) or old(rows, order))
+    rows = spark.createDataFrame([(i, START + timedelta(seconds=i // 2), "same", "clean") for i in (3, 2, 1, 0)],
+                                 "tweet_id INT, timestamp TIMESTAMP, tweet STRING, clean_tweet STRING").withColumns(
+        {"brand": F.col("tweet_id").cast("string"), "username": F.lit("u"), "sentiment": F.lit("Neutral"),
+         **{c: F.lit(0.0) for c in ("polarity", "subjectivity", "confidence")}})
+    history.insert_unseen(rows, str(tmp_path / "h"), "tweet_id")
+    assert len(dealt) == 1 and "tweet_id" in dealt[0] and not {"tweet", "clean_tweet"} & set(dealt[0])
+    found = history.read_history(spark, str(tmp_path / "h")).orderBy("timestamp").collect()
+    assert [(r["brand"], r["tweet"]) for r in found] == [("0", "same"), ("2", "same")]
+
+
+def test_digests_of_all_sinks_are_shuffled_as_bytes(spark, tmp_path, monkeypatch):
+    """The digest of each sink's texts is that of `md5`, a null text's is null."""
+    from murmur.plans import catalog
+    rows = spark.createDataFrame([(START, t, "B", "u", "Neutral", 0.5, 0.5, 0.5) for t in ("one", "one", None)],
+                                 "timestamp TIMESTAMP, tweet STRING, brand STRING, username STRING, sentiment STRING, "
+                                 "polarity DOUBLE, subjectivity DOUBLE, confidence DOUBLE")
+    sinks.write_batch(rows, f"{tmp_path}/mentions", 0)
+    sinks.write_batch(rows.select(*sinks.csv_columns(rows)), f"{tmp_path}/csv", 0, "csv", **sinks.CSV)
+    history.insert_unseen(rows.withColumn("tweet_id", F.lit(1)), f"{tmp_path}/history", "tweet_id")
+    monkeypatch.setattr(catalog, "finished_sinks", lambda *_: str(tmp_path))
+    made = catalog.st4_one_query_all_sinks(spark, "")
+    groups = [line for line in made._jdf.queryExecution().optimizedPlan().toString().splitlines() if "count(1)" in line]
+    assert groups and all("md5" not in line for line in groups)
+    assert dict(made.dtypes)["digest"] == "string" and "unhex(md5" in made._jdf.queryExecution().optimizedPlan().toString()
+    found = {(r["sink"], r["digest"]): r["n"] for r in made.collect()}
+    one = "f97c5d29941bfb1b2fdab0874906ab82"
+    assert found == {(s, d): 2 if s != "history" and d else 1 for s in ("mentions", "csv", "history") for d in (one, None)}
