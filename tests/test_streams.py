@@ -345,3 +345,31 @@ def test_digests_of_all_sinks_are_shuffled_as_bytes(spark, tmp_path, monkeypatch
     found = {(r["sink"], r["digest"]): r["n"] for r in made.collect()}
     one = "f97c5d29941bfb1b2fdab0874906ab82"
     assert found == {(s, d): 2 if s != "history" and d else 1 for s in ("mentions", "csv", "history") for d in (one, None)}
+
+
+def test_shares_of_a_live_batch_shuffle_their_rows_alone(spark, tmp_path, monkeypatch):
+    """Rows meet their texts once; a share is one shuffle, by envelope, of rows kept in order of their texts."""
+    plans, kept = [], []
+
+    def spied(*args, old=sinks.envelopes):
+        made = old(*args)
+        plans.append(made._jdf.queryExecution().executedPlan().toString())
+        kept.append([r["tweet"] for r in args[0].select("tweet").collect()])
+        return made
+    monkeypatch.setattr(sinks, "LIVE_ROWS", 100)
+    monkeypatch.setattr(sinks, "envelopes", spied)
+    rows = spark.range(400).select(F.col("id").alias("tweet_id"), F.timestamp_seconds("id").alias("timestamp"),
+                                   F.concat(F.lit("text "), (F.col("id") % 3).cast("string")).alias("tweet"))
+    sinks.write_live(rows.coalesce(1), str(tmp_path), 0, 10)
+    assert len(plans) == 5 and all(p.count("Exchange") == 1 for p in plans)
+    changes = sum(a != b for texts in kept for a, b in zip(texts, texts[1:]))
+    assert sum(map(len, kept)) == 400 and changes < 100  # in order of time every row would have another text than the one before
+
+
+def test_sinks_without_shuffles_come_last(spark, tmp_path, monkeypatch):
+    order = []
+    for name in ("write_live", "insert_unseen", "write_batch"):
+        monkeypatch.setattr(sinks, name, lambda *a, name=name, old=getattr(sinks, name), **k: order.append(name) or old(*a, **k))
+    dated = jobs.dated_mentions(ingest.parse_json_payload(stream_of(spark, messages(spark), str(tmp_path / "in"))))
+    sinks.all_sinks(dated, default_lexicon(spark), str(tmp_path / "out"), **ONCE).awaitTermination()
+    assert order == ["write_batch", "write_live", "insert_unseen", "write_batch"]
